@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge import (
     Layout,
@@ -27,6 +28,7 @@ from tidegauge import (
     read_report,
     read_series,
     report_frames,
+    rocksdb_state,
     rolling_average,
     rolling_change,
     run_report,
@@ -108,15 +110,19 @@ def _increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counter_to_increments(_levels(spark, sf_dir))
 
 
+def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # A stream's path must be a folder or a pattern; the braces make it a pattern that
+    # matches the table whether it is one file or a folder of files.
+    schema = _table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    return _events_series(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    return _events_series(_table_stream(spark, sf_dir, "events"))
 
 
 def _levels_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/conversations.parquet"
-    schema = spark.read.parquet(path).schema
-    return _conversation_levels(spark.readStream.schema(schema).parquet(path))
+    return _conversation_levels(_table_stream(spark, sf_dir, "conversations"))
 
 
 # --- CSV files made from the test tables ------------------------------------
@@ -212,7 +218,9 @@ def _csv_date_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _as_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
     path = work_dir(spark, "stream")
-    start_table(stream, path, work_dir(spark, "checkpoint")).awaitTermination()
+    with rocksdb_state(spark):
+        query = start_table(stream, path, work_dir(spark, "checkpoint"))
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -235,8 +243,10 @@ def _stream_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = stream_percent_change(stream_rolling_average(_events_stream(spark, sf_dir)))
     path = work_dir(spark, "stream")
-    start_rank(changes, path, work_dir(spark, "checkpoint"), limit=3).awaitTermination()
-    ranked = changes.schema.add("rank", "int")
+    with rocksdb_state(spark):
+        query = start_rank(changes, path, work_dir(spark, "checkpoint"), limit=3)
+    query.awaitTermination()
+    ranked = changes.schema.add("rank", T.IntegerType())
     return spark.read.schema(ranked).parquet(path).select(*ranked.names)
 
 
@@ -244,6 +254,11 @@ def _stream_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_table(spark, stream_counter_to_increments(_levels_stream(spark, sf_dir)))
 
 
+def _stream_counter_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    increments = stream_counter_to_increments(_levels_stream(spark, sf_dir))
+    return _as_table(spark, stream_rolling_average(increments))
+
+
 def _stream_csv_case_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = stream_series(spark, _events_csv(spark, sf_dir))
     return _as_table(spark, stream_rolling_average(series))
@@ -363,6 +378,7 @@ def queries() -> dict[str, Query]:
         "stream_pct_change_events": _stream_change,
         "stream_rank_events": _stream_rank,
         "stream_counter_to_increments_conversations": _stream_counter,
+        "stream_counter_rolling_avg_conversations": _stream_counter_average,
         "stream_csv_case_report_events": _stream_csv_case_report,
         "stream_csv_counter_conversations": _stream_csv_counter,
     }
@@ -486,6 +502,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_pct_change_events": _with_changes(_EVENTS) + _INC + _CLOSED,
         "stream_rank_events": _rank_sql(_EVENTS, 3) + " and end_date <= (select max(date) from n)",
         "stream_counter_to_increments_conversations": _INCREMENTS,
+        "stream_counter_rolling_avg_conversations": _with_changes(_INCREMENTS) + _AVG + _CLOSED,
         "stream_csv_case_report_events": closed_averages,
         "stream_csv_counter_conversations": _INCREMENTS,
     }

@@ -16,6 +16,7 @@ from tidegauge.plans import report_frames, run_report
 from tidegauge.sinks import read_date_prefix, read_report, write_date_prefixes, write_report
 from tidegauge.sources import Layout, count_rejects, read_raw, read_series, stream_series
 from tidegauge.streaming import (
+    rocksdb_state,
     start_rank,
     start_replace,
     start_table,
@@ -41,6 +42,7 @@ __all__ = [
     "read_report",
     "read_series",
     "report_frames",
+    "rocksdb_state",
     "rolling_average",
     "rolling_change",
     "run_report",

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from typing import Any
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidegauge.operators.keys import key_names
 
@@ -24,26 +23,37 @@ def stream_percent_change(
 
     The state of a key is its last value, NULL included. One trigger may close
     several windows of a key; they are put in order before they are compared.
+
+    Runs on the RocksDB state store: start the query inside ``rocksdb_state``, or with
+    ``spark.sql.streaming.stateStore.providerClass`` set accordingly.
     """
-    keys = key_names(key)
     names = df.columns
-    out_schema = T.StructType([*df.schema.fields, T.StructField(output, T.DoubleType(), True)])
     state_schema = T.StructType([T.StructField("last", T.DoubleType(), True)])
 
-    def compare(
-        _key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True)[names].sort_values(order)
-        values = rows[value].astype("float64")
-        previous = values.shift(1)
-        if state.exists:
-            last = state.get[0]
-            previous.iloc[0] = float("nan") if last is None else last
-        previous = previous.where(previous != 0.0)
-        last = values.iloc[-1]
-        state.update((None if pd.isna(last) else float(last),))
-        yield rows.assign(**{output: (values - previous) / previous * 100.0})
-
-    return df.groupBy(*keys).applyInPandasWithState(
-        compare, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout
+    class Compare(StatefulProcessor):
+        def init(self, handle):
+            self._last = handle.getValueState("last", state_schema)
+
+        def handleInputRows(self, key, rows, timerValues):
+            series = pd.concat(list(rows), ignore_index=True)[names].sort_values(order)
+            values = series[value].astype("float64")
+            previous = values.shift(1)
+            if self._last.exists():
+                before = self._last.get()[0]
+                previous.iloc[0] = float("nan") if before is None else before
+            last = values.iloc[-1]
+            self._last.update((None if pd.isna(last) else float(last),))
+            base = previous.where(previous != 0.0)
+            yield series.assign(**{output: (values - previous) / base * 100.0})
+
+        def close(self):
+            pass
+
+    return df.groupBy(*key_names(key)).transformWithStateInPandas(
+        statefulProcessor=Compare(),
+        outputStructType=T.StructType(
+            [*df.schema.fields, T.StructField(output, T.DoubleType(), True)]
+        ),
+        outputMode="Append",
+        timeMode="None",
     )
