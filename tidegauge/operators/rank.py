@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Up to this limit the ranked values of a century of days are some 100 MB.
+_SHORT_RANKING = 100
+
 
 def rank_within(
     df: DataFrame,
@@ -26,8 +29,9 @@ def rank_within(
        outgrows the partition it came from;
     2. the distinct values among them are ranked: at most ``limit`` rows per period
        and input partition;
-    3. the at most ``limit`` ranked values per period are joined back. This side is
-       broadcast when Spark has measured it to be small; otherwise the adaptive
+    3. the at most ``limit`` ranked values per period are joined back. Spark may
+       broadcast them where it finds them small, but only for a short ranking, where
+       the calendar bounds them. Otherwise both sides are shuffled, and the adaptive
        join splits a value that many rows share.
     """
     others = [name for name in df.columns if name not in (period, by)]
@@ -47,5 +51,7 @@ def rank_within(
         .where(F.col(output) <= limit)
         .select(F.col(period).alias("_period"), F.col(by).alias("_by"), output)
     )
+    if limit > _SHORT_RANKING:
+        ranks = ranks.hint("merge")
     same = F.col(period).eqNullSafe(F.col("_period")) & F.col(by).eqNullSafe(F.col("_by"))
     return near.join(ranks, same).select(*df.columns, output)
