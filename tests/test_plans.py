@@ -1,0 +1,113 @@
+"""The physical plans the operators are meant to get."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import day, final_plan
+from pyspark.sql import functions as F
+
+from tidegauge import (
+    counter_to_increments,
+    date_prefix,
+    percent_change,
+    rank_within,
+    rolling_average,
+    rolling_change,
+)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    path = str(tmp_path / "series")
+    spark.range(20_000, numPartitions=4).select(
+        F.date_add(F.lit(day("2021-01-01")), (F.col("id") % 50).cast("int")).alias("date"),
+        (F.col("id") % 17).cast("int").alias("cases"),
+        (F.col("id") % 400).cast("string").alias("country"),
+        F.lit("unused").alias("note"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def shuffles(plan):
+    computed = [line for line in plan.splitlines() if "ReusedExchange" not in line]
+    return re.findall(r"Exchange (hashpartitioning\([^)]*\)|\w+)", "\n".join(computed))
+
+
+def keys(exchange):
+    return re.findall(r"([a-z_]+)#", exchange)
+
+
+def test_change_shuffles_daily_totals_only(table):
+    plan = final_plan(rolling_change(table))
+    assert [keys(e) for e in shuffles(plan)] == [["country"], ["country", "date"]]
+    assert plan.count(" Sort [") == 1
+    assert "partial_sum" in plan
+    assert "ReadSchema: struct<date:date,cases:int,country:string>" in plan
+    assert "IsNotNull(date)" in plan
+    assert "Expand" not in plan
+
+
+def test_change_of_averages_needs_no_further_shuffle(table):
+    plan = final_plan(percent_change(rolling_average(table)))
+    assert [keys(e) for e in shuffles(plan)] == [["country"], ["country", "date"]]
+
+
+def test_key_filter_reaches_the_scan(table):
+    plan = final_plan(rolling_change(table).where(F.col("country") == "7"))
+    assert "EqualTo(country,7)" in plan
+
+
+def test_counter_averages_stay_in_the_partitions_of_the_lag(spark):
+    levels = spark.range(1000).select(
+        (F.col("id") % 10).cast("int").alias("day"),
+        (F.col("id") / 10).cast("int").alias("country"),
+        F.col("id").cast("int").alias("infected"),
+    )
+    plan = final_plan(rolling_change(counter_to_increments(levels), colocated=True))
+    assert [keys(e) for e in shuffles(plan)] == [["country"]]
+
+
+def test_rank_shuffles_local_winners_once(table):
+    plan = final_plan(rank_within(rolling_change(table), limit=3))
+    assert "ReusedExchange" in plan
+    assert re.search(r"WindowGroupLimit \[end_date#\d+, _part#\d+\].* 3, Partial", plan)
+    # Daily totals twice, local winners, their values twice, and the broadcast.
+    assert len(shuffles(plan)) == 6
+    assert "BroadcastHashJoin" in plan
+
+
+def test_long_ranking_is_not_broadcast(table):
+    plan = final_plan(rank_within(rolling_change(table), limit=101))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_value_shared_by_many_rows_is_split(spark, settings):
+    rows = spark.range(400_000, numPartitions=8).select(
+        (F.col("id") % 40).cast("int").alias("end_date"),
+        F.when(F.col("id") % 40 == 7, 0.0).otherwise(F.col("id") % 97).alias("avg_increase"),
+        F.sha2(F.col("id").cast("string"), 512).alias("country"),
+    )
+    crowded = rows.union(
+        spark.range(400_000, numPartitions=8).select(
+            F.lit(7).alias("end_date"),
+            F.lit(0.0).alias("avg_increase"),
+            F.sha2(F.col("id").cast("string"), 512).alias("country"),
+        )
+    )
+    with settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2MB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="1MB",
+    ):
+        ranked = rank_within(crowded, limit=2)
+        ranked.write.format("noop").mode("overwrite").save()
+        assert "SortMergeJoin(skew=true)" in final_plan(ranked)
+
+
+def test_prefix_is_a_scan_filter(table):
+    plan = final_plan(date_prefix(table, 10))
+    assert "Join" not in plan
+    assert re.search(r"Filter \(isnotnull\(date#\d+\) AND \(date#\d+ <= Subquery", plan)

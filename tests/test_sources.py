@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import pytest
+from conftest import day, final_plan, rows
+
+from tidegauge import Layout, count_rejects, read_raw, read_series
+
+CASE_HEADER = (
+    "dateRep,day,month,year,cases,deaths,countriesAndTerritories,geoId,countryterritoryCode,"
+    "popData2019,continentExp,Cumulative_number_for_14_days_of_COVID-19_cases_per_100000"
+)
+COUNTER_HEADER = "day,country,susceptible,infected,immune"
+
+
+def write(folder, name, header, *lines):
+    path = folder / name
+    path.write_text("\n".join((header, *lines)) + "\n")
+    return str(path)
+
+
+def test_case_report(spark, tmp_path):
+    path = write(
+        tmp_path,
+        "cases.csv",
+        CASE_HEADER,
+        "14/12/2020,14,12,2020,746,6,Afghanistan,AF,AFG,38041757,Asia,9.01377925",
+        "1/2/2020,1,2,2020,-9,0,Spain,ES,ESP,,Europe,",
+    )
+    df = read_series(spark, path)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [
+        ("date", "date"),
+        ("cases", "int"),
+        ("country", "string"),
+    ]
+    assert rows(df) == [(day("2020-02-01"), -9, "Spain"), (day("2020-12-14"), 746, "Afghanistan")]
+    assert "ReadSchema: struct<dateRep:date,cases:int,countriesAndTerritories:string>" in final_plan(df)
+
+
+def test_counter_report(spark, tmp_path):
+    path = write(tmp_path, "n.csv", COUNTER_HEADER, "0,1,90,3,0", "1,1,80,5,1", "0,2,70,4,0")
+    assert rows(read_series(spark, path, "counter")) == [
+        (day("1970-01-01"), 3, "1"),
+        (day("1970-01-01"), 4, "2"),
+        (day("1970-01-02"), 2, "1"),
+    ]
+    assert read_raw(spark, path, "counter").columns == COUNTER_HEADER.split(",")
+
+
+def test_several_files_are_one_table(spark, tmp_path):
+    first = write(tmp_path, "a.csv", COUNTER_HEADER, "0,1,90,3,0")
+    second = write(tmp_path, "b.csv", COUNTER_HEADER, "1,1,90,5,0")
+    assert [r[1] for r in rows(read_series(spark, [first, second], Layout.COUNTER))] == [3, 2]
+
+
+def test_layout_names(spark, tmp_path):
+    path = write(tmp_path, "n.csv", COUNTER_HEADER, "0,1,90,3,0")
+    for name in ("counter", "COUNTER", "Counter", Layout.COUNTER):
+        assert len(read_series(spark, path, name).collect()) == 1
+    with pytest.raises(ValueError, match="not supported"):
+        read_series(spark, path, "weekly")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_unreadable_fields_become_null_alone(spark, settings, tmp_path, zone):
+    path = write(
+        tmp_path,
+        "bad.csv",
+        CASE_HEADER,
+        "01/01/2021,1,1,2021,x,0,Italy,IT,ITA,1,Europe,1",
+        "2021-01-02,2,1,2021,5,0,Italy,IT,ITA,1,Europe,1",
+        "03/01/2021,3,1,2021,6,0,Italy,IT,ITA,1.5,Europe,2.5",
+        "04/01/2021,4,1,2021,7,0,Italy,IT,ITA,1,Europe,1",
+    )
+    with settings(spark__sql__session__timeZone=zone):
+        assert rows(read_series(spark, path)) == [
+            (None, 5, "Italy"),
+            (day("2021-01-01"), None, "Italy"),
+            (day("2021-01-03"), 6, "Italy"),
+            (day("2021-01-04"), 7, "Italy"),
+        ]
+        assert count_rejects(spark, path).first().asDict() == {"records": 4, "rejected": 2}
+
+
+def test_rejected_counters(spark, tmp_path):
+    path = write(tmp_path, "n.csv", COUNTER_HEADER, "0,1,x,3,0", "1,one,90,5,0", "2,1,90,,0")
+    # An empty field is missing rather than unreadable.
+    assert count_rejects(spark, path, "counter").first().asDict() == {"records": 3, "rejected": 1}
