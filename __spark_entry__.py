@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,8 +76,8 @@ def _events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _table(spark, sf_dir, "events")
     return normalise(
         df,
-        date=F.when(F.col("event_id") % 10 != 0, F.col("ts")),
-        cases=F.when(F.col("event_id") % 7 != 0, F.col("event_id") % 3 - 1),
+        date=F.when(F.col("value") >= 5, F.col("ts")),
+        cases=F.when(F.col("value") <= 100, F.col("event_id") % 3 - 1),
         country="event_type",
     )
 
@@ -299,13 +299,9 @@ def _truncated_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _change_zero_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    averages = rolling_average(_events(spark, sf_dir))
-    by_country = percent_change(averages, output="avg_increase")
-    before = rolling_average(_events(spark, sf_dir)).select(
-        F.date_add("end_date", 1).alias("end_date"), "country", F.col("avg").alias("_before")
-    )
-    zero = before.where(F.col("_before") == 0).drop("_before")
-    return by_country.join(zero, ["end_date", "country"], "left_semi").select(*by_country.columns)
+    changes = percent_change(rolling_average(_events(spark, sf_dir)))
+    previous = F.lag("avg", 1).over(Window.partitionBy("country").orderBy("end_date"))
+    return changes.withColumn("_previous", previous).where("_previous = 0").drop("_previous")
 
 
 def _change_one_country(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,8 +385,8 @@ def queries() -> dict[str, Query]:
 _EVENTS = """select cast(ts as date) as date, cast(event_id % 3 - 1 as integer) as cases,
     event_type as country from events"""
 _EVENTS_WITH_NULLS = """select
-    case when event_id % 10 <> 0 then cast(ts as date) end as date,
-    case when event_id % 7 <> 0 then cast(event_id % 3 - 1 as integer) end as cases,
+    case when value >= 5 then cast(ts as date) end as date,
+    case when value <= 100 then cast(event_id % 3 - 1 as integer) end as cases,
     event_type as country from events"""
 _ORDERS = """select cast(o_orderdate as date) as date, 1 as cases,
     cast(o_custkey as varchar) as country from orders"""

@@ -73,8 +73,8 @@ def test_rank_shuffles_local_winners_once(table):
     plan = final_plan(rank_within(rolling_change(table), limit=3))
     assert "ReusedExchange" in plan
     assert re.search(r"WindowGroupLimit \[end_date#\d+, _part#\d+\].* 3, Partial", plan)
-    # Daily totals twice, local winners, their values twice, and the broadcast.
-    assert len(shuffles(plan)) == 6
+    # Daily totals twice, local winners, their values, and the broadcast.
+    assert len(shuffles(plan)) == 5
     assert "BroadcastHashJoin" in plan
 
 

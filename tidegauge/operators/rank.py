@@ -27,8 +27,8 @@ def rank_within(
     1. each input partition keeps its own best ``limit`` values per period, and only
        those rows are shuffled. A partition's rows stay one group, so no group
        outgrows the partition it came from;
-    2. the distinct values among them are ranked: at most ``limit`` rows per period
-       and input partition;
+    2. the distinct values among them are ranked: at most ``limit`` per period and
+       input partition;
     3. the at most ``limit`` ranked values per period are joined back. Spark may
        broadcast them where it finds them small, but only for a short ranking, where
        the calendar bounds them. Otherwise both sides are shuffled, and the adaptive
@@ -44,13 +44,17 @@ def rank_within(
     )
     # The checksum makes this branch read the same columns as the join below, so
     # that Spark computes and shuffles the local winners once and reuses them.
-    checksum = F.bit_xor(F.xxhash64("_part", *others))
-    values = near.groupBy(period, by).agg(checksum.alias("_sum")).where(F.col("_sum").isNotNull())
-    ranks = (
-        values.withColumn(output, F.dense_rank().over(Window.partitionBy(period).orderBy(highest)))
+    checksum = F.bit_xor(F.xxhash64(*others))
+    values = (
+        near.groupBy(period, by, "_part")
+        .agg(checksum.alias("_sum"))
+        .where(F.col("_sum").isNotNull())
+        .withColumn(output, F.dense_rank().over(Window.partitionBy(period).orderBy(highest)))
         .where(F.col(output) <= limit)
-        .select(F.col(period).alias("_period"), F.col(by).alias("_by"), output)
     )
+    ranks = values.select(
+        F.col(period).alias("_period"), F.col(by).alias("_by"), output
+    ).distinct()
     if limit > _SHORT_RANKING:
         ranks = ranks.hint("merge")
     same = F.col(period).eqNullSafe(F.col("_period")) & F.col(by).eqNullSafe(F.col("_by"))

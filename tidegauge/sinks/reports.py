@@ -39,10 +39,12 @@ def write_date_prefixes(df: DataFrame, path: str, step: int, date: str = "date")
     """Write every prefix of ``step, 2 * step, ...`` dates at once.
 
     Each record is written once, under the first prefix that holds it; prefix ``k`` is
-    the folders ``bucket=1`` to ``bucket=k``.
+    the folders ``bucket=1`` to ``bucket=k``. The records of a bucket are brought together
+    first, and a large bucket is split again, so that the number of files follows the
+    size of the data and not the number of tasks.
     """
     tagged = date_prefix_buckets(df, step, date, bucket="bucket")
-    tagged.write.mode("overwrite").partitionBy("bucket").options(**_OPTIONS).csv(path)
+    tagged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").options(**_OPTIONS).csv(path)
 
 
 def read_date_prefix(
