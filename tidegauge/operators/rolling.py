@@ -71,9 +71,9 @@ def rolling_average(
 
     ``colocated`` says that ``df`` is already hash-partitioned by ``key`` (it comes
     out of a key-partitioned window function, say), which saves both shuffles.
-    ``partitions`` is the number of key partitions, by default the session's number of
-    shuffle partitions. It is fixed, because adaptive coalescing would go by the size
-    of the daily totals and not by that of the windows they grow into.
+    ``partitions`` fixes the number of key partitions. By default they are the session's
+    shuffle partitions, coalesced by the size of the daily totals; a window of many
+    slides over sparse keys grows far beyond that size and is better given a number.
 
     Returns ``start_date, end_date, <key>, avg`` for the range
     ``[start_date, end_date)``.
@@ -158,9 +158,7 @@ def _window_runs(
     if not colocated:
         # inline() and explode() keep this partitioning, so every step below up to
         # the lag of the averages stays inside it.
-        if partitions is None:
-            partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        daily = daily.repartition(partitions, *keys)
+        daily = daily.repartition(*([partitions] if partitions else []), *keys)
     first = first_window_start(F.col(date), window_days, slide_days)
     last = last_window_start(F.col(date), slide_days)
     after_last = last + F.lit(slide_days)
