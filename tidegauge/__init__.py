@@ -1,11 +1,13 @@
 """Rolling averages, rates of change and rankings of daily series, on Spark."""
 
 from tidegauge.operators import (
+    change_runs,
     counter_to_increments,
     daily_totals,
     date_prefix,
     date_prefix_buckets,
     date_prefix_counts,
+    expand_changes,
     normalise,
     percent_change,
     rank_within,
@@ -28,12 +30,14 @@ from tidegauge.workspace import work_dir
 
 __all__ = [
     "Layout",
+    "change_runs",
     "count_rejects",
     "counter_to_increments",
     "daily_totals",
     "date_prefix",
     "date_prefix_buckets",
     "date_prefix_counts",
+    "expand_changes",
     "normalise",
     "percent_change",
     "rank_within",

@@ -104,12 +104,54 @@ def rolling_change(
     up once per run, in the order the runs are already sorted in. The expanded
     windows are never sorted or shuffled again.
     """
+    runs = change_runs(
+        df,
+        key,
+        date,
+        value,
+        window_days,
+        slide_days,
+        strict=strict,
+        colocated=colocated,
+        partitions=partitions,
+    )
+    return expand_changes(runs, key, window_days, slide_days)
+
+
+def change_runs(
+    df: DataFrame,
+    key: str | Sequence[str] = "country",
+    date: str = "date",
+    value: str = "cases",
+    window_days: int = 7,
+    slide_days: int = 1,
+    *,
+    strict: bool = False,
+    colocated: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The computed part of ``rolling_change``, before it is expanded into windows.
+
+    Never larger than two rows per key and day, so this is what to persist where the
+    changes are read more than once.
+    """
     keys = key_names(key)
     runs = _window_runs(
         df, keys, date, value, window_days, slide_days, strict, colocated, partitions
     )
     in_order = Window.partitionBy(*keys).orderBy("_start")
-    windows = runs.withColumn("_before", F.lag("avg", 1).over(in_order)).select(
+    return runs.withColumn("_before", F.lag("avg", 1).over(in_order))
+
+
+def expand_changes(
+    runs: DataFrame,
+    key: str | Sequence[str] = "country",
+    window_days: int = 7,
+    slide_days: int = 1,
+) -> DataFrame:
+    """Expand ``change_runs`` into the windows of ``rolling_change``, row by row."""
+    keys = key_names(key)
+    windows = runs.select(
         *keys, "avg", "_before", F.posexplode(_run_starts(slide_days)).alias("_nth", "_start")
     )
     previous = F.when(F.col("_nth") == 0, F.col("_before")).otherwise(F.col("avg"))
@@ -157,7 +199,7 @@ def _window_runs(
     )
     if not colocated:
         # inline() and explode() keep this partitioning, so every step below up to
-        # the lag of the averages stays inside it.
+        # the changes stays inside it.
         daily = daily.repartition(*([partitions] if partitions else []), *keys)
     first = first_window_start(F.col(date), window_days, slide_days)
     last = last_window_start(F.col(date), slide_days)
@@ -173,19 +215,20 @@ def _window_runs(
                 for point in (entering, leaving)
             )
         )
-        points = (
-            daily.select(*keys, F.inline(change_points))
-            .groupBy(*keys, "_start")
-            .agg(*(F.sum(name).alias(name) for name in names[1:]))
-        )
+        # Rows of one start are summed one after the other; only the last of them, the
+        # one with a later start next to it, has the sum of all.
         in_order = Window.partitionBy(*keys).orderBy("_start")
         so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        runs = points.select(
-            *keys,
-            "_start",
-            F.lead("_start", 1).over(in_order).alias("_until"),
-            *(F.sum(name).over(so_far).alias(name) for name in names[1:]),
-        ).where(F.col("_days") > 0)
+        runs = (
+            daily.select(*keys, F.inline(change_points))
+            .select(
+                *keys,
+                "_start",
+                F.lead("_start", 1).over(in_order).alias("_until"),
+                *(F.sum(name).over(so_far).alias(name) for name in names[1:]),
+            )
+            .where((F.col("_until") > F.col("_start")) & (F.col("_days") > 0))
+        )
     else:
         starts = F.explode(F.sequence(first, last, F.lit(slide_days)))
         runs = (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.operators import rank_within, rolling_change
+from tidegauge.operators import change_runs, expand_changes, rank_within, rolling_change
 from tidegauge.sinks import write_report
 from tidegauge.sources import Layout, read_series
 
@@ -49,12 +49,13 @@ def run_report(
 ) -> tuple[str, str]:
     """Read CSV reports, write ``<out_dir>/avg`` and ``<out_dir>/rank``.
 
-    Both outputs come from one computation of the averages, kept on the executors
-    while the two are written; a lost executor's share is recomputed from the source.
+    Both outputs come from one computation of the averages. What is kept on the executors
+    meanwhile are the runs of equal windows, which are expanded again for each output; a
+    lost executor's share is recomputed from the source.
     """
     layout = Layout.of(layout)
     avg_path, rank_path = f"{out_dir}/avg", f"{out_dir}/rank"
-    changes = rolling_change(
+    runs = change_runs(
         read_series(spark, paths, layout),
         window_days=window_days,
         slide_days=slide_days,
@@ -62,10 +63,11 @@ def run_report(
         colocated=layout is Layout.COUNTER,
         partitions=partitions,
     ).persist(StorageLevel.MEMORY_AND_DISK)
+    changes = expand_changes(runs, window_days=window_days, slide_days=slide_days)
     try:
         write_report(changes, avg_path, ["end_date", "country"] if sort_output else None)
         ranks = rank_within(changes, limit=rank_limit)
         write_report(ranks, rank_path, ["end_date", "rank", "country"] if sort_output else None)
     finally:
-        changes.unpersist()
+        runs.unpersist()
     return avg_path, rank_path
