@@ -36,7 +36,7 @@ def shuffles(plan):
 
 
 def keys(exchange):
-    return re.findall(r"([a-z_]+)#", exchange)
+    return re.findall(r"([a-z_0-9]+)#", exchange)
 
 
 def test_change_shuffles_daily_totals_only(table):
@@ -69,42 +69,35 @@ def test_counter_averages_stay_in_the_partitions_of_the_lag(spark):
     assert [keys(e) for e in shuffles(plan)] == [["country"]]
 
 
-def test_rank_shuffles_local_winners_once(table):
-    plan = final_plan(rank_within(rolling_change(table), limit=3))
+def test_rank_shuffles_the_best_rows_once(table):
+    plan = final_plan(rank_within(rolling_change(table), limit=3, key="country"))
     assert "ReusedExchange" in plan
-    assert re.search(r"WindowGroupLimit \[end_date#\d+, _part#\d+\].* 3, Partial", plan)
-    # Daily totals twice, local winners, their values, and the broadcast.
-    assert len(shuffles(plan)) == 5
-    assert "BroadcastHashJoin" in plan
-
-
-def test_long_ranking_is_not_broadcast(table):
-    plan = final_plan(rank_within(rolling_change(table), limit=101))
+    assert re.search(r"WindowGroupLimit \[_period#\d+, _cell#\d+\].* 3, Partial", plan)
+    assert sorted(tuple(keys(e)) for e in shuffles(plan)) == [
+        ("_period", "_cell"),  # the best rows
+        ("_period", "_cell"),  # the ranks on their way back
+        ("_period", "_w0"),  # the values
+        ("country",),
+        ("country", "date"),
+    ]
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-def test_a_value_shared_by_many_rows_is_split(spark, settings):
-    rows = spark.range(400_000, numPartitions=8).select(
-        (F.col("id") % 40).cast("int").alias("end_date"),
-        F.when(F.col("id") % 40 == 7, 0.0).otherwise(F.col("id") % 97).alias("avg_increase"),
-        F.sha2(F.col("id").cast("string"), 512).alias("country"),
-    )
-    crowded = rows.union(
-        spark.range(400_000, numPartitions=8).select(
-            F.lit(7).alias("end_date"),
-            F.lit(0.0).alias("avg_increase"),
-            F.sha2(F.col("id").cast("string"), 512).alias("country"),
+def test_cells_follow_the_key_partitions(spark, table, settings):
+    with settings(spark__sql__adaptive__coalescePartitions__enabled="false"):
+        changes = rolling_change(table)
+        number = F.pmod(F.hash("country"), F.lit(8))
+        cells = changes.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count_distinct(number).alias("cells")
         )
-    )
-    with settings(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2MB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="1MB",
-    ):
-        ranked = rank_within(crowded, limit=2)
-        ranked.write.format("noop").mode("overwrite").save()
-        assert "SortMergeJoin(skew=true)" in final_plan(ranked)
+        assert {row.cells for row in cells.collect()} == {1}
+
+
+def test_rank_of_fewer_columns_is_the_same(table):
+    ranked = rank_within(rolling_change(table), limit=3, key="country")
+    names = ["country", "end_date", "rank"]
+    whole = sorted(tuple(r[n] for n in names) for r in ranked.collect())
+    assert sorted(map(tuple, ranked.select(*names).collect())) == whole
 
 
 def test_prefix_is_a_scan_filter(table):

@@ -51,8 +51,8 @@ def test_ties_share_a_rank_and_nulls_come_last(spark):
 
 
 @pytest.mark.parametrize("limit", [1, 3, 10, 1000])
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_equals_the_window_function_on_spread_data(spark, settings, limit, threshold):
+@pytest.mark.parametrize("key", [None, "country"])
+def test_equals_the_window_function_on_spread_data(spark, limit, key):
     pick = random.Random(limit)
     data = [
         (
@@ -63,8 +63,21 @@ def test_equals_the_window_function_on_spread_data(spark, settings, limit, thres
         for i in range(4000)
     ]
     df = spark.createDataFrame(data, SCHEMA).repartition(13, "country")
-    with settings(spark__sql__autoBroadcastJoinThreshold=threshold):
-        assert rows(rank_within(df, limit=limit)) == rows(by_window_function(df, limit))
+    for cells in (None, 1, 50):
+        ranked = rank_within(df, limit=limit, key=key, cells=cells)
+        assert rows(ranked) == rows(by_window_function(df, limit))
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "int", "decimal(5,1)", "string", "boolean"])
+def test_missing_period_is_a_period(spark, kind):
+    df = spark.createDataFrame(
+        [(None, "a", 1.0), (None, "b", 2.0), ("0", "c", 5.0), ("0", "d", 4.0)],
+        "end_date string, country string, avg_increase double",
+    )
+    text = {"date": "1970-01-01", "timestamp": "1970-01-01"}.get(kind, "0")
+    period = F.when(F.col("end_date").isNotNull(), F.lit(text)).cast(kind)
+    df = df.withColumn("end_date", period)
+    assert {r.country: r["rank"] for r in rank_within(df).collect()} == {"a": 2, "b": 1, "c": 1, "d": 2}
 
 
 def test_other_columns_and_names(spark):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this limit the ranked values of a century of days are some 100 MB.
-_SHORT_RANKING = 100
+from tidegauge.operators.keys import key_names
 
 
 def rank_within(
@@ -15,6 +16,9 @@ def rank_within(
     by: str = "avg_increase",
     limit: int = 10,
     output: str = "rank",
+    *,
+    key: str | Sequence[str] | None = None,
+    cells: int | None = None,
 ) -> DataFrame:
     """Rows whose dense rank by ``by``, descending, is at most ``limit``.
 
@@ -22,40 +26,62 @@ def rank_within(
     number of rows per rank. NULLs share one rank after all values. A limit below
     one gives no rows.
 
-    Ties make a period unbounded, so no task ever receives one whole:
-
-    1. each input partition keeps its own best ``limit`` values per period, and only
-       those rows are shuffled. A partition's rows stay one group, so no group
-       outgrows the partition it came from;
-    2. the distinct values among them are ranked: at most ``limit`` per period and
-       input partition;
-    3. the at most ``limit`` ranked values per period are joined back. Spark may
-       broadcast them where it finds them small, but only for a short ranking, where
-       the calendar bounds them. Otherwise both sides are shuffled, and the adaptive
-       join splits a value that many rows share.
+    Ties make a period unbounded, so no task ever receives one whole. Its rows are
+    divided into cells by a hash of ``key`` (by default all other columns):
+
+    1. each cell keeps its rows of the best ``limit`` values. This shuffle, by cell, is
+       the only one that moves rows of the input;
+    2. the distinct values of all cells of a period, at most ``limit`` from each, are
+       ranked together;
+    3. the ranks return to their cells. A cell's values are in the same order as
+       their ranks, so the n-th value of a cell takes the n-th of its ranks.
+
+    Where ``df`` is hash-partitioned by ``key`` into ``cells`` partitions (by default the
+    session's shuffle partitions), as the output of ``rolling_change`` is, a cell lies
+    in one input partition and all but its best rows are dropped before the shuffle.
     """
     others = [name for name in df.columns if name not in (period, by)]
+    spread = others if key is None else key_names(key)
+    if cells is None:
+        cells = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     highest = F.desc_nulls_last(by)
-    local = Window.partitionBy(period, "_part").orderBy(highest)
-    near = (
-        df.withColumn("_part", F.spark_partition_id())
-        .withColumn("_local_rank", F.dense_rank().over(local))
-        .where(F.col("_local_rank") <= limit)
+    cell = ["_period", "_cell"]
+    best = (
+        df.withColumns(_cell_columns(df, period, spread, cells))
+        .withColumn("_place", F.dense_rank().over(Window.partitionBy(*cell).orderBy(highest)))
+        .where(F.col("_place") <= limit)
     )
     # The checksum makes this branch read the same columns as the join below, so
-    # that Spark computes and shuffles the local winners once and reuses them.
-    checksum = F.bit_xor(F.xxhash64(*others))
-    values = (
-        near.groupBy(period, by, "_part")
-        .agg(checksum.alias("_sum"))
-        .where(F.col("_sum").isNotNull())
-        .withColumn(output, F.dense_rank().over(Window.partitionBy(period).orderBy(highest)))
-        .where(F.col(output) <= limit)
+    # that Spark computes and shuffles the best rows once and reuses them.
+    checksum = F.bit_xor(F.xxhash64(period, *others))
+    values = best.groupBy(*cell, by).agg(checksum.alias("_sum")).where(F.col("_sum").isNotNull())
+    whole_period = Window.partitionBy("_period", F.col("_cell") < 0).orderBy(highest)
+    ranks = (
+        values.withColumn("_rank", F.dense_rank().over(whole_period))
+        .where(F.col("_rank") <= limit)
+        .groupBy(*cell)
+        .agg(F.array_sort(F.collect_list("_rank")).alias("_ranks"))
+    )
+    return (
+        best.join(ranks.hint("merge"), cell)
+        .where(F.col("_place") <= F.size("_ranks"))
+        .select(*df.columns, F.get("_ranks", F.col("_place") - 1).alias(output))
     )
-    ranks = values.select(
-        F.col(period).alias("_period"), F.col(by).alias("_by"), output
-    ).distinct()
-    if limit > _SHORT_RANKING:
-        ranks = ranks.hint("merge")
-    same = F.col(period).eqNullSafe(F.col("_period")) & F.col(by).eqNullSafe(F.col("_by"))
-    return near.join(ranks, same).select(*df.columns, output)
+
+
+def _cell_columns(df: DataFrame, period: str, spread: list[str], cells: int) -> dict[str, Column]:
+    """Columns that name a row's cell and are never NULL, so that cells can be joined.
+
+    A NULL period takes some value of its type and a negative cell number. The number
+    depends on nothing but the row, so that reading the input twice gives the same cells.
+    """
+    kind = df.schema[period].dataType
+    some = [F.lit(text).try_cast(kind) for text in ("1970-01-01", "0")]
+    number = F.pmod(F.hash(*spread) if spread else F.lit(0), F.lit(cells))
+    # pmod counts as nullable. Left so, the join would add a filter to one of the two
+    # branches, and they would no longer share their shuffle.
+    number = F.coalesce(number, F.lit(0))
+    return {
+        "_period": F.coalesce(period, *some),
+        "_cell": F.when(F.col(period).isNull(), -1 - number).otherwise(number),
+    }

@@ -31,7 +31,7 @@ def report_frames(
         colocated=colocated,
         partitions=partitions,
     )
-    return changes, rank_within(changes, limit=rank_limit)
+    return changes, rank_within(changes, limit=rank_limit, key="country", cells=partitions)
 
 
 def run_report(
@@ -66,7 +66,7 @@ def run_report(
     changes = expand_changes(runs, window_days=window_days, slide_days=slide_days)
     try:
         write_report(changes, avg_path, ["end_date", "country"] if sort_output else None)
-        ranks = rank_within(changes, limit=rank_limit)
+        ranks = rank_within(changes, limit=rank_limit, key="country", cells=partitions)
         write_report(ranks, rank_path, ["end_date", "rank", "country"] if sort_output else None)
     finally:
         runs.unpersist()

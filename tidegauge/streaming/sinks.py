@@ -6,6 +6,8 @@ starts the query. By default it runs until everything available is read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,6 +54,7 @@ def start_rank(
     period: str = "end_date",
     by: str = "avg_increase",
     limit: int = 10,
+    key: str | Sequence[str] | None = "country",
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Rank the rows of every closed period and write them as Parquet.
@@ -65,7 +68,7 @@ def start_rank(
         # The ranking reads its input twice; the stateful steps before it run once.
         batch.persist()
         try:
-            ranked = rank_within(batch, period, by, limit)
+            ranked = rank_within(batch, period, by, limit, key=key)
             ranked.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         finally:
             batch.unpersist()
