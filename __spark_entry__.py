@@ -23,7 +23,6 @@ from tidegauge import (
     date_prefix_counts,
     normalise,
     percent_change,
-    rank_within,
     read_date_prefix,
     read_report,
     read_series,

@@ -45,7 +45,8 @@ def test_repeated_days(spark):
 
 def test_last_version_of_a_day(spark):
     df = spark.createDataFrame(
-        [(0, "a", 3, 1), (1, "a", 9, 1), (1, "a", 5, 2)], "day int, country string, infected int, v int"
+        [(0, "a", 3, 1), (1, "a", 9, 1), (1, "a", 5, 2)],
+        "day int, country string, infected int, v int",
     )
     result = counter_to_increments(df, dedupe="last", version="v")
     assert [r[1] for r in rows(result)] == [3, 2]

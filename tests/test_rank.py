@@ -77,11 +77,14 @@ def test_missing_period_is_a_period(spark, kind):
     text = {"date": "1970-01-01", "timestamp": "1970-01-01"}.get(kind, "0")
     period = F.when(F.col("end_date").isNotNull(), F.lit(text)).cast(kind)
     df = df.withColumn("end_date", period)
-    assert {r.country: r["rank"] for r in rank_within(df).collect()} == {"a": 2, "b": 1, "c": 1, "d": 2}
+    ranks = {r.country: r["rank"] for r in rank_within(df).collect()}
+    assert ranks == {"a": 2, "b": 1, "c": 1, "d": 2}
 
 
 def test_other_columns_and_names(spark):
-    df = spark.createDataFrame([(1, 9, "a"), (1, 7, "b"), (2, 7, "c")], "shard int, hits int, who string")
+    df = spark.createDataFrame(
+        [(1, 9, "a"), (1, 7, "b"), (2, 7, "c")], "shard int, hits int, who string"
+    )
     ranked = rank_within(df, period="shard", by="hits", limit=1, output="place")
     assert ranked.columns == ["shard", "hits", "who", "place"]
     assert rows(ranked) == [(1, 9, "a", 1), (2, 7, "c", 1)]
@@ -91,7 +94,9 @@ def test_period_of_one_tie_is_kept_whole(spark):
     df = spark.range(50_000, numPartitions=8).select(
         F.lit(day("2021-01-08")).alias("end_date"),
         F.col("id").cast("string").alias("country"),
-        F.when(F.col("id") % 3 != 0, 0.0).otherwise(-F.col("id").cast("double")).alias("avg_increase"),
+        F.when(F.col("id") % 3 != 0, 0.0)
+        .otherwise(-F.col("id").cast("double"))
+        .alias("avg_increase"),
     )
     ranked = rank_within(df, limit=2)
     counts = dict(ranked.groupBy("rank").count().collect())

@@ -36,7 +36,8 @@ def test_buckets_hold_every_prefix(table):
 
 
 def test_counts(table):
-    assert rows(date_prefix_counts(table, 2)) == [(1, 2, 2, 2), (2, 2, 12, 14), (3, 2, 2, 16), (4, 1, 1, 17)]
+    counts = [(1, 2, 2, 2), (2, 2, 12, 14), (3, 2, 2, 16), (4, 1, 1, 17)]
+    assert rows(date_prefix_counts(table, 2)) == counts
 
 
 def test_written_prefixes_are_read_back(spark, table, tmp_path):

@@ -44,7 +44,8 @@ def write_date_prefixes(df: DataFrame, path: str, step: int, date: str = "date")
     size of the data and not the number of tasks.
     """
     tagged = date_prefix_buckets(df, step, date, bucket="bucket")
-    tagged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").options(**_OPTIONS).csv(path)
+    together = tagged.hint("rebalance", F.col("bucket"))
+    together.write.mode("overwrite").partitionBy("bucket").options(**_OPTIONS).csv(path)
 
 
 def read_date_prefix(
