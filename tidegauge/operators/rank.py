@@ -27,7 +27,8 @@ def rank_within(
     one gives no rows.
 
     Ties make a period unbounded, so no task ever receives one whole. Its rows are
-    divided into cells by a hash of ``key`` (by default all other columns):
+    divided into cells by a hash of ``key`` (by default all other columns), which should
+    tell the rows of a period apart:
 
     1. each cell keeps its rows of the best ``limit`` values. This shuffle, by cell, is
        the only one that moves rows of the input;
