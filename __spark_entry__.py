@@ -44,6 +44,15 @@ from tidegauge import (
 )
 from tidegauge.sources import CASE_REPORT_SCHEMA, COUNTER_SCHEMA
 
+try:
+    import corpus_pipeline
+    from tidegauge.llm import queries as llm
+except ModuleNotFoundError as error:
+    # The corpus operators and their pipeline are an extra that may be left out.
+    if error.name not in {"corpus_pipeline", "tidegauge.llm"}:
+        raise
+    llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -326,7 +335,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    extra = {} if llm is None else llm.queries() | {"pipeline": corpus_pipeline.run}
+    return extra | {
         "normalise_reports_events": _events,
         "daily_totals_lineitem": lambda s, d: daily_totals(_lineitem(s, d)),
         "rolling_avg_7_1_events": _average(_events, 7, 1),
@@ -442,7 +452,8 @@ def oracle_sql() -> dict[str, str]:
     averages = _with_changes(_EVENTS) + _AVG
     closed_averages = averages + _CLOSED
     counter_ranks = _rank_sql(_INCREMENTS, 10)
-    return {
+    extra = {} if llm is None else llm.oracle_sql()
+    return extra | {
         "normalise_reports_events": _EVENTS,
         "daily_totals_lineitem": f"""select date, country, cast(sum(cases) as bigint) as total
             from ({_LINEITEM}) group by 1, 2""",
