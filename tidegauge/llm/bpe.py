@@ -220,7 +220,8 @@ def _with(batch: pa.RecordBatch | pa.Table, name: str, column: pa.Array) -> pa.R
     return batch.append_column(name, column)
 
 
-def _schema(df: DataFrame, **columns: T.DataType) -> T.StructType:
+def added(df: DataFrame, **columns: T.DataType) -> T.StructType:
+    """The schema of ``df`` with these columns, which replace those of the same name."""
     fields = list(df.schema.fields)
     for name, kind in columns.items():
         at = next((i for i, f in enumerate(fields) if f.name.lower() == name.lower()), len(fields))
@@ -249,7 +250,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             values, first = tokenizer(path).encode(data, offsets)
             yield _with(batch, ids, _lists(values, first))
 
-    return df.mapInArrow(run, _schema(df, **{ids: T.ArrayType(T.IntegerType())}))
+    return df.mapInArrow(run, added(df, **{ids: T.ArrayType(T.IntegerType())}))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -263,7 +264,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
             values = column.flatten().to_numpy(zero_copy_only=False)
             yield _with(batch, decoded, tokenizer(path).decode(values, first).cast(pa.string()))
 
-    return df.mapInArrow(run, _schema(df, **{decoded: T.StringType()}))
+    return df.mapInArrow(run, added(df, **{decoded: T.StringType()}))
 
 
 def round_trip(
@@ -278,4 +279,4 @@ def round_trip(
             batch = _with(batch, ids, _lists(values, first))
             yield _with(batch, decoded, own.decode(values, first).cast(pa.string()))
 
-    return df.mapInArrow(run, _schema(df, **{ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}))
+    return df.mapInArrow(run, added(df, **{ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, tokenfiles
+from tidegauge.llm import bpe, repeats, tokenfiles
 from tidegauge.llm.frames import importable, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.remove_repeats(docs, depth=50)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, _tokenizer("word_bpe_49k.json"))
@@ -46,6 +54,7 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_suffix_repeats": _repeats,
         "op6_bpe_encoding": _bpe,
         "op10_token_files": _token_files,
     }
