@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 from tidegauge.llm import bytesops, pretokens
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
+_KEPT_PIECES = 400_000
 
 
 @lru_cache(1)
@@ -71,6 +72,27 @@ class Bpe:
                 names[number] = bytes(self._byte_of[c] for c in token)
         self._name_bytes = np.frombuffer(b"".join(names), np.uint8)
         self._name_first = np.concatenate(([0], np.cumsum([len(x) for x in names])))
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[bytes, int] = {}
+        self._ids, self._ids_first = np.empty(0, np.int64), np.zeros(1, np.int64)
+
+    def _lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces. What ``merge`` finds is kept for the next slices of the same
+        worker; once so many pieces are known, they are forgotten and found again."""
+        missing = [p for p in pieces if p not in self._known]
+        if len(self._known) + len(missing) > _KEPT_PIECES:
+            self._forget()
+            missing = pieces
+        found, first = self.merge(missing)
+        self._known.update(zip(missing, range(len(self._known), len(self._known) + len(missing)), strict=True))
+        self._ids = np.concatenate((self._ids, found))
+        self._ids_first = np.concatenate((self._ids_first, self._ids_first[-1] + first[1:]))
+        own = self._known
+        picks = np.fromiter((own[p] for p in pieces), np.int64, len(pieces))
+        at, begins = bytesops.gathered(self._ids_first, picks)
+        return self._ids[at], begins
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The merge rank of each pair, -1 if it has none."""
@@ -172,15 +194,16 @@ class Bpe:
         for row in np.nonzero(~plain)[0].tolist():
             odd[row] = self._split_row(data[offsets[row] : offsets[row + 1]].tobytes().decode())
             counts[row] = len(odd[row])
-        known: dict[bytes | int, int] = {}
-        for row in odd:
-            for piece in odd[row]:
-                known.setdefault(piece, len(pieces) + len(known))
-        values, first = self.merge([*pieces, *(p if isinstance(p, bytes) else b"" for p in known)])
-        for piece, number in known.items():
-            if isinstance(piece, int):
-                values = np.insert(values, first[number], piece)
-                first[number + 1 :] += 1
+        known: dict[bytes | int, int] = {p: n for n, p in enumerate(pieces)} if odd else {}
+        for parts in odd.values():
+            for piece in parts:
+                if isinstance(piece, bytes) and piece not in known:
+                    known[piece] = len(pieces)
+                    pieces.append(piece)
+        values, first = self._lookup(pieces)
+        for special in sorted({p for parts in odd.values() for p in parts if isinstance(p, int)}):
+            known[special] = len(first) - 1
+            values, first = np.append(values, special), np.append(first, len(values) + 1)
         begins = np.concatenate(([0], np.cumsum(counts)))
         sequence = np.empty(begins[-1], np.int64)
         sequence[np.repeat(plain, counts)] = numbers

@@ -10,6 +10,7 @@ splitter, so that its Unicode tables decide.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 from tidegauge.llm.bytesops import Rolling, Words
 
@@ -115,7 +116,9 @@ def distinct(data: np.ndarray, spans: Words) -> tuple[list[bytes], np.ndarray]:
     representative's, and if one differs, the bytes themselves decide.
     """
     hashes = Rolling(data).ranges(spans.starts, spans.ends)
-    _, at, numbers = np.unique(hashes, return_index=True, return_inverse=True)
+    numbers, found = pd.factorize(hashes)
+    at = np.empty(len(found), np.int64)
+    at[numbers[::-1]] = np.arange(len(hashes) - 1, -1, -1)
     check = Rolling(data, second=True).ranges(spans.starts, spans.ends)
     raw = data.tobytes()
     if (check[at][numbers] != check).any():

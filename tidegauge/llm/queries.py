@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, repeats, tokenfiles
+from tidegauge.llm import bagminhash, bpe, repeats, tokenfiles
 from tidegauge.llm.frames import importable, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bagminhash.near_duplicates(docs).select("doc_id", "class_id", "class_size")
+
+
 def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = repeats.remove_repeats(docs, depth=50)
@@ -54,6 +59,7 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_bagminhash_dedup": _near_duplicates,
         "op4_suffix_repeats": _repeats,
         "op6_bpe_encoding": _bpe,
         "op10_token_files": _token_files,

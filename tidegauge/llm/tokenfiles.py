@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,34 +33,20 @@ from tidegauge.llm.frames import parts_for, stored, text_bytes_total
 
 PART_BYTES = 64 << 20
 _NULL_ID = np.iinfo(np.int64).min
-_KEPT_PIECES = 400_000
 
 
 class LibraryBpe(Bpe):
     """Rows are split into pieces as bytes; the tokenizers library encodes each distinct one.
 
-    A piece is encoded by itself as it is in its text, since merges never cross pieces. The
-    ids of up to ``_KEPT_PIECES`` pieces are kept for the next slices of the same worker.
+    A piece is encoded by itself as it is in its text, since merges never cross pieces.
     """
 
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self._kept: dict[bytes, list[int]] = {}
-
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        missing = [p for p in pieces if p not in self._kept]
-        texts = [p.decode() for p in missing]
-        found = [x.ids for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
-        if len(self._kept) + len(missing) > _KEPT_PIECES:
-            here = {p: self._kept[p] for p in pieces if p in self._kept}
-            self._kept = here if len(here) + len(missing) <= _KEPT_PIECES else {}
-            own = here | dict(zip(missing, found, strict=True))
-        else:
-            own = self._kept
-        self._kept.update(zip(missing, found, strict=True))
-        ids = [own[p] for p in pieces]
-        first = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64)
-        return np.fromiter((i for x in ids for i in x), np.int64, first[-1]), first
+        texts = [p.decode() for p in pieces]
+        ids = [x.ids for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+        first = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum([len(x) for x in ids], out=first[1:])
+        return np.fromiter(chain.from_iterable(ids), np.int64, first[-1]), first
 
 
 @lru_cache(2)
