@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bagminhash, bpe, repeats, tokenfiles
-from tidegauge.llm.frames import importable, shared_folder
+from tidegauge.llm import bagminhash, bpe, language, quality, repeats, tokenfiles, toxicity
+from tidegauge.llm.frames import held_out, importable, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,26 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(docs).select("doc_id", "class_id", "class_size")
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    named = language.predict(docs.select("doc_id", "text"), language.fit(docs))
+    return named.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
 def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = repeats.remove_repeats(docs, depth=50)
@@ -60,8 +80,11 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_bagminhash_dedup": _near_duplicates,
+        "op2_quality_ftrl": _quality,
+        "op3_language_cnn": _language,
         "op4_suffix_repeats": _repeats,
         "op6_bpe_encoding": _bpe,
+        "op9_toxicity": _toxicity,
         "op10_token_files": _token_files,
     }
 
