@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bagminhash, bpe, language, quality, repeats, tokenfiles, toxicity
+from tidegauge.llm import bagminhash, bpe, decontaminate, language, licences, quality, repeats, tokenfiles, topk, toxicity
 from tidegauge.llm.frames import held_out, importable, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,19 @@ def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.contaminated(docs, items)
+
+
+def _licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
+def _top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, _tokenizer("word_bpe_49k.json"))
@@ -83,11 +96,18 @@ def queries() -> dict[str, Query]:
         "op2_quality_ftrl": _quality,
         "op3_language_cnn": _language,
         "op4_suffix_repeats": _repeats,
+        "op5_spaced_seeds": _decontaminate,
         "op6_bpe_encoding": _bpe,
+        "op7_licence_scan": _licences,
+        "op8_top_k": _top_k,
         "op9_toxicity": _toxicity,
         "op10_token_files": _token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_spaced_seeds": decontaminate.contaminated_sql(),
+        "op7_licence_scan": licences.scan_sql(),
+        "op8_top_k": topk.top_k_sql(k=5, every=50),
+    }
