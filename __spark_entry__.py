@@ -24,6 +24,7 @@ from tidegauge import (
     normalise,
     percent_change,
     read_date_prefix,
+    read_replaced,
     read_report,
     read_series,
     report_frames,
@@ -56,6 +57,12 @@ except ModuleNotFoundError as error:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Brings the days of the events, in January 2024, to both sides of 1970-01-01.
+_DAYS_TO_1970 = 19_738
+# Type and expression of values with decimal places, and of values that doubles hold exactly.
+_DECIMAL = ("decimal(15,2)", "l_extendedprice")
+_DOUBLE = ("double", "cast(l_quantity as int) / 4")
+
 # --- Test tables as series and levels ---------------------------------------
 
 
@@ -105,9 +112,37 @@ def _orders_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lineitem_series(df: DataFrame, country: str = "l_returnflag") -> DataFrame:
+    return normalise(df, date="l_shipdate", cases="l_quantity", country=country)
+
+
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "lineitem")
-    return normalise(df, date="l_shipdate", cases="l_quantity", country="l_returnflag")
+    return _lineitem_series(_table(spark, sf_dir, "lineitem"))
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineitem_series(_table(spark, sf_dir, "lineitem"), "l_partkey")
+
+
+def _prices(kind: str, price: str) -> Query:
+    """Values that are not whole numbers, which ``normalise`` would cut off."""
+
+    def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = _table(spark, sf_dir, "lineitem")
+        return df.select(
+            F.col("l_shipdate").cast("date").alias("date"),
+            F.expr(price).cast(kind).alias("cases"),
+            F.col("l_returnflag").alias("country"),
+        )
+
+    return series
+
+
+def _repeated_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels of which every third comes twice, the second time as a correction upwards."""
+    levels = _levels(spark, sf_dir)
+    again = levels.where("infected % 3 = 0").withColumn("infected", F.col("infected") + 1)
+    return levels.unionByName(again)
 
 
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +211,7 @@ def _csv_multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _case_report_rows(_events(spark, sf_dir))
     paths = [
         _write_csv(rows.where(part), work_dir(spark, "case-report"))
-        for part in (F.col("cases") > 0, F.col("cases") <= 0)
+        for part in (F.col("cases") > 0, F.coalesce(F.col("cases") <= 0, F.lit(True)))
     ]
     return read_series(spark, paths)
 
@@ -214,6 +249,27 @@ def _csv_report(layout: Layout, output: str) -> Query:
     return query
 
 
+def _csv_report_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = _parts(spark, sf_dir)
+    source = _write_csv(_case_report_rows(series), work_dir(spark, "case-report"))
+    paths = run_report(spark, source, out_dir=work_dir(spark, "report"))
+    return read_report(spark, paths[1], report_frames(series)[1].schema)
+
+
+def _csv_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    averages = rolling_average(_events(spark, sf_dir))
+    path = work_dir(spark, "avg")
+    write_report(averages.where("avg > 0"), path)
+    write_report(averages, path)
+    return read_report(spark, path, averages.schema)
+
+
+def _csv_repeated_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _repeated_turns(spark, sf_dir).withColumns({"susceptible": F.lit(0), "immune": F.lit(0)})
+    source = _write_csv(rows.select(*COUNTER_SCHEMA.names), work_dir(spark, "counter"))
+    return read_series(spark, source, Layout.COUNTER, dedupe="max")
+
+
 def _csv_date_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = _events(spark, sf_dir)
     path = work_dir(spark, "prefixes")
@@ -231,10 +287,10 @@ def _as_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 
 def _stream_average_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    averages = stream_rolling_average(_events_stream(spark, sf_dir))
+    averages = stream_rolling_average(_events_stream(spark, sf_dir), complete=True)
     path = work_dir(spark, "stream")
     start_replace(averages, path, work_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(averages.schema).parquet(path)
+    return read_replaced(spark, path, averages.schema)
 
 
 def _stream_average_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,12 +314,36 @@ def _stream_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_table(spark, stream_counter_to_increments(_levels_stream(spark, sf_dir)))
+    increments = stream_counter_to_increments(_levels_stream(spark, sf_dir))
+    with rocksdb_state(spark):
+        return _as_table(spark, increments).drop("event_time")
+
+
+def _files_stream(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """The parts as files that a stream takes one after another, one in each trigger."""
+    path = work_dir(spark, "files")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
+def _stream_counter_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Eighths of the days, each two in the wrong order; none is late by more than two eighths.
+    levels = _levels(spark, sf_dir)
+    span = ((levels.agg(F.max("day")).first()[0] or 0) + 8) // 8
+    eighth = F.floor(F.col("day") / span)
+    parts = [levels.where(eighth == k) for k in (1, 0, 3, 2, 5, 4, 7, 6)]
+    stream = _files_stream(spark, parts)
+    with rocksdb_state(spark):
+        increments = _as_table(spark, stream_counter_to_increments(stream, late_days=2 * span))
+    return increments.drop("event_time")
 
 
 def _stream_counter_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     increments = stream_counter_to_increments(_levels_stream(spark, sf_dir))
-    return _as_table(spark, stream_rolling_average(increments))
+    with rocksdb_state(spark):
+        return _as_table(spark, stream_rolling_average(increments))
 
 
 def _stream_csv_case_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +352,28 @@ def _stream_csv_case_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_csv_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_table(spark, stream_series(spark, _conversations_csv(spark, sf_dir), "counter"))
+    increments = stream_series(spark, _conversations_csv(spark, sf_dir), "counter")
+    with rocksdb_state(spark):
+        return _as_table(spark, increments).drop("event_time")
+
+
+def _stream_average_around_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = _events_stream(spark, sf_dir)
+    moved = series.withColumn("date", F.date_sub("date", _DAYS_TO_1970))
+    return _as_table(spark, stream_rolling_average(moved))
+
+
+def _stream_average_90(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = _lineitem_series(_table_stream(spark, sf_dir, "lineitem"))
+    return _as_table(spark, stream_rolling_average(series, window_days=90))
+
+
+def _stream_average_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The last file's rows of days that the first two have closed are dropped.
+    events = _events(spark, sf_dir)
+    parts = [events.where(F.col("cases") == k) for k in (1, 0, -1)]
+    stream = _files_stream(spark, parts)
+    return _as_table(spark, stream_rolling_average(stream))
 
 
 # --- Batch queries built from one series ------------------------------------
@@ -349,6 +450,8 @@ def queries() -> dict[str, Query]:
         "tumbling_avg_7_7_orders": _average(_orders, 7, 7),
         "rolling_avg_weekly_grain_orders": _average(_orders_by_week, 7, 1),
         "rolling_avg_null_dates_events": _average(_events_with_nulls, 7, 1),
+        "rolling_avg_decimal_lineitem": _average(_prices(*_DECIMAL), 7, 1),
+        "rolling_avg_double_lineitem": _average(_prices(*_DOUBLE), 7, 1),
         "pct_change_7_1_events": _change_of_average(_events),
         "pct_change_7_1_orders": _change(_orders),
         "pct_change_7_1_lineitem": _change(_lineitem),
@@ -360,6 +463,7 @@ def queries() -> dict[str, Query]:
         "rank_top10_orders": _rank(_orders, 10),
         "rank_top3_orders": _rank(_orders, 3),
         "rank_top10_lineitem": _rank(_lineitem, 10),
+        "rank_top10_lineitem_parts": _rank(_parts, 10),
         "rank_one_period_events": _rank_one_period,
         "rank_sorted_events": _rank_sorted,
         "counter_to_increments_conversations": _increments,
@@ -374,6 +478,9 @@ def queries() -> dict[str, Query]:
         "csv_rejects_events": _csv_rejects,
         "csv_sink_round_trip_events": _csv_sink_round_trip,
         "csv_date_prefix_events": _csv_date_prefix,
+        "csv_overwrite_events": _csv_overwrite,
+        "csv_repeated_turns_conversations": _csv_repeated_turns,
+        "csv_report_rank_parts": _csv_report_parts,
         "csv_report_avg_events": _csv_report(Layout.CASE_REPORT, "avg"),
         "csv_report_rank_events": _csv_report(Layout.CASE_REPORT, "rank"),
         "csv_report_rank_conversations": _csv_report(Layout.COUNTER, "rank"),
@@ -383,6 +490,10 @@ def queries() -> dict[str, Query]:
         "stream_rank_events": _stream_rank,
         "stream_counter_to_increments_conversations": _stream_counter,
         "stream_counter_rolling_avg_conversations": _stream_counter_average,
+        "stream_counter_late_days_conversations": _stream_counter_late,
+        "stream_rolling_avg_around_1970_events": _stream_average_around_1970,
+        "stream_rolling_avg_90_1_lineitem": _stream_average_90,
+        "stream_rolling_avg_late_rows_events": _stream_average_late_rows,
         "stream_csv_case_report_events": _stream_csv_case_report,
         "stream_csv_counter_conversations": _stream_csv_counter,
     }
@@ -411,7 +522,8 @@ _INCREMENTS = """select cast(date '1970-01-01' + cast(turn as integer) as date)
 def _with_changes(series: str, window_days: int = 7, slide_days: int = 1) -> str:
     """CTEs ``n`` (series), ``a`` (averages) and ``i`` (their percent change)."""
     steps = -(-window_days // slide_days)
-    offset = f"(date_diff('day', date '1970-01-01', n.date) % {slide_days}) + {slide_days} * k.k"
+    day = "date_diff('day', date '1970-01-01', n.date)"
+    offset = f"((({day} % {slide_days}) + {slide_days}) % {slide_days}) + {slide_days} * k.k"
     previous = "lag(avg) over (partition by country order by end_date)"
     return f"""with n as ({series}),
 s as (select cast(n.date - cast({offset} as integer) as date) as start_date, country,
@@ -427,6 +539,22 @@ r as (select start_date, end_date, country, avg, avg_increase, cast(dense_rank()
 """
 
 
+_PARTS = _LINEITEM.replace("l_returnflag as", "cast(l_partkey as varchar) as")
+_DECIMALS = """select cast(l_shipdate as date) as date,
+    cast(l_extendedprice as decimal(15,2)) as cases, l_returnflag as country from lineitem"""
+_DOUBLES = """select cast(l_shipdate as date) as date,
+    trunc(l_quantity) / 4 as cases, l_returnflag as country from lineitem"""
+_EVENTS_AROUND_1970 = f"""select cast(date - {_DAYS_TO_1970} as date) as date, cases, country
+    from ({_EVENTS})"""
+_EVENTS_IN_TIME = f"""select * from ({_EVENTS})
+    where cases >= 0 or date >= (select max(cast(ts as date)) from events where event_id % 3 = 2)"""
+_REPEATED_TURNS = """select conv_id, turn, case when length(text) % 3 = 0 then length(text) + 1
+    else length(text) end as level from conversations"""
+_REPEATED_INCREMENTS = f"""select cast(date '1970-01-01' + cast(turn as integer) as date) as date,
+    cast(level - lag(level, 1, 0) over (partition by conv_id order by turn) as integer) as cases,
+    cast(conv_id as varchar) as country from ({_REPEATED_TURNS})"""
+_EIGHTHS = "(select 2 * cast(trunc((max(turn) + 8) / 8) as integer) as late, max(turn) as last from conversations)"
+
 _AVG = "select start_date, end_date, country, avg from a"
 _INC = "select start_date, end_date, country, avg, avg_increase from i"
 _CLOSED = " where end_date <= (select max(date) from n)"
@@ -467,6 +595,8 @@ def oracle_sql() -> dict[str, str]:
         "tumbling_avg_7_7_orders": _with_changes(_ORDERS, 7, 7) + _AVG,
         "rolling_avg_weekly_grain_orders": _with_changes(_ORDERS_BY_WEEK) + _AVG,
         "rolling_avg_null_dates_events": _with_changes(_EVENTS_WITH_NULLS) + _AVG,
+        "rolling_avg_decimal_lineitem": _with_changes(_DECIMALS) + _AVG,
+        "rolling_avg_double_lineitem": _with_changes(_DOUBLES) + _AVG,
         "pct_change_7_1_events": _with_changes(_EVENTS) + _INC,
         "pct_change_7_1_orders": _with_changes(_ORDERS) + _INC,
         "pct_change_7_1_lineitem": _with_changes(_LINEITEM) + _INC,
@@ -478,6 +608,7 @@ def oracle_sql() -> dict[str, str]:
         "rank_top10_orders": _rank_sql(_ORDERS, 10),
         "rank_top3_orders": _rank_sql(_ORDERS, 3),
         "rank_top10_lineitem": _rank_sql(_LINEITEM, 10),
+        "rank_top10_lineitem_parts": _rank_sql(_PARTS, 10),
         "rank_one_period_events": _rank_sql(_EVENTS, 10)
         + " and end_date = (select max(date) from n)",
         "rank_sorted_events": _rank_sql(_EVENTS, 10) + " order by end_date, rank, country",
@@ -499,6 +630,9 @@ def oracle_sql() -> dict[str, str]:
             from ({_EVENTS_WITH_NULLS})""",
         "csv_sink_round_trip_events": averages,
         "csv_date_prefix_events": _prefix_sql(_EVENTS, 10),
+        "csv_overwrite_events": averages,
+        "csv_repeated_turns_conversations": _REPEATED_INCREMENTS,
+        "csv_report_rank_parts": _rank_sql(_PARTS, 10),
         "csv_report_avg_events": _with_changes(_EVENTS) + _INC,
         "csv_report_rank_events": _rank_sql(_EVENTS, 10),
         "csv_report_rank_conversations": counter_ranks,
@@ -508,6 +642,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_rank_events": _rank_sql(_EVENTS, 3) + " and end_date <= (select max(date) from n)",
         "stream_counter_to_increments_conversations": _INCREMENTS,
         "stream_counter_rolling_avg_conversations": _with_changes(_INCREMENTS) + _AVG + _CLOSED,
+        "stream_counter_late_days_conversations": f"""select i.* from ({_INCREMENTS}) i, {_EIGHTHS}
+            where date <= date '1970-01-01' + cast(last - late as integer)""",
+        "stream_rolling_avg_around_1970_events": _with_changes(_EVENTS_AROUND_1970) + _AVG + _CLOSED,
+        "stream_rolling_avg_90_1_lineitem": _with_changes(_LINEITEM, 90, 1) + _AVG + _CLOSED,
+        "stream_rolling_avg_late_rows_events": _with_changes(_EVENTS_IN_TIME) + _AVG + _CLOSED,
         "stream_csv_case_report_events": closed_averages,
         "stream_csv_counter_conversations": _INCREMENTS,
     }

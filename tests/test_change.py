@@ -20,8 +20,8 @@ def changes(df):
 
 
 def test_change_against_the_previous_window(spark):
-    found = changes(averages(spark, [1.0, 2.0, 3.0, 4.5, 9.0, 6.0, 3.0]))
-    assert found == [None, 100.0, 50.0, 50.0, 100.0, (6 - 9) / 9 * 100, -50.0]
+    found = changes(averages(spark, [8.0, 10.0, 2.5, 2.5, 20.0]))
+    assert found == [None, 25.0, -75.0, 0.0, 700.0]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

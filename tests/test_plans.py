@@ -66,6 +66,10 @@ def test_counter_averages_stay_in_the_partitions_of_the_lag(spark):
         F.col("id").cast("int").alias("infected"),
     )
     plan = final_plan(rolling_change(counter_to_increments(levels), colocated=True))
+    # A day's rows become one before the rows of a key are gathered.
+    assert sorted(keys(e) for e in shuffles(plan)) == [["country"], ["country", "date"]]
+    unique = counter_to_increments(levels, dedupe=None)
+    plan = final_plan(rolling_change(unique, colocated=True))
     assert [keys(e) for e in shuffles(plan)] == [["country"]]
 
 

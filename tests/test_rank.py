@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidegauge import rank_within
 
 SCHEMA = "end_date date, country string, avg_increase double"
-COUNTRIES = ("Italy", "Spain", "Germany", "UK")
 
 
 def by_window_function(df, limit):
@@ -18,23 +17,22 @@ def by_window_function(df, limit):
     return df.withColumn("rank", F.dense_rank().over(order)).where(F.col("rank") <= limit)
 
 
-def test_ranks_of_four_countries(spark):
-    periods = {
-        "2021-01-08": ((None, 1), (None, 1), (None, 1), (None, 1)),
-        "2021-01-09": ((100.0, 3), (800.0, 1), (25.0, 4), (150.0, 2)),
-        "2021-01-10": ((50.0, 2), (25.0, 3), (100.0, 1), (-50.0, 4)),
-    }
+def test_ranks_of_three_rivers(spark):
+    # (end, river, change, rank), worked by hand.
     data = [
-        (day(end), country, change, rank)
-        for end, values in periods.items()
-        for country, (change, rank) in zip(COUNTRIES, values)
+        (day("1998-06-30"), "Elbe", 12.5, 2),
+        (day("1998-06-30"), "Oder", 40.0, 1),
+        (day("1998-06-30"), "Main", -3.0, 3),
+        (day("1998-07-03"), "Elbe", None, 2),
+        (day("1998-07-03"), "Oder", None, 2),
+        (day("1998-07-03"), "Main", 7.25, 1),
     ]
     df = spark.createDataFrame([row[:3] for row in data], SCHEMA)
     key = lambda row: (row[0], row[1])
-    ranked = [tuple(r) for r in rank_within(df, limit=4).collect()]
+    ranked = [tuple(r) for r in rank_within(df, limit=3).collect()]
     assert sorted(ranked, key=key) == sorted(data, key=key)
-    top = [tuple(r) for r in rank_within(df, limit=2).collect()]
-    assert sorted(top, key=key) == sorted((r for r in data if r[3] <= 2), key=key)
+    top = [tuple(r) for r in rank_within(df, limit=1).collect()]
+    assert sorted(top, key=key) == sorted((r for r in data if r[3] <= 1), key=key)
 
 
 def test_ties_share_a_rank_and_nulls_come_last(spark):

@@ -11,6 +11,7 @@ from test_sources import CASE_HEADER, COUNTER_HEADER, write
 from tidegauge import (
     percent_change,
     rank_within,
+    read_replaced,
     read_series,
     rocksdb_state,
     rolling_average,
@@ -53,8 +54,10 @@ class Feed:
         for when in dates:
             self.drop(CASE_HEADER, *case_lines(when))
 
-    def stream(self, layout="case_report", files=1):
-        return stream_series(self.spark, str(self.folder), layout, max_files_per_trigger=files)
+    def stream(self, layout="case_report", files=1, **options):
+        return stream_series(
+            self.spark, str(self.folder), layout, max_files_per_trigger=files, **options
+        )
 
     def batch(self, layout="case_report"):
         return read_series(self.spark, str(self.folder), layout)
@@ -90,9 +93,10 @@ def closed(df, last):
 def test_complete_mode_equals_batch(feed, zone, name):
     with zone(name):
         feed.drop_days(days("2021-01-01", 4))
-        averages = stream_rolling_average(feed.stream(files=2))
+        averages = stream_rolling_average(feed.stream(files=2), complete=True)
         feed.finish(start_replace(averages, feed.out, feed.checkpoint))
-        assert rows(feed.table(averages.schema)) == rows(rolling_average(feed.batch()))
+        found = read_replaced(feed.spark, feed.out, averages.schema)
+        assert rows(found) == rows(rolling_average(feed.batch()))
 
 
 @pytest.mark.filterwarnings("ignore:slide_days")
@@ -173,23 +177,96 @@ def test_rank_equals_batch_and_can_be_replayed(spark, feed):
         assert rows(feed.table(batch.schema).select(*batch.columns)) == expected
 
 
-def test_counter_stream_equals_batch_and_survives_a_restart(feed):
-    for first in (0, 4):
-        for n in range(first, first + 4):
-            lines = [f"{n},{c},0,{'' if n == 2 and c == 1 else n * c * 5 % 11},0" for c in (1, 2)]
-            feed.drop(COUNTER_HEADER, *lines)
-        increments = feed.stream("counter", files=3)
-        feed.finish(start_table(increments, feed.out, feed.checkpoint))
-    assert rows(feed.table(increments.schema)) == rows(feed.batch("counter"))
+def counter_table(feed, **options):
+    """The counter files read as a stream, one in a trigger, and stored."""
+    increments = feed.stream("counter", **options)
+    with rocksdb_state(feed.spark):
+        query = start_table(increments, feed.out, feed.checkpoint)
+    feed.finish(query)
+    return feed.table(increments.schema).drop("event_time")
+
+
+@pytest.mark.parametrize("name", ZONES)
+def test_counter_stream_equals_batch_and_survives_a_restart(feed, zone, name):
+    with zone(name):
+        for first in (0, 4):
+            for n in range(first, first + 4):
+                lines = [f"{n},{c},0,{'' if n == 2 and c == 1 else n * c * 5 % 11},0" for c in (1, 2)]
+                feed.drop(COUNTER_HEADER, *lines)
+            found = counter_table(feed, files=3)
+        assert rows(found) == rows(feed.batch("counter"))
+
+
+def test_counter_days_may_come_late(feed):
+    levels = {0: 3, 1: 5, 2: 9, 3: 4, 4: 4, 5: 10}
+    for n in (0, 2, 1, 4, 3, 5):
+        feed.drop(COUNTER_HEADER, f"{n},7,0,{levels[n]},0")
+    found = counter_table(feed, files=1, late_days=2)
+    assert rows(found) == [(day(f"1970-01-0{n + 1}"), c, "7") for n, c in enumerate((3, 2, 4, -5))]
+    # The rest comes once later days are seen, over a restart; a row of a closed day does not.
+    for n, level in ((6, 11), (8, 13), (7, 12), (0, 99), (9, 13), (10, 15)):
+        feed.drop(COUNTER_HEADER, f"{n},7,0,{level},0")
+    found = counter_table(feed, files=1, late_days=2)
+    assert [r[1] for r in rows(found)] == [3, 2, 4, -5, 0, 6, 1, 1, 1]
+
+
+def test_counter_days_that_come_twice(feed):
+    for line in ("0,7,0,3,0", "1,7,0,9,1", "1,7,0,5,2", "2,7,0,6,1"):
+        feed.drop(COUNTER_HEADER, line)
+    found = counter_table(feed, files=4)
+    assert [r[1] for r in rows(found)] == [3, 6, -3]
+    feed.out, feed.checkpoint = f"{feed.out}-last", f"{feed.checkpoint}-last"
+    found = counter_table(feed, files=4, dedupe="last", version="immune")
+    assert [r[1] for r in rows(found)] == [3, 2, 1]
+    feed.out, feed.checkpoint = f"{feed.out}-none", f"{feed.checkpoint}-none"
+    with pytest.raises(Exception, match="7 has several levels on 1970-01-02"):
+        counter_table(feed, files=4, dedupe=None)
 
 
 def test_counter_stream_feeds_the_averages(feed):
     for n in range(12):
         feed.drop(COUNTER_HEADER, *(f"{n},{c},0,{n * c * 5 % 11},0" for c in (1, 2)))
     averages = stream_rolling_average(feed.stream("counter", files=12))
-    feed.finish(start_table(averages, feed.out, feed.checkpoint))
+    with rocksdb_state(feed.spark):
+        query = start_table(averages, feed.out, feed.checkpoint)
+    feed.finish(query)
     expected = closed(rolling_average(feed.batch("counter")), "1970-01-12")
     assert rows(feed.table(averages.schema)) == rows(expected)
+    with pytest.raises(ValueError, match="already has a watermark"):
+        stream_rolling_average(feed.stream("counter"), late_days=1)
+
+
+@pytest.mark.filterwarnings("ignore:slide_days")
+@pytest.mark.parametrize(("window_days", "slide_days"), [(7, 1), (10, 5), (7, 2)])
+def test_dates_before_1970(feed, window_days, slide_days):
+    feed.drop_days(days("1969-12-01", 60))
+    window = {"window_days": window_days, "slide_days": slide_days}
+    averages = stream_rolling_average(feed.stream(files=60), **window)
+    feed.finish(start_table(averages, feed.out, feed.checkpoint))
+    found = rows(feed.table(averages.schema))
+    assert found == rows(closed(rolling_average(feed.batch(), **window), "1970-01-29"))
+    assert found[0][1] < day("1970-01-01") < found[-1][1]
+
+
+def test_days_are_summed_before_they_are_copied_into_windows(feed):
+    feed.drop_days(days("2021-01-01", 3))
+    query = start_table(stream_rolling_average(feed.stream(), window_days=90), feed.out, feed.checkpoint)
+    feed.finish(query)
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    expand = plan.index("Expand")
+    # Plans are printed from the result down: below the copies, sums by key and day.
+    assert plan.count("StateStoreSave") == 2 and "StateStoreSave" in plan[expand:]
+
+
+def test_a_row_out_of_order_ends_the_change_stream(spark, feed):
+    for when in ("2021-01-05", "2021-01-02"):
+        feed.drop_days([when])
+    series = feed.stream(files=1).withColumnsRenamed({"date": "end_date", "cases": "avg"})
+    changes = stream_percent_change(series)
+    with rocksdb_state(spark):
+        query = start_table(changes, feed.out, feed.checkpoint)
+    with pytest.raises(Exception, match="2021-01-02 came after 2021-01-05"):
+        query.awaitTermination(120)
 
 
 def test_state_store_setting_is_put_back(spark):

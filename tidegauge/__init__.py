@@ -18,6 +18,7 @@ from tidegauge.plans import report_frames, run_report
 from tidegauge.sinks import read_date_prefix, read_report, write_date_prefixes, write_report
 from tidegauge.sources import Layout, count_rejects, read_raw, read_series, stream_series
 from tidegauge.streaming import (
+    read_replaced,
     rocksdb_state,
     start_rank,
     start_replace,
@@ -43,6 +44,7 @@ __all__ = [
     "rank_within",
     "read_date_prefix",
     "read_raw",
+    "read_replaced",
     "read_report",
     "read_series",
     "report_frames",

@@ -16,39 +16,44 @@ def counter_to_increments(
     level: str = "infected",
     anchor: str = COUNTER_ANCHOR,
     *,
-    dedupe: str | None = None,
+    dedupe: str | None = "max",
     version: str | None = None,
 ) -> DataFrame:
     """Turn levels per day number into the series ``(date, cases, country)``.
 
-    Each row becomes its difference to the previous row of its key; the first
-    level counts whole. Levels may fall, so increments may be negative.
+    Each day's level becomes its difference to that of the day before it of its key; the
+    first level counts whole. Levels may fall, so increments may be negative.
 
-    A key is expected to hold one row per day, which bounds it by the calendar.
-    Where it may hold several, ``dedupe="max"`` keeps the highest level of a day and
-    ``dedupe="last"`` the one with the greatest ``version``; both reduce the rows
-    before they are shuffled. Without it all rows are kept, and rows of the same
-    day are taken in order of their level.
+    A key has one level a day. Of several rows of a day, ``dedupe="max"`` keeps the
+    highest level and ``dedupe="last"`` the one with the greatest ``version``; both reduce
+    the rows before they are shuffled by key, so a key has no more rows than days there.
+    ``dedupe=None`` saves that step where days are known to be unique; a day with several
+    rows then ends the query.
 
     The result is hash-partitioned by ``country``.
     """
+    check_dedupe(dedupe, version)
     levels = df.select(
         F.date_add(F.lit(anchor).cast("date"), F.col(day)).alias("date"),
         F.col(key).cast("string").alias("country"),
         F.col(level).alias("_level"),
-        *([F.col(version).alias("_version")] if version else []),
+        *([F.col(version).alias("_version")] if dedupe == "last" else []),
     )
-    if dedupe == "max":
-        levels = levels.groupBy("country", "date").agg(F.max("_level").alias("_level"))
-    elif dedupe == "last":
-        if version is None:
-            raise ValueError("dedupe='last' needs a version column to order the rows of a day")
-        levels = levels.groupBy("country", "date").agg(
-            F.max_by("_level", "_version").alias("_level")
-        )
-    elif dedupe is not None:
+    if dedupe is not None:
+        kept = F.max("_level") if dedupe == "max" else F.max_by("_level", "_version")
+        levels = levels.groupBy("country", "date").agg(kept.alias("_level"))
+        # One shuffle by key; the totals above were shuffled by key and day.
+    in_order = Window.partitionBy("country").orderBy("date")
+    increment = F.col("_level") - F.lag("_level", 1, 0).over(in_order)
+    if dedupe is None:
+        twice = F.lag("date").over(in_order) == F.col("date")
+        refused = F.raise_error(F.concat(F.col("country"), F.lit(" has several levels on "), F.col("date")))
+        increment = F.when(twice, refused.cast(df.schema[level].dataType)).otherwise(increment)
+    return levels.select("date", increment.alias("cases"), "country")
+
+
+def check_dedupe(dedupe: str | None, version: str | None) -> None:
+    if dedupe not in (None, "max", "last"):
         raise ValueError(f"dedupe must be None, 'max' or 'last', got {dedupe!r}")
-    in_order = Window.partitionBy("country").orderBy("date", "_level")
-    return levels.select(
-        "date", (F.col("_level") - F.lag("_level", 1, 0).over(in_order)).alias("cases"), "country"
-    )
+    if dedupe == "last" and version is None:
+        raise ValueError("dedupe='last' needs a version column to order the rows of a day")

@@ -27,7 +27,7 @@ from tidegauge.functions import (
     last_window_start,
     percent_change_of,
 )
-from tidegauge.operators.keys import key_names
+from tidegauge.operators.keys import check_dates, key_names
 
 
 def daily_totals(
@@ -43,6 +43,7 @@ def daily_totals(
     keeps its row, with a NULL total.
     """
     keys = key_names(key)
+    check_dates(df, date)
     return (
         df.where(F.col(date).isNotNull())
         .groupBy(*keys, date)
@@ -191,6 +192,7 @@ def _window_runs(
     A run covers the window starts ``_start, _start + slide, ...`` below ``_until``.
     """
     divisor = check_window(window_days, slide_days, strict)
+    check_dates(df, date)
     exact = isinstance(df.schema[value].dataType, (T.IntegralType, T.DecimalType))
     daily = (
         df.where(F.col(date).isNotNull())

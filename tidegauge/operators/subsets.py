@@ -2,7 +2,7 @@
 
 A DATE has fewer than four million values, so a table of the distinct dates is
 bounded by the calendar however large the data is. That bound is what allows it
-to be numbered in one task and broadcast.
+to be numbered in one task and broadcast; columns of other types are refused.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.keys import check_dates
+
 
 def date_prefix(df: DataFrame, dates: int, date: str = "date") -> DataFrame:
     """Rows on the first ``dates`` distinct dates, in calendar order.
@@ -18,6 +20,7 @@ def date_prefix(df: DataFrame, dates: int, date: str = "date") -> DataFrame:
     they are scanned, without a join or a shuffle.
     """
     _check_count("dates", dates)
+    check_dates(df, date)
     first = df.select(date).where(F.col(date).isNotNull()).distinct().orderBy(date).limit(dates)
     return df.where(F.col(date) <= first.agg(F.max(date)).scalar())
 
@@ -31,6 +34,7 @@ def date_prefix_buckets(
     every prefix. Rows without a date are in none.
     """
     _check_count("step", step)
+    check_dates(df, date)
     days = df.select(date).where(F.col(date).isNotNull()).distinct()
     numbered = F.broadcast(_with_bucket(days, step, date, bucket))
     return df.join(numbered, date).select(*df.columns, bucket)
@@ -41,6 +45,7 @@ def date_prefix_counts(
 ) -> DataFrame:
     """Dates and records of each bucket, and records of the prefix it completes."""
     _check_count("step", step)
+    check_dates(df, date)
     days = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.count(F.lit(1)).alias("_rows"))
     per_bucket = (
         _with_bucket(days, step, date, bucket)

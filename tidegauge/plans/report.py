@@ -46,17 +46,20 @@ def run_report(
     strict: bool = False,
     partitions: int | None = None,
     sort_output: bool = False,
+    dedupe: str | None = "max",
+    version: str | None = None,
 ) -> tuple[str, str]:
     """Read CSV reports, write ``<out_dir>/avg`` and ``<out_dir>/rank``.
 
     Both outputs come from one computation of the averages. What is kept on the executors
     meanwhile are the runs of equal windows, which are expanded again for each output; a
-    lost executor's share is recomputed from the source.
+    lost executor's share is recomputed from the source. ``dedupe`` and ``version`` are those
+    of ``read_series``.
     """
     layout = Layout.of(layout)
     avg_path, rank_path = f"{out_dir}/avg", f"{out_dir}/rank"
     runs = change_runs(
-        read_series(spark, paths, layout),
+        read_series(spark, paths, layout, dedupe=dedupe, version=version),
         window_days=window_days,
         slide_days=slide_days,
         strict=strict,

@@ -3,7 +3,6 @@
 from tidegauge.sources.layouts import (
     CASE_REPORT_SCHEMA,
     COUNTER_SCHEMA,
-    SERIES_SCHEMA,
     Layout,
 )
 from tidegauge.sources.reports import count_rejects, read_raw, read_series, stream_series
@@ -11,7 +10,6 @@ from tidegauge.sources.reports import count_rejects, read_raw, read_series, stre
 __all__ = [
     "CASE_REPORT_SCHEMA",
     "COUNTER_SCHEMA",
-    "SERIES_SCHEMA",
     "Layout",
     "count_rejects",
     "read_raw",

@@ -35,14 +35,6 @@ COUNTER_SCHEMA = T.StructType(
     ]
 )
 
-SERIES_SCHEMA = T.StructType(
-    [
-        T.StructField("date", T.DateType(), True),
-        T.StructField("cases", T.IntegerType(), True),
-        T.StructField("country", T.StringType(), True),
-    ]
-)
-
 
 class Layout(Enum):
     """Layout of a CSV report."""

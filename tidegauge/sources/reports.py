@@ -29,12 +29,23 @@ def read_raw(
 
 
 def read_series(
-    spark: SparkSession, paths: str | Sequence[str], layout: str | Layout = Layout.CASE_REPORT
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    layout: str | Layout = Layout.CASE_REPORT,
+    *,
+    dedupe: str | None = "max",
+    version: str | None = None,
 ) -> DataFrame:
-    """One or more CSV files as the series ``(date, cases, country)``."""
+    """One or more CSV files as the series ``(date, cases, country)``.
+
+    ``dedupe`` and ``version`` (a column of the files) say which of several rows of a key and
+    day counts; they are those of ``counter_to_increments`` and only for counter files.
+    """
     layout = Layout.of(layout)
     raw = read_raw(spark, paths, layout)
-    return _case_series(raw) if layout is Layout.CASE_REPORT else counter_to_increments(raw)
+    if layout is Layout.CASE_REPORT:
+        return _case_series(raw)
+    return counter_to_increments(raw, dedupe=dedupe, version=version)
 
 
 def stream_series(
@@ -42,10 +53,15 @@ def stream_series(
     path: str,
     layout: str | Layout = Layout.CASE_REPORT,
     max_files_per_trigger: int | None = None,
+    *,
+    late_days: int = 0,
+    dedupe: str | None = "max",
+    version: str | None = None,
 ) -> DataFrame:
     """A folder of CSV files as a stream of the series ``(date, cases, country)``.
 
-    Counter files are expected to arrive in day order.
+    ``late_days``, ``dedupe`` and ``version`` are those of ``stream_counter_to_increments``
+    and only for counter files.
     """
     layout = Layout.of(layout)
     reader = spark.readStream.schema(layout.schema).options(**layout.read_options)
@@ -54,7 +70,9 @@ def stream_series(
     raw = reader.csv(path)
     if layout is Layout.CASE_REPORT:
         return _case_series(raw)
-    return stream_counter_to_increments(raw)
+    return stream_counter_to_increments(
+        raw, late_days=late_days, dedupe=dedupe, version=version
+    )
 
 
 def count_rejects(

@@ -3,10 +3,11 @@
 from tidegauge.streaming.change import stream_percent_change
 from tidegauge.streaming.counters import stream_counter_to_increments
 from tidegauge.streaming.rolling import stream_rolling_average
-from tidegauge.streaming.sinks import start_rank, start_replace, start_table
+from tidegauge.streaming.sinks import read_replaced, start_rank, start_replace, start_table
 from tidegauge.streaming.state import rocksdb_state
 
 __all__ = [
+    "read_replaced",
     "rocksdb_state",
     "start_rank",
     "start_replace",

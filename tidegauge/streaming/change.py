@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -21,39 +21,37 @@ def stream_percent_change(
 ) -> DataFrame:
     """``percent_change`` over a stream that brings each key's rows in order.
 
-    The state of a key is its last value, NULL included. One trigger may close
-    several windows of a key; they are put in order before they are compared.
+    The state of a key is its last row's value, NULL included, and place in the order. One
+    trigger may close several windows of a key; they are put in order before they are
+    compared. A row whose place lies before that of an earlier trigger's row ends the query:
+    what came out for the later row can't be taken back.
 
     Runs on the RocksDB state store: start the query inside ``rocksdb_state``, or with
     ``spark.sql.streaming.stateStore.providerClass`` set accordingly.
     """
+    schema = T.StructType([*df.schema.fields, T.StructField(output, T.DoubleType(), True)])
+    state = T.StructType(
+        [
+            T.StructField("value", T.DoubleType(), True),
+            T.StructField("place", df.schema[order].dataType, True),
+        ]
+    )
     names = df.columns
-    state_schema = T.StructType([T.StructField("last", T.DoubleType(), True)])
 
     class Compare(StatefulProcessor):
-        def init(self, handle):
-            self._last = handle.getValueState("last", state_schema)
-
-        def handleInputRows(self, key, rows, timerValues):
-            series = pd.concat(list(rows), ignore_index=True)[names].sort_values(order)
-            values = series[value].astype("float64")
-            previous = values.shift(1)
-            if self._last.exists():
-                before = self._last.get()[0]
-                previous.iloc[0] = float("nan") if before is None else before
-            last = values.iloc[-1]
-            self._last.update((None if pd.isna(last) else float(last),))
-            base = previous.where(previous != 0.0)
-            yield series.assign(**{output: (values - previous) / base * 100.0})
-
-        def close(self):
-            pass
-
-    return df.groupBy(*key_names(key)).transformWithStateInPandas(
-        statefulProcessor=Compare(),
-        outputStructType=T.StructType(
-            [*df.schema.fields, T.StructField(output, T.DoubleType(), True)]
-        ),
-        outputMode="Append",
-        timeMode="None",
-    )
+        def init(self, handle: Any) -> None:
+            self._last = handle.getValueState("last", state)
+
+        def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+            series = sorted(rows, key=lambda row: row[order])
+            before, place = self._last.get() if self._last.exists() else (None, None)
+            if place is not None and series[0][order] < place:
+                raise ValueError(f"{order} {series[0][order]} came after {place} of the same key")
+            for row in series:
+                now = None if row[value] is None else float(row[value])
+                change = (now - before) / before * 100.0 if now is not None and before else None
+                yield Row(**{name: row[name] for name in names}, **{output: change})
+                before = now
+            self._last.update((before, series[-1][order]))
+
+    return df.groupBy(*key_names(key)).transformWithState(Compare(), schema, "Append", "None")

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import date, datetime, timezone
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tidegauge.operators.counters import COUNTER_ANCHOR
+from pyspark.sql.streaming import StatefulProcessor
 
+from tidegauge.operators.counters import COUNTER_ANCHOR, check_dedupe
+from tidegauge.streaming.days import DAY_SECONDS, SHIFT_DAYS, day_of_millis, event_time
 
 def stream_counter_to_increments(
     df: DataFrame,
@@ -20,41 +20,105 @@ def stream_counter_to_increments(
     day: str = "day",
     level: str = "infected",
     anchor: str = COUNTER_ANCHOR,
+    late_days: int = 0,
+    *,
+    dedupe: str | None = "max",
+    version: str | None = None,
 ) -> DataFrame:
-    """``counter_to_increments`` over a stream that brings each key's days in order.
+    """``counter_to_increments`` over a stream, by event time.
+
+    The levels of a key are kept by day until the newest day seen is ``late_days`` past
+    them, and only then compared with the day before, in the order of the days. Files may
+    so come in any order within ``late_days``. A row of a day that is already closed is
+    dropped; Spark counts it in ``numRowsDroppedByWatermark`` of the query's progress.
+
+    ``dedupe`` and ``version`` are those of the batch operator; without ``dedupe`` a second
+    row of an open day ends the query. Rows without a day are dropped.
 
-    Spark has no ``lag`` over a stream, so the last level of each key is kept as state.
+    The result has a column more than that of the batch operator, ``event_time``: the date as
+    an event time with the stream's watermark. ``stream_rolling_average`` goes on with it;
+    leave it out only where no operator by event time follows.
+
+    Runs on the RocksDB state store: start the query inside ``rocksdb_state``, or with
+    ``spark.sql.streaming.stateStore.providerClass`` set accordingly.
     """
-    levels = df.select(
-        F.date_add(F.lit(anchor).cast("date"), F.col(day)).alias("date"),
-        F.col(key).cast("string").alias("country"),
-        F.col(level).cast("int").alias("_level"),
-    )
-    out_schema = T.StructType(
+    check_dedupe(dedupe, version)
+    kind = df.schema[level].dataType
+    schema = T.StructType(
         [
             T.StructField("date", T.DateType(), True),
-            T.StructField("cases", T.IntegerType(), True),
+            T.StructField("cases", kind, True),
             T.StructField("country", T.StringType(), True),
+            T.StructField("event_time", T.TimestampType(), True),
         ]
     )
-    state_schema = T.StructType([T.StructField("last", T.IntegerType(), True)])
-
-    def difference(
-        key_value: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(
-            ["date", "_level"], na_position="first"
-        )
-        current = rows["_level"].astype("Int32")
-        previous = current.shift(1)
-        last = state.get[0] if state.exists else 0
-        previous.iloc[0] = pd.NA if last is None else last
-        newest = current.iloc[-1]
-        state.update((None if pd.isna(newest) else int(newest),))
-        yield pd.DataFrame(
-            {"date": rows["date"], "cases": current - previous, "country": key_value[0]}
+    on = F.date_add(F.lit(anchor).cast("date"), F.col(day))
+    levels = df.select(
+        on.alias("date"),
+        F.col(key).cast("string").alias("country"),
+        F.col(level).alias("level"),
+        F.col(version if dedupe == "last" else level).cast("bigint").alias("version"),
+        event_time(on).alias("_at"),
+    )
+    return (
+        levels.where(F.col("date").isNotNull())
+        .withWatermark("_at", f"{late_days} days")
+        .groupBy("country")
+        .transformWithState(
+            _increments(dedupe, kind.simpleString()), schema, "Append", "EventTime", eventTimeColumnName="event_time"
         )
-
-    return levels.groupBy("country").applyInPandasWithState(
-        difference, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout
     )
+
+
+def _increments(dedupe: str | None, kind: str) -> StatefulProcessor:
+    class Increments(StatefulProcessor):
+        def init(self, handle: Any) -> None:
+            self._handle = handle
+            self._open = handle.getMapState("open", "day date", f"level {kind}, version bigint")
+            self._last = handle.getValueState("last", f"level {kind}")
+
+        def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+            for row in rows:
+                kept = (row.date,)
+                if self._open.containsKey(kept):
+                    if dedupe is None:
+                        raise ValueError(f"{key[0]} has several levels on {row.date}; give dedupe")
+                    if not _newer(row, self._open.getValue(kept)):
+                        continue
+                else:
+                    # Just before the day's own time: the timer is due once that is reached.
+                    self._handle.registerTimer(_millis(row.date) - 1)
+                self._open.updateValue(kept, (row.level, row.version))
+            return iter(())
+
+        def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+            reached = day_of_millis(timerValues.getCurrentWatermarkInMs())
+            due = sorted(kept[0] for kept in self._open.keys() if kept[0] <= reached)
+            for when in due:
+                level = self._open.getValue((when,))[0]
+                before = self._last.get()[0] if self._last.exists() else 0
+                known = level is not None and before is not None
+                yield Row(
+                    date=when,
+                    cases=level - before if known else None,
+                    country=key[0],
+                    event_time=_time(when),
+                )
+                self._last.update((level,))
+                self._open.removeKey((when,))
+
+    return Increments()
+
+
+def _newer(row: Row, held: Any) -> bool:
+    """Whether the row replaces the level held for its day: a higher version (in "max", the
+    level itself); NULL is the lowest."""
+    return row.version is not None and (held[1] is None or row.version > held[1])
+
+
+def _time(when: date) -> datetime:
+    return datetime.fromtimestamp(_millis(when) // 1000, timezone.utc)
+
+
+def _millis(when: date) -> int:
+    return ((when - date(1970, 1, 1)).days + SHIFT_DAYS) * DAY_SECONDS * 1000

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidegauge.operators.rank import rank_within
 
@@ -33,10 +35,16 @@ def start_table(
 def start_replace(
     df: DataFrame, path: str, checkpoint: str, trigger: dict[str, object] | None = None
 ) -> StreamingQuery:
-    """Replace a Parquet table with the complete result at every trigger."""
+    """Write the complete result of every trigger; ``read_replaced`` gives the newest.
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Each micro-batch owns a folder and overwrites it when it is run again. Its number goes to
+    ``<path>/complete`` once the folder is written, so a reader never sees part of a result.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
+        done = batch.sparkSession.range(batch_id, batch_id + 1)
+        done.write.mode("append").parquet(f"{path}/complete")
 
     return (
         df.writeStream.foreachBatch(replace)
@@ -47,6 +55,12 @@ def start_replace(
     )
 
 
+def read_replaced(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest complete result that ``start_replace`` wrote."""
+    newest = spark.read.schema("id bigint").parquet(f"{path}/complete").agg(F.max("id")).first()[0]
+    return spark.read.schema(schema).parquet(f"{path}/batch-{newest}")
+
+
 def start_rank(
     df: DataFrame,
     path: str,

@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+_SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
+def work_dir(spark: SparkSession, name: str, base: str | None = None) -> str:
     """A new folder path that every executor can reach.
 
-    It lies in the shared folder the session names in ``spark.checkpoint.dir``. Only a
-    local session may go without that setting; it gets a folder of its own.
+    It lies in ``base``, else in the shared folder that the session names in
+    ``spark.checkpoint.dir``, else in the warehouse.
     """
-    shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{_SETTING} must name a folder shared by the cluster")
-        shared = tempfile.mkdtemp(prefix="tidegauge-")
+    given = (base, *(spark.conf.get(x, None) or spark.sparkContext.getConf().get(x) for x in _SETTINGS))
+    shared = next((x for x in given if x), None)
+    if shared is None:
+        raise ValueError(f"no shared folder: give base or set {_SETTINGS[0]}")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
