@@ -51,21 +51,31 @@ def _seeded(df: DataFrame, masks: tuple[str, ...], id_name: str, words: str, pla
 
 def _verified(hits: DataFrame, window: int, share: float) -> DataFrame:
     """Hits (doc_id, words, pos, item_id, item_words, item_pos) with the number of equal tokens
-    in their window, of those where it suffices."""
+    in their window, and whether it suffices.
+
+    The two windows are cut out first, and moved to where the item's hits in the document are
+    counted: the loop over all seeds holds no comparison, and nothing after it a whole text.
+    """
     length = F.size("item_words")
     width = F.least(F.lit(window), length)
     before = (window - 5) // 2
     first = F.greatest(F.lit(0), F.least(F.col("item_pos") - before, length - window))
-    shift = F.col("pos") - F.col("item_pos")
-    hits = hits.select("doc_id", "words", "item_id", "item_words", width.alias("width"), first.alias("first"), shift.alias("shift"))
-    equal = F.lit(0)
-    for k in range(window):
-        at = F.col("first") + k
-        # Beyond the end of either, the comparison is NULL and counts as unequal.
-        theirs = F.when(at + F.col("shift") >= 0, F.get("words", at + F.col("shift")))
-        equal = equal + F.coalesce((F.get("item_words", at) == theirs).cast("int"), F.lit(0))
-    found = hits.select("doc_id", "item_id", "width", equal.alias("n_equal"))
-    return found.where(F.col("n_equal") >= F.ceil(F.lit(share) * F.col("width")))
+    there = first + F.col("pos") - F.col("item_pos")
+    # Places of the item before the document's first token are unequal.
+    missing = F.greatest(F.lit(0), -there)
+    cut = hits.select(
+        "doc_id",
+        "item_id",
+        width.alias("width"),
+        F.slice("item_words", first + missing + 1, width - missing).alias("theirs"),
+        F.slice("words", there + missing + 1, width - missing).alias("ours"),
+    )
+    cut = cut.repartition("doc_id", "item_id")
+    # Beyond the document's last token, the comparison is NULL.
+    pairs = F.zip_with("theirs", "ours", lambda x, y: x == y)
+    equal = F.size(F.filter(pairs, lambda x: x))
+    enough = F.col("n_equal") >= F.ceil(F.lit(share) * F.col("width"))
+    return cut.withColumn("n_equal", equal).select("doc_id", "item_id", "n_equal", enough.alias("enough"))
 
 
 def contaminated(
@@ -105,7 +115,11 @@ def contaminated(
         with_items = items.withColumnRenamed("item_id", "_item")
         hits = hits.join(with_items, F.col("item_id").eqNullSafe(F.col("_item")))
     found = _verified(hits, window, share)
-    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.max("n_equal").alias("n_equal"))
+    # Dropping hits before they are counted would pull the comparison into the loop over seeds.
+    counted = found.groupBy("doc_id", "item_id").agg(
+        F.count_if("enough").alias("n_hits"), F.max("n_equal").alias("n_equal")
+    )
+    return counted.where("n_hits > 0")
 
 
 def _words_sql(text: str) -> str:
