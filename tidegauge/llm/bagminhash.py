@@ -9,13 +9,14 @@ earliest point. Two documents agree in a slot with a probability equal to their
 Jaccard similarity. Only the points up to a time that fills all slots are made, so that a
 signature costs about the same for short and long texts.
 
-Slots are banded. Documents that share a band are compared through leaders: first with the
-least document of the band, then, where a band still holds several components, with a growing
-share of its members as leaders, until every member was one or all are connected. So links
-are never lost to a cap, and near copies of one text are not expanded into all pairs. A pair is
-compared if its signatures agree in ``agree`` slots or more, and is a link if the exact
-similarity of the multisets is at least ``threshold``. Exact copies are one document from the
-start.
+Slots are banded. Documents that share a band get a longer signature of which one bit of each
+slot is kept, and are compared through leaders: first with the one that meets the most others,
+then, where a band still holds several components, with some LEADERS of its members, and last
+with each other, but only across components. So no link between components is lost to a cap,
+and near copies of one text are not expanded into all pairs. A pair is compared only if its
+sizes and bits allow a similarity of ``threshold`` (a pair that has it is missed once in 30,000
+times), at the first band it shares; it is a link if the exact similarity of the multisets is
+at least ``threshold``. Exact copies are one document from the start.
 
 Words are runs of letters and digits without regard to case (ASCII and Latin-1); every
 character beyond ASCII counts as a letter.
@@ -30,11 +31,11 @@ input stay, and a column that has the name of a result is replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import bytesops
@@ -44,9 +45,9 @@ from tidegauge.llm.frames import free_name, stored
 
 SIZE = 5
 THRESHOLD = 0.8
-SLOTS = 64
-BAND_ROWS = 4
-GROWTH = 8
+BANDS, BAND_ROWS = 16, 4
+MARKS = 1024
+LEADERS = 32
 BROADCAST_NODES = 1_000_000
 _SLICE = 2 << 20
 _LEAST = -(2**63)
@@ -123,50 +124,65 @@ def similarities(left, right, size: int) -> np.ndarray:
 # --- On Spark ----------------------------------------------------------------------
 
 
-def _signed(size: int, slots: int, band_rows: int):
+def _signed(size: int):
+    """Sizes and bands of documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = bytesops.text_bytes(batch.column(3))
             for low, high in bytesops.slices(offsets, _SLICE):
                 own = offsets[low : high + 1]
                 hashes, rows, counts = _shingled(data[own[0] : own[-1]], own - own[0], size)
-                times = signatures(hashes, rows, counts, high - low, slots)
-                marks = bytesops.mix(times.view(U64))
-                bands = np.zeros((high - low, slots // band_rows), U64)
-                for k in range(band_rows):
-                    bands = bytesops.mix(bands + marks[:, k::band_rows])
-                bands = bytesops.mix(bands + np.arange(bands.shape[1], dtype=U64))
-                worded = np.isfinite(times[:, 0])
-                short = (marks >> U64(48)).astype("<u2")
+                weights = np.bincount(rows, counts, high - low).astype(np.int64)
+                times = signatures(hashes, rows, counts, high - low, BANDS * BAND_ROWS)
+                slots = bytesops.mix(times.view(U64))
+                bands = np.zeros((high - low, BANDS), U64)
+                for k in range(BAND_ROWS):
+                    bands = bytesops.mix(bands + slots[:, k::BAND_ROWS])
+                bands = bytesops.mix(bands + np.arange(BANDS, dtype=U64))
                 part = batch.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        part.column(2),
-                        pa.array([x.tobytes() if w else None for x, w in zip(short, worded, strict=True)], pa.binary()),
-                        pa.array([x if w else None for x, w in zip(bands.view(np.int64), worded, strict=True)], pa.list_(pa.int64())),
-                    ],
-                    ["node", "number", "digest", "signature", "bands"],
-                )
+                columns = [part.column(0), part.column(1), part.column(2), pa.array(weights), _rows_of(bands)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "number", "digest", "weight", "bands"])
 
     return run
 
 
-def _agreeing(least: int):
-    """Keep the pairs whose signatures agree in so many slots."""
+def _marked(size: int):
+    """One bit of each slot of a long signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in (2, 3)]
-            kept = pa.array((sides[0] == sides[1]).sum(axis=1) >= least)
-            yield batch.select([0, 1]).filter(kept)
+            data, offsets = bytesops.text_bytes(batch.column(1))
+            for low, high in bytesops.slices(offsets, _SLICE, 2000):
+                own = offsets[low : high + 1]
+                hashes, rows, counts = _shingled(data[own[0] : own[-1]], own - own[0], size)
+                slots = bytesops.mix(signatures(hashes, rows, counts, high - low, MARKS).view(U64))
+                bits = (slots >> U64(63)).reshape(high - low, -1, 64) << np.arange(64, dtype=U64)
+                columns = [batch.column(0).slice(low, high - low), _rows_of(bits.sum(axis=2, dtype=U64))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "marks"])
 
     return run
 
 
+def _rows_of(matrix: np.ndarray) -> pa.Array:
+    first = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(first, np.ascontiguousarray(matrix).view(np.int64).ravel())
+
+
+def _differing(left: str, right: str) -> Column:
+    """In how many marks two documents differ."""
+    total = F.lit(0)
+    for k in range(MARKS // 64):
+        total = total + F.bit_count(F.get(left, F.lit(k)).bitwiseXOR(F.get(right, F.lit(k))))
+    return total
+
+
+def _first_shared(left: str, right: str) -> Column:
+    """The number of the first band that two documents share."""
+    same = (F.when(F.get(left, F.lit(k)) == F.get(right, F.lit(k)), F.lit(k)) for k in range(BANDS))
+    return F.coalesce(*same)
+
+
 def _verified(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,36 +200,25 @@ def near_duplicates(
     df: DataFrame,
     size: int = SIZE,
     threshold: float = THRESHOLD,
-    slots: int = SLOTS,
-    band_rows: int = BAND_ROWS,
-    agree: int | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
+    names: Sequence[str] = ("class_id", "class_size", "is_first"),
 ) -> DataFrame:
-    """``df`` with class_id (the least doc_id of its class of linked documents), class_size
-    (documents) and is_first (true for one document of each class, one with that doc_id).
-
-    ``agree`` defaults to the slots that a pair at the threshold misses with a probability of
-    about 1e-9: its mean less six standard deviations.
-    """
-    if slots % band_rows:
-        raise ValueError("slots must be a multiple of band_rows")
-    if agree is None:
-        agree = int(slots * threshold - 6 * math.sqrt(slots * threshold * (1 - threshold)))
-    names = df.columns
-    node = free_name(names, "node")
+    """``df`` with the least doc_id of a document's class of linked documents, the class's
+    number of documents, and whether it is the class's first (one with that doc_id)."""
+    node = free_name([*df.columns, *names], "node")
     # A copy whose rows have numbers of their own: ids may repeat, and copies are told apart.
     rows = stored(df.withColumn(node, F.monotonically_increasing_id()), "rows")
     number = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LEAST))
     given = rows.select(
         F.col(node).alias("node"), number.alias("number"), F.md5(F.col(text).cast("binary")).alias("digest"), F.col(text).alias("text")
     )
-    schema = "node bigint, number bigint, digest string, signature binary, bands array<bigint>"
-    signed = stored(given.mapInArrow(_signed(size, slots, band_rows), schema), "signatures")
-    worded = signed.where(F.col("signature").isNotNull())
+    schema = "node bigint, number bigint, digest string, weight bigint, bands array<bigint>"
+    signed = stored(given.mapInArrow(_signed(size), schema), "signatures")
+    worded = signed.where("weight > 0")
     copies = worded.groupBy("digest").agg(F.min("node").alias("rep"))
     reps = worded.join(copies.select(F.col("rep").alias("node")), "node", "left_semi")
-    roots = _linked(rows, node, text, reps, size, threshold, agree)
+    roots = _linked(rows, node, text, reps, size, threshold)
 
     classed = signed.join(copies, "digest", "left").select("node", "number", F.coalesce("rep", "node").alias("rep"))
     classed = classed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -223,69 +228,87 @@ def near_duplicates(
     first = classed.groupBy("root").agg(F.min(F.struct("number", "node")).alias("first"), F.count("*").alias("class_size"))
     result = classed.join(first, "root").select(
         F.col("node").alias(node),
-        F.nullif(F.col("first.number"), F.lit(_LEAST)).alias("class_id"),
-        "class_size",
-        (F.col("first.node") == F.col("node")).alias("is_first"),
+        F.nullif(F.col("first.number"), F.lit(_LEAST)).alias(names[0]),
+        F.col("class_size").alias(names[1]),
+        (F.col("first.node") == F.col("node")).alias(names[2]),
     )
-    made = {"class_id", "class_size", "is_first"}
-    kept = [c for c in names if c.lower() not in made]
+    kept = [c for c in df.columns if c.lower() not in {x.lower() for x in names}]
     return rows.select(node, *kept).join(result, node).drop(node)
 
 
-def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, threshold: float, agree: int) -> DataFrame:
+def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, threshold: float) -> DataFrame:
     """(node, root) of the distinct texts that have a link."""
-    spark = rows.sparkSession
-    banded = reps.select("node", F.explode("bands").alias("band"))
+    # A pair at the threshold differs in more of the kept marks with a probability of 3e-5.
+    chance = (1 - threshold) / 2
+    apart = int(MARKS * chance + 4 * math.sqrt(MARKS * chance * (1 - chance)))
+    banded = reps.select("node", F.posexplode("bands").alias("nth", "band"))
     # Counts first: only bands with several texts go on.
-    bands = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
+    bands = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(banded.join(bands, "band"), "bands")
-    wanted = stored(members.select("node").distinct(), "wanted")
+    # Documents that share bands with many lead: others are likest to them.
+    wanted = stored(members.groupBy("node").agg(F.sum("n").alias("met")), "wanted")
     few = wanted.count() <= BROADCAST_NODES
+    chosen = F.broadcast(wanted.select("node")) if few else wanted.select("node")
     texts = rows.select(F.col(node).alias("node"), F.col(text).alias("text"))
-    texts = stored(texts.join(F.broadcast(wanted) if few else wanted, "node", "left_semi"), "texts")
-    marks = stored(reps.select("node", "signature").join(wanted, "node", "left_semi"), "marks")
+    texts = stored(texts.join(chosen, "node", "left_semi"), "texts")
+    marked = texts.mapInArrow(_marked(size), "node bigint, marks array<bigint>")
+    marks = reps.select("node", "weight", "bands").join(wanted, "node").join(marked, "node")
+    marks = stored(marks, "marks")
+    members = members.join(marks.select("node", "met"), "node")
+
+    def alike(left: str, right: str) -> Column:
+        ratio = F.least(f"{left}weight", f"{right}weight") >= threshold * F.greatest(f"{left}weight", f"{right}weight")
+        return ratio & (_differing(f"{left}marks", f"{right}marks") <= apart)
+
+    def sides(*columns: str) -> list[DataFrame]:
+        return [marks.select(F.col("node").alias(x), *(F.col(c).alias(x + c) for c in columns)) for x in "ab"]
 
     def checked(pairs: DataFrame) -> DataFrame:
-        left, right = (marks.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}")) for x in "ab")
-        likely = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-        likely = likely.mapInArrow(_agreeing(agree), "a bigint, b bigint")
         left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
-        full = likely.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-        found = full.mapInArrow(_verified(size), "a bigint, b bigint, similarity double")
-        return stored(found, "similarities")
-
-    pairs = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = checked(pairs).where(F.col("similarity") >= threshold)
-    roots = connected(links)
-    done = stored(pairs, "pairs")
-    share = 1
-    while True:
-        placed = members.join(roots, "node", "left").select("band", "n", "node", F.coalesce("root", "node").alias("root"))
+        full = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+        return stored(full.mapInArrow(_verified(size), "a bigint, b bigint, similarity double"), "similarities")
+
+    leaders = members.groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("leader"))
+    pairs = members.join(leaders, "band").where("node != leader")
+    pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    left, right = sides("weight", "marks")
+    done = stored(pairs.join(left, "a").join(right, "b").where(alike("a", "b")).select("a", "b"), "pairs")
+    roots = connected(checked(done).where(F.col("similarity") >= threshold))
+    for share in (LEADERS, None):
+        placed = members.join(roots, "node", "left").select("band", "nth", "n", "met", "node", F.coalesce("root", "node").alias("root"))
         several = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        still = stored(placed.join(several.select("band"), "band", "left_semi"), "open")
-        largest = still.agg(F.max("n")).first()[0]
-        if largest is None or share >= largest:
-            return roots
-        share *= GROWTH
-        # A member leads with probability share / n; all do once the share reaches n.
-        chance = (F.xxhash64("node", F.lit(share)) / 2.0**64) + 0.5
-        leads = still.where(chance * F.col("n") < share).select(
-            "band", F.col("node").alias("l"), F.col("root").alias("l_root")
+        still = placed.join(several.select("band"), "band", "left_semi")
+        still = stored(still.join(marks.select("node", "weight", "marks", "bands"), "node"), "open")
+        leads = still
+        if share is not None:
+            # The documents that meet the most others, by a bound on their share of the band.
+            rank = (F.xxhash64("node") / 2.0**64) + 0.5
+            leads = still.where(rank * F.col("n") < share)
+        left, right = (
+            frame.select("band", *(F.col(c).alias(x + c) for c in ("nth", "node", "root", "weight", "marks", "bands")))
+            for x, frame in (("a", leads), ("b", still))
         )
-        met = still.where(F.col("n") > share // GROWTH).join(leads, "band").where("root != l_root")
-        pairs = met.select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b")).distinct()
+        met = (F.col("aroot") != F.col("broot")) & (left["band"] == right["band"])
+        if share is None:
+            met &= F.col("anode") < F.col("bnode")
+        met = left.join(right, met & alike("a", "b") & (_first_shared("abands", "bbands") == F.col("anth")))
+        pairs = met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = stored(done.unionByName(pairs), "done")
+        done = done.unionByName(pairs)
         links = checked(pairs).where(F.col("similarity") >= threshold)
-        named = roots.select(F.col("node"), F.col("root"))
-        ends = links
-        for x in "ab":
-            own = named.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
-            ends = ends.join(own, x, "left").withColumn(f"r{x}", F.coalesce(f"r{x}", x))
-        joined = connected(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a != b"))
-        above = joined.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        fresh = above.select(F.col("root").alias("node"), "root").join(roots.select("node"), "node", "left_anti")
-        roots = stored(
-            roots.unionByName(fresh).join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root")),
-            "roots",
-        )
+        roots = _merged(roots, links)
+    return roots
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after new links between their components or to nodes without one."""
+    ends = links
+    for x in "ab":
+        own = roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
+        ends = ends.join(own, x, "left").withColumn(f"r{x}", F.coalesce(f"r{x}", x))
+    ends = ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a != b")
+    joined = connected(ends)
+    above = joined.select(F.col("node").alias("root"), F.col("root").alias("above"))
+    fresh = joined.select("node", F.col("node").alias("root")).join(roots.select("node"), "node", "left_anti")
+    both = roots.unionByName(fresh).join(above, "root", "left")
+    return stored(both.select("node", F.coalesce("above", "root").alias("root")), "roots")

@@ -99,12 +99,13 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most ``limit`` bytes together, or of one row that has more."""
+def slices(offsets: np.ndarray, limit: int, most: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` rows with at most ``limit`` bytes together, or of one row that
+    has more."""
     low, rows = 0, len(offsets) - 1
     while low < rows:
         high = int(np.searchsorted(offsets, offsets[low] + limit, side="right")) - 1
-        high = min(rows, max(high, low + 1))
+        high = min(rows, low + most, max(high, low + 1))
         yield low, high
         low = high
 
