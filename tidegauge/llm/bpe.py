@@ -21,7 +21,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm import bytesops, pretokens
@@ -90,7 +91,7 @@ class Bpe:
         self._ids = np.concatenate((self._ids, found))
         self._ids_first = np.concatenate((self._ids_first, self._ids_first[-1] + first[1:]))
         own = self._known
-        picks = np.fromiter((own[p] for p in pieces), np.int64, len(pieces))
+        picks = np.fromiter(map(own.__getitem__, pieces), np.int64, len(pieces))
         at, begins = bytesops.gathered(self._ids_first, picks)
         return self._ids[at], begins
 
@@ -303,3 +304,13 @@ def round_trip(
             yield _with(batch, decoded, own.decode(values, first).cast(pa.string()))
 
     return df.mapInArrow(run, added(df, **{ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}))
+
+
+def digests(ids: str = "ids", decoded: str = "decoded") -> list[Column]:
+    """n_tokens, and the sha256 of the decimal ids joined by one space and of the decoded text."""
+    listed = F.array_join(F.col(ids).cast("array<string>"), " ")
+    return [
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
+    ]

@@ -18,7 +18,6 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +31,7 @@ from tidegauge.llm.bpe import SLICE_BYTES, Bpe
 from tidegauge.llm.frames import parts_for, stored, text_bytes_total
 
 PART_BYTES = 64 << 20
+_GROUP = 500
 _NULL_ID = np.iinfo(np.int64).min
 
 
@@ -43,10 +43,14 @@ class LibraryBpe(Bpe):
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [p.decode() for p in pieces]
-        ids = [x.ids for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
-        first = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum([len(x) for x in ids], out=first[1:])
-        return np.fromiter(chain.from_iterable(ids), np.int64, first[-1]), first
+        groups = [texts[k : k + _GROUP] for k in range(0, len(texts), _GROUP)]
+        found = self._library.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        first = np.zeros(len(pieces) + 1, np.int64)
+        if not found:
+            return np.empty(0, np.int64), first
+        owners = [np.array(x.word_ids, np.int64) + k * _GROUP for k, x in enumerate(found)]
+        np.cumsum(np.bincount(np.concatenate(owners), minlength=len(pieces)), out=first[1:])
+        return np.concatenate([np.array(x.ids, np.int64) for x in found]), first
 
 
 @lru_cache(2)
