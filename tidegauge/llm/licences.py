@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Spellings = tuple[tuple[str, str], ...]
+Known = tuple[tuple[str, str], ...] | DataFrame
+
 # Spellings that count as equal, after SPDX's matching guidelines.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"),
@@ -153,13 +156,31 @@ KNOWN_ROWS = 100_000
 def canonical(text: Column) -> Column:
     """The form in which texts are compared."""
     lines = F.split(F.lower(F.coalesce(text, F.lit(""))), "\r?\n")
-    kept = F.array_join(F.filter(lines, lambda x: ~x.rlike(COPYRIGHT_LINE)), "\n")
-    for given, standard in SPELLINGS:
+    return _plain(F.array_join(F.filter(lines, lambda x: ~x.rlike(COPYRIGHT_LINE)), "\n"), SPELLINGS)
+
+
+def _canonical_line(line: Column, spellings: Spellings) -> Column:
+    """The same of a single line, with some of the spellings."""
+    low = F.lower(line)
+    return F.when(low.rlike(COPYRIGHT_LINE), "").otherwise(_plain(low, spellings))
+
+
+def _plain(kept: Column, spellings: Spellings) -> Column:
+    for given, standard in spellings:
         kept = F.replace(kept, F.lit(given), F.lit(standard))
     return F.trim(F.regexp_replace(kept, r"[^\p{L}\p{N}]+", " "))
 
 
-def _digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | DataFrame) -> DataFrame:
+def _relevant(known: Known) -> Spellings:
+    """The spellings that can make a line equal to a known text: those that one of them has.
+    A line with any other word that has two spellings is equal to none, in either."""
+    if isinstance(known, DataFrame):
+        return SPELLINGS
+    texts = [text.lower() for _, text in known]
+    return tuple(pair for pair in SPELLINGS if any(word in text for word in pair for text in texts))
+
+
+def _digests(spark: SparkSession, known: Known) -> DataFrame:
     """(digest, license_id) of known texts, the first id of each digest."""
     if not isinstance(known, DataFrame):
         known = spark.createDataFrame(list(known), "license_id string, text string")
@@ -172,8 +193,8 @@ def _digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | DataFrame
 
 def scan(
     df: DataFrame,
-    texts: tuple[tuple[str, str], ...] | DataFrame = TEXTS,
-    notices: tuple[tuple[str, str], ...] | DataFrame = NOTICES,
+    texts: Known = TEXTS,
+    notices: Known = NOTICES,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -185,7 +206,8 @@ def scan(
     whole = docs.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("digest"))
     whole = whole.join(_digests(spark, texts), "digest", "left")
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("doc_id", F.sha2(canonical(F.col("line")), 256).alias("digest"))
+    form = _canonical_line(F.col("line"), _relevant(notices))
+    lines = lines.select("doc_id", F.sha2(form, 256).alias("digest"))
     named = lines.join(_digests(spark, notices), "digest").groupBy("doc_id")
     named = named.agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
     named = named.withColumnRenamed("doc_id", "_doc")
