@@ -16,6 +16,7 @@ columns of the input stay, and a column that has the name of a result is replace
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -127,18 +128,22 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, batch: int
 
 
 def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct buckets of each text with their summed values."""
+    """Distinct buckets of each text with their summed values; the texts are read in slices."""
     data, offsets = bytesops.text_bytes(pa.array(texts, pa.large_string()))
-    keys, values = [], []
-    for buckets, first in features(data, offsets):
-        counts = np.diff(first)
-        row = np.repeat(np.arange(len(texts)), counts)
-        keys.append(row * BUCKETS + buckets)
-        values.append((1.0 / np.maximum(counts, 1))[row])
-    found, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(where, np.concatenate(values), len(found))
-    first = np.searchsorted(found // BUCKETS, np.arange(len(texts) + 1))
-    return found % BUCKETS, total, first
+    ids, values, sizes = [np.empty(0, np.int32)], [np.empty(0, np.float32)], [np.zeros(1, np.int64)]
+    for low, high in bytesops.slices(offsets, 1 << 20):
+        own = offsets[low : high + 1]
+        keys, parts = [], []
+        for buckets, first in features(data[own[0] : own[-1]], own - own[0]):
+            counts = np.diff(first)
+            row = np.repeat(np.arange(high - low), counts)
+            keys.append(row * BUCKETS + buckets)
+            parts.append((1.0 / np.maximum(counts, 1))[row])
+        found, where = np.unique(np.concatenate(keys), return_inverse=True)
+        ids.append((found % BUCKETS).astype(np.int32))
+        values.append(np.bincount(where, np.concatenate(parts), len(found)).astype(np.float32))
+        sizes.append(np.bincount(found // BUCKETS, minlength=high - low))
+    return np.concatenate(ids), np.concatenate(values), np.cumsum(np.concatenate(sizes))
 
 
 def fit(
@@ -157,7 +162,13 @@ def fit(
     return train([t for t, _ in rows], np.array([y for _, y in rows]))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``df`` with score (0 to 1) and predicted (1 if the score is at least ``threshold``)."""
-    scored = learning.with_scores(df, text, {"score": "double"}, lambda d, o: [score_rows(model, d, o)])
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+def score(
+    df: DataFrame,
+    model: Model,
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    names: Sequence[str] = ("score", "predicted"),
+) -> DataFrame:
+    """``df`` with a score (0 to 1) and a prediction (1 if the score is at least ``threshold``)."""
+    scored = learning.with_scores(df, text, {names[0]: "double"}, lambda d, o: [score_rows(model, d, o)])
+    return scored.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))

@@ -19,6 +19,7 @@ result is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +33,7 @@ from tidegauge.llm.frames import held_out
 
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.3
-NEGATIVES, POSITIVES = 3000, 1500
+NEGATIVES, POSITIVES = 2500, 1500
 MAX_CHARS = 8000
 WORDS = 5
 GRAMS = (3, 4, 5)
@@ -116,24 +117,36 @@ class _Features(NamedTuple):
 
 
 def _features(texts: list[str]) -> _Features:
+    """The texts are read in slices, and the distinct words then get their subwords."""
     data, offsets = bytesops.text_bytes(pa.array(texts, pa.large_string()))
-    padded, words = _bounded(data, offsets)
+    hashes, counts, known = [], [], {}
+    for low, high in bytesops.slices(offsets, 1 << 20):
+        own = offsets[low : high + 1]
+        padded, words = _bounded(data[own[0] : own[-1]], own - own[0])
+        found = bytesops.Rolling(padded).ranges(words.starts, words.ends)
+        hashes.append(found)
+        counts.append(np.diff(words.first))
+        raw = padded.tobytes()
+        for number, at in zip(*np.unique(found, return_index=True), strict=True):
+            if number not in known:
+                known[number] = raw[words.starts[at] : words.ends[at]]
+    ordered, numbers = np.unique(np.concatenate(hashes or [np.empty(0, U64)]), return_inverse=True)
+    first = np.concatenate(([0], np.cumsum(np.concatenate(counts or [np.empty(0, np.int64)]))))
+    spans = bytesops.Words(*(np.empty(0, np.int64),) * 3, first)
+    padded, words = _bounded(*bytesops.text_bytes(pa.array([known[x] for x in ordered], pa.large_binary())))
     rolling = bytesops.Rolling(padded)
-    hashes = rolling.ranges(words.starts, words.ends)
-    _, at, numbers = np.unique(hashes, return_index=True, return_inverse=True)
-    parts = [((hashes[at] % U64(BUCKETS)).astype(np.int64), np.arange(len(at)))]
-    place = np.full(len(words.starts), -1)
-    place[at] = np.arange(len(at))
+    whole = rolling.ranges(words.starts, words.ends)
+    parts = [((whole % U64(BUCKETS)).astype(np.int32), np.arange(len(whole), dtype=np.int32))]
     for size in GRAMS:
         gram_at, buckets = _grams(padded, rolling, size)
         word = np.searchsorted(words.starts, gram_at + 1, side="right") - 1
-        own = place[word]
-        parts.append((buckets[own >= 0], own[own >= 0]))
+        parts.append((buckets.astype(np.int32), word.astype(np.int32)))
     subwords, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(owner, kind="stable")
-    begins, first = passages(words, WORDS)
-    sub_first = np.searchsorted(owner[order], np.arange(len(at) + 1))
-    return _Features(subwords[order], sub_first, numbers, begins, np.repeat(np.arange(len(texts)), np.diff(first)))
+    begins, passage_first = passages(spans, WORDS)
+    sub_first = np.searchsorted(owner[order], np.arange(len(ordered) + 1))
+    rows = np.repeat(np.arange(len(texts)), np.diff(passage_first))
+    return _Features(subwords[order], sub_first, numbers, begins, rows)
 
 
 class _Adam:
@@ -220,7 +233,13 @@ def fit(
     return train([t for t, _ in rows], np.array([y for _, y in rows]))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``df`` with score (0 to 1) and predicted (1 if the score is at least ``threshold``)."""
-    scored = learning.with_scores(df, text, {"score": "double"}, lambda d, o: [score_rows(model, d, o)])
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+def score(
+    df: DataFrame,
+    model: Model,
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    names: Sequence[str] = ("score", "predicted"),
+) -> DataFrame:
+    """``df`` with a score (0 to 1) and a prediction (1 if the score is at least ``threshold``)."""
+    scored = learning.with_scores(df, text, {names[0]: "double"}, lambda d, o: [score_rows(model, d, o)])
+    return scored.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))
