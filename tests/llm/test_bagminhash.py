@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_helpers import bag, kept_columns, odd_texts, similar_classes, similarity
+
+from tidegauge.llm import bagminhash, bytesops, queries
+
+def shingled(text, size=1):
+    return bagminhash._shingled(*bytesops.text_bytes(pa.array([text])), size)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_signatures_are_unbiased(seed):
+    pick = random.Random(seed)
+    left = Counter({f"w{k}": pick.choice([1, 1, 2, 5, 9]) for k in range(pick.choice([3, 20, 200]))})
+    right = Counter({k: max(0, n + pick.choice([-1, 0, 0, 1, 3])) for k, n in left.items()})
+    slots = 4096
+    marks = [
+        bagminhash.signatures(*shingled(" ".join(x.elements())), 1, slots) for x in (left, right)
+    ]
+    assert np.isfinite(marks).all()
+    wanted = similarity(left, right)
+    spread = (wanted * (1 - wanted) / slots) ** 0.5
+    # A slot without a point of its own takes part in few cases only; five deviations.
+    assert abs((marks[0] == marks[1]).mean() - wanted) < 5 * spread + 0.005
+
+
+def test_similarity_is_that_of_the_multisets():
+    texts = ["a b a b a b c", "a b a b c c", "", "a", "A, b! a b a b c"]
+    for x in texts:
+        for y in texts:
+            sides = [bytesops.text_bytes(pa.array([t])) for t in (x, y)]
+            assert bagminhash.similarities(*sides, 2)[0] == similarity(bag(x, 2), bag(y, 2))
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    result = queries.queries()["op1_bagminhash_dedup"](spark, sf_dir)
+    assert result.columns == ["doc_id", "class_id", "class_size"]
+    found = sorted(map(tuple, result.collect()))
+    assert found == sorted(similar_classes([tuple(r) for r in docs]))
+    assert len({r[1] for r in found}) < len(found)
+
+
+def near_copies(pick, count):
+    """Copies of one text with some of their words changed, exact copies, and other texts."""
+    base = [f"w{pick.randrange(4000)}" for _ in range(120)]
+    out = []
+    for _ in range(count):
+        words = list(base)
+        for _ in range(pick.choice([0, 0, 1, 2, 3, 4, 8])):
+            words[pick.randrange(len(words))] = f"x{pick.randrange(10**6)}"
+        out.append(" ".join(words))
+    out += pick.sample(out, 5)
+    out += [" ".join(f"y{pick.randrange(10**6)}" for _ in range(60)) for _ in range(20)]
+    return out
+
+
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_a_group_of_near_copies(spark, few, monkeypatch):
+    monkeypatch.setattr(bagminhash, "BROADCAST_NODES", few)
+    monkeypatch.setattr(bagminhash, "LEADERS", 2)
+    docs = list(enumerate(near_copies(random.Random(8), 60)))
+    df = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
+    found = bagminhash.near_duplicates(df).select("doc_id", "class_id", "class_size").collect()
+    # A pair right at the threshold may be missed, once in thousands of times.
+    assert sorted(map(tuple, found)) == sorted(similar_classes(docs))
+
+
+def test_odd_rows(odd):
+    result = bagminhash.near_duplicates(odd)
+    kept_columns(result, odd)
+    found = [tuple(r) for r in result.select("doc_id", "class_id", "class_size").collect()]
+    assert sorted(found, key=str) == sorted(similar_classes(odd_texts()), key=str)
+    # One document of each class is its first, also where rows repeat an id.
+    firsts = result.where("is_first").select("class_id", "class_size").collect()
+    assert sum(r.class_size for r in firsts) == len(odd_texts())
+
+
+def test_empty_table_and_names(spark, nothing):
+    assert bagminhash.near_duplicates(nothing).collect() == []
+    df = spark.createDataFrame([(1, "a b", "x")], "doc_id int, text string, class_id string")
+    result = bagminhash.near_duplicates(df, names=("c", "n", "f"))
+    assert result.first().asDict() == {"doc_id": 1, "text": "a b", "class_id": "x", "c": 1, "n": 1, "f": True}

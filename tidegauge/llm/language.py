@@ -23,7 +23,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidegauge.llm import bytesops, learning
 from tidegauge.llm.frames import held_out

@@ -73,13 +73,7 @@ def _top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, _tokenizer("word_bpe_49k.json"))
-    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return coded.select("doc_id", *bpe.digests())
 
 
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
