@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegauge import rank_within
+from tidegauge.operators import rank
 
 SCHEMA = "end_date date, country string, avg_increase double"
 
@@ -50,7 +51,9 @@ def test_ties_share_a_rank_and_nulls_come_last(spark):
 
 @pytest.mark.parametrize("limit", [1, 3, 10, 1000])
 @pytest.mark.parametrize("key", [None, "country"])
-def test_equals_the_window_function_on_spread_data(spark, limit, key):
+@pytest.mark.parametrize("at_once", [0, rank.PERIOD_VALUES])
+def test_equals_the_window_function_on_spread_data(spark, limit, key, at_once, monkeypatch):
+    monkeypatch.setattr(rank, "PERIOD_VALUES", at_once)
     pick = random.Random(limit)
     data = [
         (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators.keys import key_names
 
+#: Values of a period that are ranked in one step.
+PERIOD_VALUES = 200_000
+
 
 def rank_within(
     df: DataFrame,
@@ -33,7 +37,8 @@ def rank_within(
     1. each cell keeps its rows of the best ``limit`` values. This shuffle, by cell, is
        the only one that moves rows of the input;
     2. the distinct values of all cells of a period, at most ``limit`` from each, are
-       ranked together;
+       ranked together. Where these may be many, groups of cells drop all but their own
+       best ``limit`` values first;
     3. the ranks return to their cells. A cell's values are in the same order as
        their ranks, so the n-th value of a cell takes the n-th of its ranks.
 
@@ -59,7 +64,12 @@ def rank_within(
     # that Spark computes and shuffles the best rows once and reuses them.
     checksum = F.bit_xor(F.xxhash64(period, *others))
     values = best.groupBy(*cell, by).agg(checksum.alias("_sum")).where(F.col("_sum").isNotNull())
-    whole_period = Window.partitionBy("_period", F.col("_cell") < 0).orderBy(highest)
+    without_period = F.col("_cell") < 0
+    if limit * cells > PERIOD_VALUES:
+        group = F.pmod(F.abs("_cell"), F.lit(math.isqrt(cells)))
+        near = Window.partitionBy("_period", without_period, group).orderBy(highest)
+        values = values.withColumn("_near", F.dense_rank().over(near)).where(F.col("_near") <= limit)
+    whole_period = Window.partitionBy("_period", without_period).orderBy(highest)
     ranks = (
         values.withColumn("_rank", F.dense_rank().over(whole_period))
         .where(F.col("_rank") <= limit)
