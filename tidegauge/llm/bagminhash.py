@@ -49,7 +49,7 @@ BANDS, BAND_ROWS = 16, 4
 MARKS = 1024
 LEADERS = 32
 BROADCAST_NODES = 1_000_000
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 _LEAST = -(2**63)
 
 
@@ -153,7 +153,7 @@ def _marked(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = bytesops.text_bytes(batch.column(1))
-            for low, high in bytesops.slices(offsets, _SLICE, 2000):
+            for low, high in bytesops.slices(offsets, _SLICE, 1000):
                 own = offsets[low : high + 1]
                 hashes, rows, counts = _shingled(data[own[0] : own[-1]], own - own[0], size)
                 slots = bytesops.mix(signatures(hashes, rows, counts, high - low, MARKS).view(U64))

@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Shuffle files go when a write has ended; Python workers get batches of bounded size.
+_WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -37,12 +41,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    before = spark.conf.get(_CLEAN, "false")
-    spark.conf.set(_CLEAN, "true")
+    before = {name: spark.conf.get(name) for name in _WHILE_WRITING}
+    for name, value in _WHILE_WRITING.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEAN, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidegauge.llm import bytesops
 from tidegauge.llm.bpe import added
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _ARROW = {"double": pa.float64(), "int": pa.int32(), "string": pa.string()}
 _SPARK = {"double": T.DoubleType(), "int": T.IntegerType(), "string": T.StringType()}
 

@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm import bytesops
-from tidegauge.llm.bpe import SLICE_BYTES, Bpe
+from tidegauge.llm.bpe import Bpe
 from tidegauge.llm.frames import parts_for, stored, text_bytes_total
 
 PART_BYTES = 64 << 20
+SLICE_BYTES = 3 << 20
 _GROUP = 500
 _NULL_ID = np.iinfo(np.int64).min
 
