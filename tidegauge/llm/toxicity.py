@@ -41,6 +41,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 POSITIVE_SHARE = 0.25
 DECAY = 1e-6
+PARTS = 8
 
 
 class Model(NamedTuple):
@@ -163,9 +164,9 @@ class _Adam:
         self._step += 1
 
 
-def train(texts: list[str], labels: np.ndarray, warm: int = 12, rounds: int = 14, steps: int = 6, seed: int = 7) -> Model:
-    """Fit vectors and softmax by Adam: ``warm`` steps over all passages, then ``rounds`` in
-    which each document's most toxic passage is found and ``steps`` are made over those."""
+def train(texts: list[str], labels: np.ndarray, warm: int = 32, rounds: int = 14, steps: int = 6, seed: int = 7) -> Model:
+    """Fit vectors and softmax by Adam: ``warm`` steps, each over one of PARTS parts of the
+    passages (which bounds memory), then ``rounds`` in which each document's most toxic passage is found and ``steps`` are made over those."""
     labels = np.asarray(labels, float)
     made = _features(texts)
     if not len(made.rows) or len(np.unique(labels)) < 2:
@@ -200,8 +201,9 @@ def train(texts: list[str], labels: np.ndarray, warm: int = 12, rounds: int = 14
 
     everything = np.arange(len(made.rows))
     share = weight[made.rows] / np.bincount(made.rows, minlength=len(texts))[made.rows]
-    for _ in range(warm):
-        step(everything, share)
+    for k in range(warm):
+        part = everything[k % PARTS :: PARTS]
+        step(part, share[part] * PARTS)
     for _ in range(rounds):
         difference = softmax[:, 1] - softmax[:, 0]
         value = (vectors @ difference[:-1])[made.subwords]
