@@ -88,6 +88,13 @@ def test_fewer_candidates_than_k_and_none(spark):
     assert search(spark, []) == []
 
 
+def test_scores_beyond_64_bits(spark):
+    data = [(0, [1e300, 1.0]), (1, [1e300, 1e300]), (2, [0.5, 0.25]), (3, [1e9, 1e9]), (4, [-1e300, 0.0])]
+    found = [(r[2], r[3]) for r in search(spark, data, every=10)]
+    assert [found[k] for k in (0, 3)] == [(1, 2**61), (4, -(2**61))]
+    assert len(found) == 4
+
+
 def test_one_vector_that_most_rows_share(spark):
     data = [(n, [0.5, 0.5]) for n in range(300)] + [(300 + n, [0.1 * n, 0.0]) for n in range(10)]
     found = search(spark, data, every=50, candidate_rows=20)

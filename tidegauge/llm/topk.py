@@ -11,10 +11,10 @@ of the tied candidates by bins. So a vector that a third of all rows share costs
 any other.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component take no part, nor
-do rows with a NULL id; an empty vector scores 0; vectors of another length than a query's are
-none of its candidates; a query is no candidate of its own, rows with its id included; rows that
-repeat another id are candidates each, in no particular order; queries with fewer than k
-candidates get all; an empty table gives an empty table; other columns are not read.
+do rows with a NULL id; scores beyond 2**61, either way, count as that; an empty vector scores 0;
+vectors of another length than a query's are none of its candidates; a query is no candidate of
+its own, rows with its id included; rows that repeat another id are candidates each, in no
+particular order; queries with fewer than k candidates get all; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ BINS = 64
 QUERY_ROWS = 1024
 CANDIDATE_ROWS = 8192
 _LEAST, _MOST = -(2**63), 2**63 - 1
+_BOUND = 2.0**61
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -64,7 +65,11 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * queries.shape[1]
     if most < 2.0**53:
         return (queries.astype(float) @ candidates.T.astype(float)).astype(np.int64)
-    return queries @ candidates.T
+    exact = queries @ candidates.T
+    rough = queries.astype(float) @ candidates.T.astype(float)
+    beyond = np.abs(rough) >= _BOUND
+    exact[beyond] = np.where(rough[beyond] > 0, int(_BOUND), -int(_BOUND))
+    return exact
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]):
@@ -170,7 +175,7 @@ def top_k(
     candidates = candidates.select("dim", "block", mine, "candidates")
 
     # The range of a query's scores is known from the lengths of the vectors.
-    bound = (F.ceil(F.sqrt(squares) * (facts[1] or 0.0)) + 1).cast("bigint")
+    bound = F.ceil(F.least(F.sqrt(squares) * (facts[1] or 0.0), F.lit(_BOUND))) + 1
     state = asked.select("id", (-bound).alias("low"), bound.alias("high"), F.lit(k).cast("bigint").alias("need"))
     state = stored(state.withColumn("ties", F.lit(0).cast("bigint")), "state")
 
