@@ -41,7 +41,7 @@ from tidegauge.llm.frames import free_name, parts_for, stored, text_bytes_total
 
 DEPTH = 50
 KEY = 24
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 1 << 20
 _CHUNK = 1 << 19
 _NULL_ID = np.iinfo(np.int64).min
