@@ -59,7 +59,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"), every_window=True)
     ids = stored(found.select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")

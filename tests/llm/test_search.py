@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
+import corpus_pipeline
 import pytest
 from llm_helpers import of_sql, odd_texts, rows
 
@@ -150,6 +152,52 @@ def test_an_exact_passage_is_found_and_a_clean_text_is_not(spark):
         assert {(r.doc_id, r.item_id, r.n_equal) for r in found.collect()} == {(1, 9, 20), (None, 9, 20)}
 
 
+def best_windows(words, item, window=20, share=0.8):
+    """The most equal tokens in a window of the item that a seed hit in the text is in, or None."""
+    masks = [[k for k, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
+    width, most = min(window, len(item)), 0
+    for at, pos in itertools.product(range(len(item)), range(len(words))):
+        seeds = [m for m in masks if at + m[-1] < len(item) and pos + m[-1] < len(words)]
+        if any(all(item[at + k] == words[pos + k] for k in m) for m in seeds):
+            for first in range(max(0, at - width + 1), min(at, len(item) - width) + 1):
+                places = [(k, k + pos - at) for k in range(first, first + width)]
+                most = max(most, sum(0 <= d < len(words) and item[k] == words[d] for k, d in places))
+    return most if most >= math.ceil(share * width) else None
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_every_window_that_holds_a_hit(spark, limit):
+    pick = random.Random(11)
+    items = [[f"w{pick.randrange(300)}" for _ in range(n)] for n in (50, 50, 30, 20, 12, 5)]
+    docs = []
+    for _ in range(60):
+        item = pick.choice(items)
+        at = pick.randrange(max(1, len(item) - 19))
+        part = item[at : at + 20]
+        for k in pick.sample(range(len(part)), len(part) // 5):
+            part[k] = "other"
+        before, after = ([f"x{pick.randrange(99)}" for _ in range(pick.choice([0, 30]))] for _ in range(2))
+        docs.append(before + part + after)
+    frame = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(docs)], "doc_id int, text string")
+    tests = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id int, text string")
+    best = decontaminate.contaminated(frame, tests, broadcast_bytes=limit, every_window=True)
+    found = {(r.doc_id, r.item_id): r.n_equal for r in best.collect()}
+    wanted = {(n, m): best_windows(d, i) for n, d in enumerate(docs) for m, i in enumerate(items)}
+    assert found == {k: v for k, v in wanted.items() if v is not None}
+    one = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame, tests, broadcast_bytes=limit).collect()}
+    assert one < set(found)
+
+
+def test_the_pipeline_drops_a_quoted_part(spark, tmp_path):
+    words = [f"p{n}" for n in range(50)]
+    part = [w if k not in (3, 7, 11, 15) else "other" for k, w in enumerate(words[15:35])]
+    quoted = " ".join(["q"] * 30 + part + ["q"] * 30)
+    spark.createDataFrame([(1, " ".join(words))], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, quoted), (2, "a clean text")], "doc_id int, text string")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert [r.doc_id for r in kept.collect()] == [2]
+
+
 def test_odd_documents_and_empty_tables(odd, nothing, spark):
     tests = spark.createDataFrame([(1, odd_texts()[9][1]), (2, "river stone " * 12)], "item_id int, text string")
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(odd, tests).collect()}

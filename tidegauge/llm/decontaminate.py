@@ -7,6 +7,10 @@ other, and the tokens of a window of ``window`` places of the item that holds th
 compared one by one; the hit is verified if a share of ``share`` or more of them are equal. So
 substituted tokens do no harm, neither at a seed's open places nor elsewhere in the window.
 
+The window begins seven places before the hit. A part of an item that is quoted in other words
+around it may lie in another window that holds the hit: with ``every_window``, all of those
+count, and a hit has the equal tokens of its best one.
+
 Tokens are runs of letters and digits of any script, in lower case.
 
 Defined results: NULL and texts without tokens have no seeds; items with fewer tokens than the
@@ -78,6 +82,37 @@ def _verified(hits: DataFrame, window: int, share: float) -> DataFrame:
     return cut.withColumn("n_equal", equal).select("doc_id", "item_id", "n_equal", enough.alias("enough"))
 
 
+def _verified_best(hits: DataFrame, window: int, share: float) -> DataFrame:
+    """As ``_verified``, with the best window of those that hold a hit's first token."""
+    length = F.size("item_words")
+    first = F.greatest(F.lit(0), F.col("item_pos") - (window - 1))
+    stop = F.least(length, F.col("item_pos") + window)
+    there = first + F.col("pos") - F.col("item_pos")
+    missing = F.greatest(F.lit(0), -there)
+    cut = hits.select(
+        "doc_id",
+        "item_id",
+        F.least(F.lit(window), length).alias("width"),
+        F.slice("item_words", first + missing + 1, stop - first - missing).alias("theirs"),
+        F.slice("words", there + missing + 1, stop - first - missing).alias("ours"),
+    )
+    cut = cut.repartition("doc_id", "item_id")
+
+    def equal(k: Column) -> Column:
+        return F.coalesce(F.get("theirs", k) == F.get("ours", k), F.lit(False)).cast("int")
+
+    def step(state: Column, k: Column) -> Column:
+        leaves = F.when(k >= F.col("width"), equal(k - F.col("width"))).otherwise(F.lit(0))
+        now = state["now"] + equal(k) - leaves
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    # A running sum. Sums of fewer places at the ends never exceed those of the whole windows.
+    none = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    most = F.aggregate(F.sequence(F.lit(0), F.size("theirs") - 1), none, step, lambda state: state["most"])
+    enough = F.col("n_equal") >= F.ceil(F.lit(share) * F.col("width"))
+    return cut.withColumn("n_equal", most).select("doc_id", "item_id", "n_equal", enough.alias("enough"))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -89,6 +124,7 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
+    every_window: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, n_hits, n_equal): each item found in each document, the verified hits,
     and the most equal tokens in a hit's window.
@@ -114,7 +150,7 @@ def contaminated(
         hits = hits.join(with_words, F.col("doc_id").eqNullSafe(F.col("_doc")))
         with_items = items.withColumnRenamed("item_id", "_item")
         hits = hits.join(with_items, F.col("item_id").eqNullSafe(F.col("_item")))
-    found = _verified(hits, window, share)
+    found = (_verified_best if every_window else _verified)(hits, window, share)
     # Dropping hits before they are counted would pull the comparison into the loop over seeds.
     counted = found.groupBy("doc_id", "item_id").agg(
         F.count_if("enough").alias("n_hits"), F.max("n_equal").alias("n_equal")
@@ -127,7 +163,7 @@ def _words_sql(text: str) -> str:
 
 
 def contaminated_sql(masks: tuple[str, ...] = MASKS, window: int = WINDOW, share: float = SHARE) -> str:
-    """The same in DuckDB's SQL over ``documents`` and ``benchmark``."""
+    """The same (without ``every_window``) in DuckDB's SQL over ``documents`` and ``benchmark``."""
     sides = {"d": ("documents", "doc_id"), "b": ("benchmark", "item_id")}
     parts = []
     for name, (table, key) in sides.items():
