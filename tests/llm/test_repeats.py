@@ -64,6 +64,44 @@ def test_shuffled_passages(spark, seed, depth, key):
     assert result_rows(result) == digests(brute_force(docs, depth))
 
 
+def test_a_line_in_many_surroundings(spark, monkeypatch, tmp_path):
+    """No bucket of either pass grows with the number of documents that hold the line."""
+    answer = repeats._answer
+
+    def noted(pass_number):
+        run = answer(pass_number)
+
+        def note(table):
+            size = sum(len(x) for x in table.column("keys").to_pylist()) // 5
+            (tmp_path / f"{pass_number}-{table.column('bucket')[0]}").write_text(str(size))
+            return run(table)
+
+        return note
+
+    monkeypatch.setattr(repeats, "_answer", noted)
+    pick = random.Random(4)
+    line = "Licensed under the terms that the file at the top of this tree has in full."
+    docs = []
+    for n in range(600):
+        words = ["".join(pick.choice("abcdefghij") for _ in range(6)) for _ in range(24)]
+        words[12:12] = [line] if n % 3 else [line[: pick.randrange(50, 76)]]
+        docs.append((n if n % 50 else None, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    result = repeats.remove_repeats(df, block_bytes=40000, bucket_bytes=200)
+    assert result_rows(result) == digests(brute_force(docs))
+    for number in (1, 2):
+        assert max(int(p.read_text()) for p in tmp_path.glob(f"{number}-*")) < 300
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_crowded_digits_with_few_letters(spark, seed):
+    pick = random.Random(seed)
+    docs = [(pick.randrange(150), "".join(pick.choice("ab") for _ in range(pick.randrange(90)))) for _ in range(300)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    result = repeats.remove_repeats(df, depth=9, key=3, block_bytes=2000, bucket_bytes=100)
+    assert result_rows(result) == digests(brute_force(docs, 9))
+
+
 def test_long_texts_are_read_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_CHUNK", 64)
     pick = random.Random(9)

@@ -10,8 +10,10 @@ has to move, the digits are chosen by content:
    same leading digit at the same place form one stretch, and one entry stands for it.
 2. Entries of one leading digit are ordered by their stretch's bytes. A stretch that a
    smaller doc_id has too is removed whole. Where a leading digit has several stretches in
-   several documents, the first document of each goes on.
-3. Those stretches' windows are ordered through all ``depth`` bytes, one by one.
+   several documents, the first document of each goes on. Of a digit that has more than
+   ``STRETCHES`` in a block (a line that many documents hold in different surroundings), the
+   block sends that many here, and the first document of each of its stretches goes on unasked.
+3. Those stretches' windows are ordered through all ``depth`` bytes, one by one, dealt by content.
 
 Digits travel as hashes: two entries count as equal if about 100 bits agree. Texts are dealt
 into blocks by a hash of doc_id; each block sends an entry once however many of its documents
@@ -43,6 +45,8 @@ DEPTH = 50
 KEY = 24
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 1 << 20
+# Fixed value, at least two: so many stretches of a leading digit enter the first pass from a block.
+STRETCHES = 4
 _CHUNK = 1 << 19
 _NULL_ID = np.iinfo(np.int64).min
 _WHOLE, _SINGLE = 0, 1
@@ -71,6 +75,9 @@ class _Block:
         at = np.nonzero(new)[0]
         self.keys, self.contents = keys[at], contents[at]
         self.least = self.docs[self.rows[at]]
+        digit = np.searchsorted(self.keys, self.keys)
+        self.sent = np.arange(len(at)) - digit < STRETCHES
+        self.crowded = np.searchsorted(self.keys, self.keys, side="right") - digit > STRETCHES
 
     def _stretches(self):
         found = []
@@ -132,8 +139,22 @@ class _Block:
                 out[base[bucket] + np.frombuffer(places, "<u4")] = True
         return out
 
-    def windows(self, open_entries: np.ndarray):
-        """The windows of stretches whose first document goes on: place, key, content, doc."""
+    def first_pass(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.keys[self.sent], self.contents[self.sent], self.least[self.sent]
+
+    def named(self, answers: pa.Table, kind: int) -> np.ndarray:
+        """Which entries the first pass names, of those that were sent there."""
+        out = np.zeros(len(self.keys), bool)
+        out[self.sent] = self.marked(answers, 1, kind, self.keys[self.sent])
+        return out
+
+    def windows(self, answers: pa.Table):
+        """The windows of stretches whose first document goes on: place, key, content, doc.
+
+        Their key is a hash of the leading digit and the content, so that the windows of a
+        common digit spread over all buckets.
+        """
+        open_entries = self.named(answers, _SINGLE) | self.crowded
         docs = self.docs[self.rows]
         own = np.nonzero(open_entries[self.entry] & (docs == self.least[self.entry]))[0]
         sizes = self.stops[own] - self.starts[own]
@@ -144,7 +165,7 @@ class _Block:
         for low in range(0, len(places), 1 << 16):
             at = places[low : low + (1 << 16), None] + np.arange(self.depth)
             contents[low : low + len(at)] = mix(((self.data[at].astype(U64) + U64(1)) * powers).sum(axis=1, dtype=U64))
-        keys, docs = np.repeat(self.keys[self.entry[own]], sizes), np.repeat(docs[own], sizes)
+        keys, docs = mix(np.repeat(self.keys[self.entry[own]], sizes) ^ contents), np.repeat(docs[own], sizes)
         order = np.lexsort((docs, contents, keys))
         keys, contents = keys[order], contents[order]
         new = np.ones(len(keys), bool)
@@ -153,13 +174,12 @@ class _Block:
 
     def covered(self, answers: pa.Table) -> np.ndarray:
         """Which bytes a window of an earlier document covers."""
-        later = self.marked(answers, 1, _WHOLE, self.keys)
-        open_entries = self.marked(answers, 1, _SINGLE, self.keys)
+        later = self.named(answers, _WHOLE)
         gone = later[self.entry] | (self.docs[self.rows] > self.least[self.entry])
         change = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(change, self.starts[gone], 1)
         np.add.at(change, self.stops[gone] + self.depth - 1, -1)
-        places, keys, _, docs, new = self.windows(open_entries)
+        places, keys, _, docs, new = self.windows(answers)
         if len(places):
             at = np.nonzero(new)[0]
             entry = np.cumsum(new) - 1
@@ -268,13 +288,13 @@ def remove_repeats(
 
     def enter(table: pa.Table) -> pa.Table:
         made = _Block(table, depth, key, buckets)
-        return made.send(table.column("block")[0].as_py(), made.keys, made.contents, made.least)
+        return made.send(table.column("block")[0].as_py(), *made.first_pass())
 
     def open_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _ENTRY_ARROW.empty_table()
         made = _Block(table, depth, key, buckets)
-        _, keys, contents, docs, new = made.windows(made.marked(answers, 1, _SINGLE, made.keys))
+        _, keys, contents, docs, new = made.windows(answers)
         return made.send(table.column("block")[0].as_py(), keys[new], contents[new], docs[new])
 
     entries = small.groupBy("block").applyInArrow(enter, _ENTRY)
