@@ -142,6 +142,22 @@ def test_passages_with_substitutions(spark, duck, limit):
     assert len(found) > 20
 
 
+@pytest.mark.parametrize("every", [False, True])
+def test_both_paths_count_the_same_hits(spark, every):
+    """Also where ids repeat with the same text or another, or are NULL."""
+    docs, items = passages()
+    docs = [(n if n % 3 else None, text) for n, text in docs + docs[:40]]
+    items = [(n if n != 1 else None, text) for n, text in items] + [(0, items[1][1]), (None, items[3][1])]
+    frame = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
+    tests = spark.createDataFrame(items, "item_id int, text string")
+    found = [
+        rows(decontaminate.contaminated(frame, tests, broadcast_bytes=limit, every_window=every))
+        for limit in (decontaminate.BROADCAST_BYTES, 0)
+    ]
+    assert found[0] == found[1]
+    assert len(found[0]) > 20
+
+
 def test_an_exact_passage_is_found_and_a_clean_text_is_not(spark):
     passage = " ".join(f"p{n}" for n in range(24))
     docs = [(1, f"before {passage} after"), (2, "p0 p1 p2 p3 and nothing else of it"), (3, None), (None, passage)]

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.frames import stored
+
 # The masks. Each compares four tokens and leaves one to three open.
 MASKS = ("11011", "101101", "1100011")
 WINDOW = 20
@@ -130,8 +132,9 @@ def contaminated(
     and the most equal tokens in a hit's window.
 
     The benchmark's seeds are broadcast if they measure at most ``broadcast_bytes``; the
-    documents' seeds are then never shuffled. Else seeds are shuffled without their texts, and
-    the documents with a hit are joined again to verify.
+    documents' seeds are then never shuffled. Else both tables are stored with a number for each
+    row, seeds are shuffled without their texts, and the rows with a hit are joined again by
+    number to verify. The result is the same.
     """
     if any(m.count("1") < 1 or m[0] != "1" or m[-1] != "1" for m in masks):
         raise ValueError("a mask must begin and end with a token that counts")
@@ -144,12 +147,15 @@ def contaminated(
     if (items.agg(size).first()[0] or 0) <= broadcast_bytes:
         hits = ours.join(F.broadcast(theirs), "seed")
     else:
-        short = ours.select("doc_id", "pos", "seed")
-        hits = short.join(theirs.select("item_id", "item_pos", "seed"), "seed").drop("seed")
-        with_words = words.withColumnRenamed("doc_id", "_doc")
-        hits = hits.join(with_words, F.col("doc_id").eqNullSafe(F.col("_doc")))
-        with_items = items.withColumnRenamed("item_id", "_item")
-        hits = hits.join(with_items, F.col("item_id").eqNullSafe(F.col("_item")))
+        # Ids may repeat or be NULL, so rows are found again by numbers that are stored with them.
+        numbered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+        numbered = stored(numbered.withColumn("doc", F.monotonically_increasing_id()), "passages-docs")
+        words = numbered.select("doc", "doc_id", tokens(F.col("text")).alias("words"))
+        items = stored(items.withColumn("item", F.monotonically_increasing_id()), "passages-items")
+        ours = _seeded(words.drop("doc_id"), masks, "doc", "words", "pos").select("doc", "pos", "seed")
+        theirs = _seeded(items.drop("item_id"), masks, "item", "item_words", "item_pos")
+        hits = ours.join(theirs.select("item", "item_pos", "seed"), "seed").drop("seed")
+        hits = hits.join(words, "doc").join(items, "item")
     found = (_verified_best if every_window else _verified)(hits, window, share)
     # Dropping hits before they are counted would pull the comparison into the loop over seeds.
     counted = found.groupBy("doc_id", "item_id").agg(
