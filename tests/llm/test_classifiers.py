@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_helpers import LONG, fold, kept_columns, odd_texts
+from pyspark.sql import functions as F
 
 from tidegauge.llm import bytesops, language, learning, quality, queries, toxicity
 
@@ -154,3 +155,17 @@ def test_other_scripts_have_letters():
     texts = ["中", "…", "٣", "7", "é", "", "🙂", "́"]
     data, offsets = bytesops.text_bytes(pa.array(texts))
     assert language.has_letter(data, offsets).tolist() == [any(c.isalpha() for c in t) for t in texts]
+
+
+def test_a_sample_has_rare_labels_and_all_short_texts(spark):
+    docs = [(n, "word " * (50 if n % 2 else 1), "en" if n % 500 else "nv") for n in range(2000)]
+    df = spark.createDataFrame(docs, "doc_id int, text string, lang string").repartition(3)
+    every = F.lit(True)
+    some = learning.sample(df, df, "lang", every, 40, 1000)
+    assert len(some) == 40
+    assert sum(label == "nv" for _, label in some) == 4
+    short = learning.sample(df, df, "lang", every, 1000, 10)
+    assert len(short) == 1000
+    assert {text for text, _ in short} == {"word "}
+    each = learning.sample(df, df, "lang", every, {"en": 900, "nv": 3}, 10)
+    assert [sum(label == x for _, label in each) for x in ("en", "nv")] == [900, 3]

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,7 @@ from tidegauge.llm import bytesops
 from tidegauge.llm.bpe import added
 
 SLICE_BYTES = 1 << 20
+RANKED_PARTS = 64
 _ARROW = {"double": pa.float64(), "int": pa.int32(), "string": pa.string()}
 _SPARK = {"double": T.DoubleType(), "int": T.IntegerType(), "string": T.StringType()}
 
@@ -30,22 +33,28 @@ def sample(
 ) -> list[tuple[str, object]]:
     """Texts and labels to learn from, in order of doc_id, collected by the driver.
 
-    Of the rows of ``labels`` that ``learn`` accepts, those with the least hashes of doc_id are
-    taken: up to so many for each key of ``per_label``, or up to so many in all. Rows whose text
-    is longer than ``max_chars`` are left out, so at most their product is collected.
+    Of the rows of ``labels`` that ``learn`` accepts and whose text is there and no longer than
+    ``max_chars``, those with the least hashes of doc_id are taken: up to so many for each key of
+    ``per_label``, or up to so many in all, the first of each label before any label's second.
+    So at most their product is collected.
     """
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    texts = texts.where(F.length("text") <= max_chars)
     known = labels.where(learn & F.col(label).isNotNull() & F.col(doc_id).isNotNull())
     known = known.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
+    known = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), "doc_id", "label"]
+    # Ranked in parts first: a common label's rows never meet in one task.
+    most = max(per_label.values()) if isinstance(per_label, dict) else per_label
+    parts = Window.partitionBy("label", F.pmod(F.xxhash64("doc_id"), F.lit(RANKED_PARTS)))
+    for within in (parts, Window.partitionBy("label")):
+        known = known.withColumn("nth", F.row_number().over(within.orderBy(*order))).where(F.col("nth") <= most)
     if isinstance(per_label, dict):
-        parts = [known.where(F.col("label") == k).orderBy(*order).limit(n) for k, n in per_label.items()]
-        taken = parts[0]
-        for part in parts[1:]:
-            taken = taken.unionByName(part)
+        wanted = [(F.col("label") == k) & (F.col("nth") <= n) for k, n in per_label.items()]
+        taken = known.where(reduce(or_, wanted))
     else:
-        taken = known.orderBy(*order).limit(per_label)
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    texts = texts.where(F.length("text") <= max_chars)
+        taken = known.orderBy("nth", *order).limit(per_label)
+    taken = taken.select("doc_id", "label")
     # The taken rows are bounded by the parameters, so they may be broadcast.
     found = texts.join(F.broadcast(taken.distinct()), "doc_id").dropDuplicates(["doc_id", "label"])
     return [(x.text, x.label) for x in sorted(found.collect(), key=lambda x: (x.doc_id, str(x.label)))]
