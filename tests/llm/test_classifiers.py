@@ -169,3 +169,11 @@ def test_a_sample_has_rare_labels_and_all_short_texts(spark):
     assert {text for text, _ in short} == {"word "}
     each = learning.sample(df, df, "lang", every, {"en": 900, "nv": 3}, 10)
     assert [sum(label == x for _, label in each) for x in ("en", "nv")] == [900, 3]
+
+
+def test_toxicity_learns_from_3000_negatives(spark, monkeypatch):
+    counts = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: counts.append((len(texts), int(labels.sum()))))
+    labels = spark.range(9000).selectExpr("id as doc_id", "cast(id % 3 = 0 as int) as toxic")
+    toxicity.fit(labels.selectExpr("doc_id", "cast(doc_id as string) as text"), labels)
+    assert counts == [(4500, 1500)]
