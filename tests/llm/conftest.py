@@ -4,7 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from llm_helpers import CLASHING, odd_texts
+from llm.llm_helpers import CLASHING, odd_texts
 
 SF_DIR = Path("/root/testdata/sf0.001")
 

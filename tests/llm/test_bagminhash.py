@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import bag, kept_columns, odd_texts, similar_classes, similarity
+from llm.llm_helpers import bag, kept_columns, odd_texts, similar_classes, similarity
 
 from tidegauge.llm import bagminhash, bytesops, queries
 

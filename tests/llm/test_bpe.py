@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import kept_columns, odd_texts, rows
+from llm.llm_helpers import kept_columns, odd_texts, rows
 
 from tidegauge.llm import bpe, bytesops, queries, tokenfiles
 

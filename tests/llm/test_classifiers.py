@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import LONG, fold, kept_columns, odd_texts
+from llm.llm_helpers import LONG, fold, kept_columns, odd_texts
 from pyspark.sql import functions as F
 
 from tidegauge.llm import bytesops, language, learning, quality, queries, toxicity

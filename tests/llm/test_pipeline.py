@@ -6,7 +6,7 @@ import hashlib
 
 import corpus_pipeline
 import pytest
-from llm_helpers import kept_columns, odd_texts, rows, similar_classes, windows_of
+from llm.llm_helpers import kept_columns, odd_texts, rows, similar_classes, windows_of
 from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate, toxicity

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from llm_helpers import kept_columns, odd_texts, rows
+from llm.llm_helpers import kept_columns, odd_texts, rows
 from pyspark.sql import functions as F
 
 from tidegauge.llm import queries, repeats

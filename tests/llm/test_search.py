@@ -8,7 +8,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from llm_helpers import of_sql, odd_texts, rows
+from llm.llm_helpers import of_sql, odd_texts, rows
 
 from tidegauge.llm import decontaminate, licences, queries, topk
 
