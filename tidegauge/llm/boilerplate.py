@@ -4,7 +4,8 @@ most of its pages.
 Markup says where an article stands, and which menus, forms and notices are none of it. What it
 doesn't say is found by suffix arrays: the token streams of a host's distinct pages (words, with a
 token for the element that a block stands in) are concatenated, sorted to a depth of ``RUN``
-tokens, and stretches that most of the host's distinct pages hold are taken out; unique runs stay.
+tokens, and blocks or parts of blocks that most of the host's distinct pages hold are taken out;
+unique runs stay.
 
 A host may hold a third of all pages. Its streams are dealt to pieces of bounded size, each with an
 array of its own. A stretch that a share of a host's pages holds is held by that share of the
@@ -280,19 +281,29 @@ def _main_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept(blocks: list[markup.Block], marks: list[int], whole_blocks: bool) -> list[str]:
-    """The words that no stretch of the template covers (or those of the blocks it doesn't cover)."""
+    """The words of blocks that the template's stretches don't cover whole, and that (but for
+    ``whole_blocks``) no stretch within the block covers. The words that a block happens to begin
+    with on most pages, next to a block of the template, so stay."""
     tokens = _tokens(blocks)
-    covered = np.zeros(len(tokens) + RUN, np.int64)
-    starts = np.flatnonzero(np.isin(_marks(_hashes(tokens)), np.array(marks, np.int64)))
-    covered[starts] += 1
-    covered[starts + RUN] -= 1
-    free = np.cumsum(covered)[: len(tokens)] == 0
+    hit = np.isin(_marks(_hashes(tokens)), np.array(marks, np.int64))
+    free = ~_covered(np.flatnonzero(hit), len(tokens))
     out, at = [], 0
     for block in blocks:
-        own = free[at + 1 : at + 1 + len(block.words)]
-        if whole_blocks:
-            out += block.words if own.any() else ()
-        else:
-            out += (word for word, stays in zip(block.words, own) if stays)
-        at += len(block.words) + 1
+        end = at + 1 + len(block.words)
+        if free[at + 1 : end].any():
+            within = np.flatnonzero(hit[at : max(end - RUN + 1, at)])
+            if whole_blocks or not len(within):
+                out += block.words
+            else:
+                gone = _covered(within, end - at)
+                out += (word for word, goes in zip(block.words, gone[1:]) if not goes)
+        at = end
     return out
+
+
+def _covered(starts: np.ndarray, size: int) -> np.ndarray:
+    """Which of so many places the stretches from ``starts`` cover."""
+    change = np.zeros(size + RUN, np.int64)
+    change[starts] += 1
+    change[starts + RUN] -= 1
+    return np.cumsum(change)[:size] > 0

@@ -24,6 +24,8 @@ _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])|[^a-zA-Z0-9]+")
 
 # Element names of the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# An end tag of these parts blocks even where none is open.
+_LONE = frozenset("br hr p".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _BLOCKS = frozenset(
     """address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset
@@ -71,15 +73,12 @@ def visible_blocks(page: str) -> list[Block]:
     """The page's blocks of words outside of menus, forms and the like, in order."""
     blocks: list[Block] = []
     stack = [_Element("", OPEN, 0, "")]
-    words: list[str] = []
     held: list[str] = []
 
     def flush() -> None:
-        if held:
-            words[:] = "".join(held).split()
-            if words:
-                blocks.append(Block(stack[-1].place, _label(stack), list(words)))
-            held.clear()
+        if words := "".join(held).split():
+            blocks.append(Block(stack[-1].place, _label(stack), words))
+        held.clear()
 
     at = 0
     while at < len(page):
@@ -94,10 +93,10 @@ def visible_blocks(page: str) -> list[Block]:
         if tag["name"] is None:
             continue
         name = tag["name"].lower()
-        if name in _BLOCKS or name in _RAW:
+        if name in _BLOCKS and (not tag["end"] or name in _LONE or any(x.name == name for x in stack)):
             flush()
-            if name in ("br", "hr"):
-                continue
+        if name in _LONE and name != "p":
+            continue
         if tag["end"]:
             _close(stack, name)
         elif name in _RAW:
@@ -115,24 +114,25 @@ def _label(stack: list[_Element]) -> str:
 
 def _close(stack: list[_Element], name: str) -> None:
     """End the innermost element of the name; an inline one is looked for in its block only."""
+    crossing = name in _BLOCKS or name in _APART or name in _NEVER
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].name == name:
             del stack[k:]
             return
-        if name not in _BLOCKS and stack[k].name in _BLOCKS:
+        if not crossing and stack[k].name in _BLOCKS:
             return
 
 
 def _open(stack: list[_Element], name: str, given: str) -> None:
     if name in _BLOCKS:
         # A block ends an open paragraph, and an item the item before it.
-        ended = _CLOSES.get(name, frozenset()) | {"p"}
+        ended, cut = _CLOSES.get(name, frozenset()) | {"p"}, len(stack)
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].name in ended:
-                del stack[k:]
-                break
-            if stack[k].name in _BLOCKS:
+                cut = k
+            elif stack[k].name in _BLOCKS or stack[k].name in _APART:
                 break
+        del stack[cut:]
     above = stack[-1]
     found = _ATTRIBUTE.findall(given) if given and not given.isspace() else ()
     attributes = {k.lower(): a or b or c for k, a, b, c in found}
@@ -159,12 +159,12 @@ def _apartness(name: str, named: str, role: str, attributes: dict[str, str], pla
         return 2
     worst = 0
     for part in named.split():
-        words = {x.lower() for x in _HUMP.split(part) if x}
+        words = {x.lower() for x in (part, *_HUMP.split(part)) if x}
         if words & _NEVER_WORDS:
             return 2
         if words & _LAYOUT_WORDS:
             continue
-        header = "header" in words and words <= _HEADER_WORDS and not place
+        header = "header" in words and words - {part.lower()} <= _HEADER_WORDS and not place
         worst = max(worst, int(bool(words & _APART_WORDS) or header))
     # The header of an article or of the main part holds its title.
     apart = name in _APART and not (name == "header" and place)
