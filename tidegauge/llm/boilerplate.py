@@ -40,7 +40,7 @@ ARTICLE_SHARE, ARTICLE_PAGES = 0.9, 10
 #: Bytes of streams that are sorted at once (or one page).
 SLICE_BYTES = 4 << 20
 #: Bytes of streams in a partition.
-PART_BYTES = 16 << 20
+PART_BYTES = 4 << 20
 
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
@@ -87,10 +87,9 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html", name: str
     template = counted.where(most & (F.col("held") >= PAGES)).groupBy("host").agg(F.struct(*sets).alias("sets"))
     template = stored(template, "template")
 
-    given = F.struct(*pages.columns).alias("given")
-    packed = pages.select(_host(F.col(url)).alias("host"), F.col(page).alias("page"), given)
-    joined = _joined(packed, template, large, "left").select("page", "sets", "given")
-    cut = joined.mapInArrow(_main_text, added(joined.select("given"), text=T.StringType()))
+    packed = pages.select(_host(F.col(url)).alias("host"), F.struct(*pages.columns).alias("given"))
+    joined = _joined(packed, template, large, "left").select("sets", "given")
+    cut = joined.mapInArrow(_cut(page), added(joined.select("given"), text=T.StringType()))
     names = pages.columns if name.lower() in (c.lower() for c in pages.columns) else [*pages.columns, name]
     text = F.col("text").alias(name)
     return cut.select(*(text if c.lower() == name.lower() else F.col("given").getField(c).alias(c) for c in names))
@@ -270,14 +269,20 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["host", "content", "marks"])
 
 
-def _main_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for page, sets in zip(batch.column("page").to_pylist(), batch.column("sets").to_pylist()):
-            is_article, blocks = _chosen(page)
-            marks = sets and sets["all" if is_article else "most"]
-            texts.append(" ".join(_kept(blocks, marks, is_article) if marks else (w for b in blocks for w in b.words)))
-        yield pa.RecordBatch.from_arrays([batch.column("given"), pa.array(texts, pa.string())], ["given", "text"])
+def _cut(page: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given, texts = batch.column("given"), []
+            names = [x.lower() for x in (given.type.field(k).name for k in range(given.type.num_fields))]
+            pages = given.field(names.index(page.lower()))
+            for html, sets in zip(pages.to_pylist(), batch.column("sets").to_pylist()):
+                is_article, blocks = _chosen(html)
+                marks = sets and sets["all" if is_article else "most"]
+                words = _kept(blocks, marks, is_article) if marks else (w for b in blocks for w in b.words)
+                texts.append(" ".join(words))
+            yield pa.RecordBatch.from_arrays([given, pa.array(texts, pa.string())], ["given", "text"])
+
+    return run
 
 
 def _kept(blocks: list[markup.Block], marks: list[int], whole_blocks: bool) -> list[str]:
