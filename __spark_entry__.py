@@ -62,6 +62,8 @@ _DAYS_TO_1970 = 19_738
 # Type and expression of values with decimal places, and of values that doubles hold exactly.
 _DECIMAL = ("decimal(15,2)", "l_extendedprice")
 _DOUBLE = ("double", "cast(l_quantity as int) / 4")
+# Values whose sums a double can't hold.
+_REVENUE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 
 # --- Test tables as series and levels ---------------------------------------
 
@@ -124,7 +126,7 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_series(_table(spark, sf_dir, "lineitem"), "l_partkey")
 
 
-def _prices(kind: str, price: str) -> Query:
+def _prices(kind: str, price: str, country: str = "l_returnflag") -> Query:
     """Values that are not whole numbers, which ``normalise`` would cut off."""
 
     def series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +134,7 @@ def _prices(kind: str, price: str) -> Query:
         return df.select(
             F.col("l_shipdate").cast("date").alias("date"),
             F.expr(price).cast(kind).alias("cases"),
-            F.col("l_returnflag").alias("country"),
+            F.col(country).cast("string").alias("country"),
         )
 
     return series
@@ -379,12 +381,16 @@ def _stream_average_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Batch queries built from one series ------------------------------------
 
 
-def _average(series: Query, window_days: int, slide_days: int) -> Query:
+def _average(series: Query, window_days: int, slide_days: int, fill_gaps: bool = False) -> Query:
     return lambda spark, sf_dir: rolling_average(
-        series(spark, sf_dir), window_days=window_days, slide_days=slide_days
+        series(spark, sf_dir), window_days=window_days, slide_days=slide_days, fill_gaps=fill_gaps
     )
 
 
+def _filled_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling_change(_orders(spark, sf_dir), window_days=56, slide_days=28, fill_gaps=True)
+
+
 def _change(series: Query) -> Query:
     return lambda spark, sf_dir: rolling_change(series(spark, sf_dir))
 
@@ -452,6 +458,9 @@ def queries() -> dict[str, Query]:
         "rolling_avg_null_dates_events": _average(_events_with_nulls, 7, 1),
         "rolling_avg_decimal_lineitem": _average(_prices(*_DECIMAL), 7, 1),
         "rolling_avg_double_lineitem": _average(_prices(*_DOUBLE), 7, 1),
+        "rolling_avg_floating_lineitem": _average(_prices("double", _REVENUE), 7, 1),
+        "rolling_avg_fill_gaps_orders": _average(_orders, 28, 28, fill_gaps=True),
+        "pct_change_fill_gaps_orders": _filled_change,
         "pct_change_7_1_events": _change_of_average(_events),
         "pct_change_7_1_orders": _change(_orders),
         "pct_change_7_1_lineitem": _change(_lineitem),
@@ -464,6 +473,7 @@ def queries() -> dict[str, Query]:
         "rank_top3_orders": _rank(_orders, 3),
         "rank_top10_lineitem": _rank(_lineitem, 10),
         "rank_top10_lineitem_parts": _rank(_parts, 10),
+        "rank_top3_floating_lineitem_suppliers": _rank(_prices("double", _REVENUE, "l_suppkey"), 3),
         "rank_one_period_events": _rank_one_period,
         "rank_sorted_events": _rank_sorted,
         "counter_to_increments_conversations": _increments,
@@ -519,18 +529,28 @@ _INCREMENTS = """select cast(date '1970-01-01' + cast(turn as integer) as date)
     cast(conv_id as varchar) as country from conversations"""
 
 
-def _with_changes(series: str, window_days: int = 7, slide_days: int = 1) -> str:
+def _with_changes(
+    series: str, window_days: int = 7, slide_days: int = 1, total: str = "sum(cases)", fill_gaps: bool = False
+) -> str:
     """CTEs ``n`` (series), ``a`` (averages) and ``i`` (their percent change)."""
     steps = -(-window_days // slide_days)
     day = "date_diff('day', date '1970-01-01', n.date)"
     offset = f"((({day} % {slide_days}) + {slide_days}) % {slide_days}) + {slide_days} * k.k"
     previous = "lag(avg) over (partition by country order by end_date)"
+    filled, windows = "", "s"
+    if fill_gaps:
+        windows = "g"
+        filled = f"""f as (select country, cast(unnest(generate_series(min(start_date), max(start_date),
+        interval {slide_days} day)) as date) as start_date from s group by 1),
+g as (select f.start_date, f.country, case when s.start_date is null then 0 else s.avg end as avg
+    from f left join s on f.start_date = s.start_date and f.country = s.country),
+"""
     return f"""with n as ({series}),
 s as (select cast(n.date - cast({offset} as integer) as date) as start_date, country,
-        sum(cases) / cast({window_days // slide_days} as double) as avg
+        {total} / cast({window_days // slide_days} as double) as avg
     from n, range(0, {steps}) k(k)
     where n.date is not null and {offset} < {window_days} group by 1, 2),
-a as (select start_date, cast(start_date + {window_days} as date) as end_date, country, avg from s),
+{filled}a as (select start_date, cast(start_date + {window_days} as date) as end_date, country, avg from {windows}),
 p as (select *, {previous} as previous from a),
 i as (select start_date, end_date, country, avg, previous,
         (avg - previous) / nullif(previous, 0) * 100.0 as avg_increase from p),
@@ -544,6 +564,11 @@ _DECIMALS = """select cast(l_shipdate as date) as date,
     cast(l_extendedprice as decimal(15,2)) as cases, l_returnflag as country from lineitem"""
 _DOUBLES = """select cast(l_shipdate as date) as date,
     trunc(l_quantity) / 4 as cases, l_returnflag as country from lineitem"""
+# These values are whole numbers of 2**-52; a double parsed from a number's digits is the next one to it.
+_WHOLE = f"""select cast(l_shipdate as date) as date, cast({_REVENUE} * 4503599627370496 as hugeint) as cases,
+    l_returnflag as country from lineitem"""
+_WHOLE_BY_SUPPLIER = _WHOLE.replace("l_returnflag as", "cast(l_suppkey as varchar) as")
+_ROUNDED = "cast(cast(sum(cases) as varchar) as double) / 4503599627370496"
 _EVENTS_AROUND_1970 = f"""select cast(date - {_DAYS_TO_1970} as date) as date, cases, country
     from ({_EVENTS})"""
 _EVENTS_IN_TIME = f"""select * from ({_EVENTS})
@@ -560,8 +585,8 @@ _INC = "select start_date, end_date, country, avg, avg_increase from i"
 _CLOSED = " where end_date <= (select max(date) from n)"
 
 
-def _rank_sql(series: str, limit: int) -> str:
-    return _with_changes(series) + f"select * from r where rank <= {limit}"
+def _rank_sql(series: str, limit: int, total: str = "sum(cases)") -> str:
+    return _with_changes(series, total=total) + f"select * from r where rank <= {limit}"
 
 
 def _prefix_sql(series: str, dates: int) -> str:
@@ -597,6 +622,9 @@ def oracle_sql() -> dict[str, str]:
         "rolling_avg_null_dates_events": _with_changes(_EVENTS_WITH_NULLS) + _AVG,
         "rolling_avg_decimal_lineitem": _with_changes(_DECIMALS) + _AVG,
         "rolling_avg_double_lineitem": _with_changes(_DOUBLES) + _AVG,
+        "rolling_avg_floating_lineitem": _with_changes(_WHOLE, total=_ROUNDED) + _AVG,
+        "rolling_avg_fill_gaps_orders": _with_changes(_ORDERS, 28, 28, fill_gaps=True) + _AVG,
+        "pct_change_fill_gaps_orders": _with_changes(_ORDERS, 56, 28, fill_gaps=True) + _INC,
         "pct_change_7_1_events": _with_changes(_EVENTS) + _INC,
         "pct_change_7_1_orders": _with_changes(_ORDERS) + _INC,
         "pct_change_7_1_lineitem": _with_changes(_LINEITEM) + _INC,
@@ -609,6 +637,7 @@ def oracle_sql() -> dict[str, str]:
         "rank_top3_orders": _rank_sql(_ORDERS, 3),
         "rank_top10_lineitem": _rank_sql(_LINEITEM, 10),
         "rank_top10_lineitem_parts": _rank_sql(_PARTS, 10),
+        "rank_top3_floating_lineitem_suppliers": _rank_sql(_WHOLE_BY_SUPPLIER, 3, _ROUNDED),
         "rank_one_period_events": _rank_sql(_EVENTS, 10)
         + " and end_date = (select max(date) from n)",
         "rank_sorted_events": _rank_sql(_EVENTS, 10) + " order by end_date, rank, country",

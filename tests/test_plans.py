@@ -108,3 +108,18 @@ def test_prefix_is_a_scan_filter(table):
     plan = final_plan(date_prefix(table, 10))
     assert "Join" not in plan
     assert re.search(r"Filter \(isnotnull\(date#\d+\) AND \(date#\d+ <= Subquery", plan)
+
+
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_filled_gaps_cost_no_shuffle(table, kind):
+    df = table.withColumn("cases", F.col("cases").cast(kind))
+    plain, filled = (final_plan(rolling_change(df, fill_gaps=fill)) for fill in (False, True))
+    assert len(shuffles(filled)) == len(shuffles(plain)) == 2
+    assert filled.count(" Sort [") == plain.count(" Sort [") == 1
+
+
+def test_floating_sums_are_reduced_before_the_shuffles(table):
+    plan = final_plan(rolling_change(table.withColumn("cases", F.col("cases") / 7)))
+    assert [keys(e) for e in shuffles(plan)] == [["country"], ["country", "date", "_bin"]], plan
+    assert "partial_sum" in plan
+    assert "ReadSchema: struct<date:date,cases:int,country:string>" in plan

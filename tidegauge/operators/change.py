@@ -20,8 +20,8 @@ def percent_change(
 ) -> DataFrame:
     """Add the percent change of ``value`` against the previous row of its key.
 
-    Previous means the previous existing row: a gap in the series is bridged, not
-    filled. The first row of a key, and a row after a zero or NULL, get NULL.
+    Previous means the previous existing row: a gap in the series is bridged, unless the
+    averages were made with ``fill_gaps``. The first row of a key, and a row after a zero or NULL, get NULL.
     Expects one row per key and period, which bounds a key by the calendar.
     """
     previous = F.lag(value, 1).over(Window.partitionBy(*key_names(key)).orderBy(order))

@@ -42,8 +42,9 @@ def rank_within(
     3. the ranks return to their cells. A cell's values are in the same order as
        their ranks, so the n-th value of a cell takes the n-th of its ranks.
 
-    Spark may evaluate ``df`` twice, so ``by`` must come out the same both times. Values
-    made from integer or decimal sums do; persist a frame made from floating-point sums.
+    Spark may evaluate ``df`` twice, so ``by`` must come out the same both times, as the changes
+    of this library do: its sums don't depend on the order of the rows. Persist a frame whose
+    ``by`` comes from Spark's own sums of floating-point values.
 
     Where ``df`` is hash-partitioned by ``key`` into ``cells`` partitions (by default the
     session's shuffle partitions), as the output of ``rolling_change`` is, a cell lies

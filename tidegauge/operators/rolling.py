@@ -4,27 +4,35 @@ The data is reduced to one row per key and day before anything is shuffled by
 key, so a key holding a large share of the rows still contributes no more than
 one row per calendar day to the task that owns it.
 
-A window's sum only changes on the days a record enters or leaves it. For exact
-value types the operator therefore sorts two change points per key and day, keeps
-a running sum over them, and expands the runs between change points into
-windows. The work follows the size of the result, not rows times window length.
-Running sums of floating-point values would leave rounding residue behind, so
-those values are added up window by window instead.
+A window's sum only changes on the days a record enters or leaves it. The operator
+therefore sorts two change points per key and day, keeps a running sum over them,
+and expands the runs between change points into windows. The work follows the
+size of the result, not rows times window length.
+
+Running sums of floating-point values would leave rounding residue behind, and
+their last digits would depend on the order of the rows. Such values are added up
+exactly instead (see ``functions.exact``): in parts as whole numbers on Spark, and
+along a key's days, of which there are no more than the calendar has, as Python
+integers. An average is the exact sum rounded once, then divided.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions import (
+    LIMBS,
+    ExactSum,
     check_window,
     date_of_day,
     first_window_start,
     last_window_start,
+    limb_columns,
     percent_change_of,
 )
 from tidegauge.operators.keys import check_dates, key_names
@@ -40,10 +48,15 @@ def daily_totals(
     """Sum per key and day; rows without a date are dropped.
 
     Partial sums are built before the shuffle. A day whose values are all NULL
-    keeps its row, with a NULL total.
+    keeps its row, with a NULL total. Floating-point totals are exact sums, rounded once.
     """
     keys = key_names(key)
     check_dates(df, date)
+    if _is_floating(df, value):
+        bins = F.struct(*LIMBS).alias("_limbs")
+        totals = _limb_totals(df, keys, date, value).groupBy(*keys, date)
+        totals = totals.agg(F.collect_list(bins).alias("_limbs"), F.sum("_known").alias("_known"))
+        return totals.select(date, *keys, F.when(F.col("_known") > 0, _exact_total("_limbs")).alias(total))
     return (
         df.where(F.col(date).isNotNull())
         .groupBy(*keys, date)
@@ -63,12 +76,17 @@ def rolling_average(
     strict: bool = False,
     colocated: bool = False,
     partitions: int | None = None,
+    fill_gaps: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` per key and window over the number of slides per window.
 
-    Windows that hold no record of a key do not exist for that key. The constant
-    divisor spreads a coarse record evenly: a weekly figure counts at a seventh
-    in each of the seven daily windows that hold it.
+    Windows that hold no record of a key do not exist for that key, unless ``fill_gaps`` asks
+    for all windows between a key's first and its last: those without a record then have the
+    average zero. They come out of the same runs, without another shuffle or sort.
+
+    The constant divisor spreads a coarse record evenly: a weekly figure counts at a seventh
+    in each of the seven daily windows that hold it. Averages are the same however the rows
+    are partitioned, those of floating-point values included.
 
     ``colocated`` says that ``df`` is already hash-partitioned by ``key`` (it comes
     out of a key-partitioned window function, say), which saves both shuffles.
@@ -81,7 +99,7 @@ def rolling_average(
     """
     keys = key_names(key)
     runs = _window_runs(
-        df, keys, date, value, window_days, slide_days, strict, colocated, partitions
+        df, keys, date, value, window_days, slide_days, strict, colocated, partitions, fill_gaps
     )
     windows = runs.select(*keys, "avg", F.explode(_run_starts(slide_days)).alias("_start"))
     return windows.select(*_labels(window_days), *keys, "avg")
@@ -98,12 +116,15 @@ def rolling_change(
     strict: bool = False,
     colocated: bool = False,
     partitions: int | None = None,
+    fill_gaps: bool = False,
 ) -> DataFrame:
     """``percent_change(rolling_average(...))`` in one pass over the runs.
 
     All windows of a run have the same average, so the previous average is looked
     up once per run, in the order the runs are already sorted in. The expanded
-    windows are never sorted or shuffled again.
+    windows are never sorted or shuffled again. With ``fill_gaps`` the windows that
+    ``rolling_average`` fills in take part: the first of a gap falls by 100 percent, and what
+    follows a zero is NULL.
     """
     runs = change_runs(
         df,
@@ -115,6 +136,7 @@ def rolling_change(
         strict=strict,
         colocated=colocated,
         partitions=partitions,
+        fill_gaps=fill_gaps,
     )
     return expand_changes(runs, key, window_days, slide_days)
 
@@ -130,6 +152,7 @@ def change_runs(
     strict: bool = False,
     colocated: bool = False,
     partitions: int | None = None,
+    fill_gaps: bool = False,
 ) -> DataFrame:
     """The computed part of ``rolling_change``, before it is expanded into windows.
 
@@ -138,8 +161,10 @@ def change_runs(
     """
     keys = key_names(key)
     runs = _window_runs(
-        df, keys, date, value, window_days, slide_days, strict, colocated, partitions
+        df, keys, date, value, window_days, slide_days, strict, colocated, partitions, fill_gaps
     )
+    if "_before" in runs.columns:
+        return runs
     in_order = Window.partitionBy(*keys).orderBy("_start")
     return runs.withColumn("_before", F.lag("avg", 1).over(in_order))
 
@@ -186,60 +211,140 @@ def _window_runs(
     strict: bool,
     colocated: bool,
     partitions: int | None,
+    fill_gaps: bool,
 ) -> DataFrame:
     """Runs of windows with equal content: ``<keys>, _start, _until, avg``.
 
-    A run covers the window starts ``_start, _start + slide, ...`` below ``_until``.
+    A run covers the window starts ``_start, _start + slide, ...`` below ``_until``. With
+    ``fill_gaps`` the stretches between a key's runs are runs of zeros. Runs of floating-point
+    values come with ``_before``, the average of their key's run before them.
     """
     divisor = check_window(window_days, slide_days, strict)
     check_dates(df, date)
-    exact = isinstance(df.schema[value].dataType, (T.IntegralType, T.DecimalType))
-    daily = (
-        df.where(F.col(date).isNotNull())
-        .groupBy(*keys, date)
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_known"))
-    )
+    floating = _is_floating(df, value)
+    if floating:
+        daily = _limb_totals(df, keys, date, value)
+    else:
+        daily = (
+            df.where(F.col(date).isNotNull())
+            .groupBy(*keys, date)
+            .agg(F.sum(value).alias("_sum"), F.count(value).alias("_known"))
+        )
     if not colocated:
-        # inline() and explode() keep this partitioning, so every step below up to
-        # the changes stays inside it.
+        # Everything below keeps this partitioning, so every step up to the changes
+        # stays inside it.
         daily = daily.repartition(*([partitions] if partitions else []), *keys)
     first = first_window_start(F.col(date), window_days, slide_days)
-    last = last_window_start(F.col(date), slide_days)
-    after_last = last + F.lit(slide_days)
-
-    if exact:
-        entering = (first, F.col("_sum"), F.col("_known"), F.lit(1))
-        leaving = (after_last, -F.col("_sum"), -F.col("_known"), F.lit(-1))
-        names = ("_start", "_sum", "_known", "_days")
-        change_points = F.array(
-            *(
-                F.struct(*(field.alias(name) for name, field in zip(names, point)))
-                for point in (entering, leaving)
-            )
-        )
-        # Rows of one start are summed one after the other; only the last of them, the
-        # one with a later start next to it, has the sum of all.
-        in_order = Window.partitionBy(*keys).orderBy("_start")
-        so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        runs = (
-            daily.select(*keys, F.inline(change_points))
-            .select(
-                *keys,
-                "_start",
-                F.lead("_start", 1).over(in_order).alias("_until"),
-                *(F.sum(name).over(so_far).alias(name) for name in names[1:]),
-            )
-            .where((F.col("_until") > F.col("_start")) & (F.col("_days") > 0))
-        )
-    else:
-        starts = F.explode(F.sequence(first, last, F.lit(slide_days)))
-        runs = (
-            daily.select(*keys, starts.alias("_start"), "_sum", "_known")
-            .groupBy(*keys, "_start")
-            .agg(F.sum("_sum").alias("_sum"), F.sum("_known").alias("_known"))
-            .withColumn("_until", F.col("_start") + F.lit(slide_days))
+    after_last = last_window_start(F.col(date), slide_days) + F.lit(slide_days)
+    if floating:
+        return _exact_runs(daily, keys, first, after_last, divisor, fill_gaps)
+
+    entering = (first, F.col("_sum"), F.col("_known"), F.lit(1))
+    leaving = (after_last, -F.col("_sum"), -F.col("_known"), F.lit(-1))
+    names = ("_start", "_sum", "_known", "_days")
+    change_points = F.array(
+        *(
+            F.struct(*(field.alias(name) for name, field in zip(names, point)))
+            for point in (entering, leaving)
         )
-    known_sum = F.when(F.col("_known") > 0, F.col("_sum"))
-    return runs.select(
-        *keys, "_start", "_until", (known_sum.cast("double") / F.lit(divisor)).alias("avg")
     )
+    # Rows of one start are summed one after the other; only the last of them, the
+    # one with a later start next to it, has the sum of all.
+    in_order = Window.partitionBy(*keys).orderBy("_start")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = daily.select(*keys, F.inline(change_points)).select(
+        *keys,
+        "_start",
+        F.lead("_start", 1).over(in_order).alias("_until"),
+        *(F.sum(name).over(so_far).alias(name) for name in names[1:]),
+    )
+    runs = runs.where(F.col("_until") > F.col("_start"))
+    average = F.when(F.col("_known") > 0, F.col("_sum")).cast("double") / F.lit(divisor)
+    if fill_gaps:
+        average = F.when(F.col("_days") > 0, average).otherwise(F.lit(0.0))
+    else:
+        runs = runs.where(F.col("_days") > 0)
+    return runs.select(*keys, "_start", "_until", average.alias("avg"))
+
+
+def _is_floating(df: DataFrame, value: str) -> bool:
+    return not isinstance(df.schema[value].dataType, (T.IntegralType, T.DecimalType))
+
+
+def _limb_totals(df: DataFrame, keys: list[str], date: str, value: str) -> DataFrame:
+    """Exact sums per key, day and bin of floating-point values, and the count of those known."""
+    known = F.col(value).isNotNull().cast("bigint").alias("_known")
+    limbs = df.where(F.col(date).isNotNull()).select(*keys, date, *limb_columns(F.col(value)), known)
+    summed = (F.sum(name).alias(name) for name in (*LIMBS[1:], "_known"))
+    return limbs.groupBy(*keys, date, LIMBS[0]).agg(*summed)
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_total(limbs):
+    def total(bins):
+        found = ExactSum()
+        for row in bins:
+            found.add(tuple(None if row[x] is None or row[x] != row[x] else int(row[x]) for x in LIMBS))
+        return found.value()
+
+    return limbs.map(total)
+
+
+def _exact_runs(
+    daily: DataFrame, keys: list[str], first: Column, after_last: Column, divisor: int, fill_gaps: bool
+) -> DataFrame:
+    """The runs of totals in limbs; their rows are in the partitions of their keys."""
+    # NaN and NULL are keys too: Spark says where a key starts.
+    in_order = Window.partitionBy(*keys).orderBy("_first", "_after")
+    rows = daily.select(*keys, first.alias("_first"), after_last.alias("_after"), "_known", *LIMBS)
+    rows = rows.withColumn("_place", F.row_number().over(in_order)).sortWithinPartitions(*keys, "_first", "_after")
+    fields = [T.StructField("_start", T.IntegerType()), T.StructField("_until", T.IntegerType())]
+    averages = [T.StructField(name, T.DoubleType()) for name in ("avg", "_before")]
+    schema = T.StructType([*daily.select(*keys).schema, *fields, *averages])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, points = None, []
+        for batch in batches:
+            given = batch.to_pydict()
+            made = []
+            for k, place in enumerate(given["_place"]):
+                if place == 1:
+                    made.append((key, _runs_of(points, divisor, fill_gaps)))
+                    key, points = batch.select(keys).slice(k, 1), []
+                limbs = tuple(given[x][k] for x in LIMBS)
+                points.append((given["_first"][k], limbs, given["_known"][k], 1))
+                points.append((given["_after"][k], limbs, given["_known"][k], -1))
+            yield from _run_batches(made, schema)
+        yield from _run_batches([(key, _runs_of(points, divisor, fill_gaps))], schema)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _runs_of(points: list[tuple[int, tuple, int, int]], divisor: int, fill_gaps: bool) -> list[tuple]:
+    """Start, end, average and average before of the runs between one key's change points."""
+    runs, held, known, open_, before = [], ExactSum(), 0, 0, None
+    points = sorted(points, key=lambda point: point[0])
+    for point, after in zip(points, [*points[1:], None]):
+        start, limbs, count, way = point
+        held.add(limbs, way)
+        known += way * count
+        open_ += way
+        if after is not None and after[0] > start and (open_ or fill_gaps):
+            average = held.value() / divisor if known else None if open_ else 0.0
+            runs.append((start, after[0], average, before))
+            before = average
+    return runs
+
+
+def _run_batches(
+    made: list[tuple[pa.RecordBatch | None, list[tuple]]], schema: T.StructType
+) -> Iterator[pa.RecordBatch]:
+    made = [(key, runs) for key, runs in made if runs]
+    if made:
+        at = pa.array([k for k, (_, runs) in enumerate(made) for _ in runs])
+        keys = pa.Table.from_batches([key for key, _ in made]).combine_chunks().take(at)
+        values = zip(*(run for _, runs in made for run in runs))
+        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
+        arrays = [pa.array(column, kind) for column, kind in zip(values, kinds)]
+        columns = [column.combine_chunks() for column in keys.columns]
+        yield pa.RecordBatch.from_arrays([*columns, *arrays], schema.names)

@@ -21,6 +21,7 @@ def report_frames(
     strict: bool = False,
     colocated: bool = False,
     partitions: int | None = None,
+    fill_gaps: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Averages with percent change, and their top ranks per window, of a series."""
     changes = rolling_change(
@@ -30,6 +31,7 @@ def report_frames(
         strict=strict,
         colocated=colocated,
         partitions=partitions,
+        fill_gaps=fill_gaps,
     )
     return changes, rank_within(changes, limit=rank_limit, key="country", cells=partitions)
 
