@@ -17,6 +17,7 @@ from tidegauge import (
     Layout,
     count_rejects,
     counter_to_increments,
+    current_report,
     daily_totals,
     date_prefix,
     date_prefix_buckets,
@@ -24,9 +25,12 @@ from tidegauge import (
     normalise,
     percent_change,
     read_date_prefix,
+    read_rejects,
     read_replaced,
     read_report,
     read_series,
+    read_stream_report,
+    read_updates,
     report_frames,
     rocksdb_state,
     rolling_average,
@@ -34,10 +38,14 @@ from tidegauge import (
     run_report,
     start_rank,
     start_replace,
+    start_report,
     start_table,
+    start_updates,
     stream_counter_to_increments,
     stream_percent_change,
+    stream_rejects,
     stream_rolling_average,
+    stream_rolling_updates,
     stream_series,
     work_dir,
     write_date_prefixes,
@@ -222,14 +230,32 @@ def _csv_counter_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_series(spark, _conversations_csv(spark, sf_dir), Layout.COUNTER)
 
 
-def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _broken_csv(spark: SparkSession, sf_dir: str) -> str:
     rows = _case_report_rows(_events_with_nulls(spark, sf_dir)).withColumns(
         {
             "dateRep": F.coalesce("dateRep", F.lit("2024-01-01")),
             "cases": F.coalesce(F.col("cases").cast("string"), F.lit("x")),
         }
     )
-    return count_rejects(spark, _write_csv(rows, work_dir(spark, "case-report")))
+    return _write_csv(rows, work_dir(spark, "case-report"))
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_rejects(spark, _broken_csv(spark, sf_dir))
+
+
+def _csv_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = read_rejects(spark, _broken_csv(spark, sf_dir))
+    placed = F.col("file").endswith(".csv") & (F.col("block_start") >= 0)
+    return rejects.select("record", F.array_join("failing", " ").alias("failing"), placed.alias("placed"))
+
+
+def _stream_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = stream_series(spark, _broken_csv(spark, sf_dir), rejects="rejects")
+    query = start_table(series, work_dir(spark, "stream"), work_dir(spark, "checkpoint"))
+    query.awaitTermination()
+    counts = spark.createDataFrame(stream_rejects(query, "rejects"), "batch bigint, records bigint, rejected bigint")
+    return counts.agg(F.sum("records").alias("records"), F.sum("rejected").alias("rejected"))
 
 
 def _csv_sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +277,15 @@ def _csv_report(layout: Layout, output: str) -> Query:
     return query
 
 
+def _csv_report_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = work_dir(spark, "report")
+    source = _events_csv(spark, sf_dir)
+    run_report(spark, source, out_dir=out, rank_limit=1, versioned=True)
+    run_report(spark, source, out_dir=out, versioned=True)
+    ranks = report_frames(read_series(spark, source))[1]
+    return read_report(spark, current_report(spark, out)[1], ranks.schema)
+
+
 def _csv_report_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = _parts(spark, sf_dir)
     source = _write_csv(_case_report_rows(series), work_dir(spark, "case-report"))
@@ -348,6 +383,54 @@ def _stream_counter_average(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _as_table(spark, stream_rolling_average(increments))
 
 
+def _stream_average_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Thirds of the records, by line: nearly all windows change in every trigger.
+    lines = _table(spark, sf_dir, "lineitem")
+    parts = [_lineitem_series(lines.where(F.col("l_linenumber") % 3 == k)) for k in range(3)]
+    averages = stream_rolling_updates(_files_stream(spark, parts), window_days=365)
+    path = work_dir(spark, "stream")
+    with rocksdb_state(spark):
+        query = start_updates(averages, path, work_dir(spark, "checkpoint"))
+    query.awaitTermination()
+    return read_updates(spark, path, averages.schema)
+
+
+def _stream_report(output: int) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        changes = stream_percent_change(stream_rolling_average(_events_stream(spark, sf_dir)))
+        path = work_dir(spark, "stream")
+        with rocksdb_state(spark):
+            started = start_report(changes, path, work_dir(spark, "checkpoint"), limit=3)
+        started.awaitTermination()
+        return read_stream_report(spark, path, changes.schema)[output]
+
+    return query
+
+
+def _typed_levels(df: DataFrame) -> DataFrame:
+    """Levels that aren't whole numbers, of which a day has many, and the time of each."""
+    return df.select(
+        F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("day"),
+        F.col("event_type").alias("country"),
+        F.col("value").cast("decimal(12,3)").alias("infected"),
+        F.col("value").cast("double").alias("fraction"),
+        F.col("ts").alias("version"),
+    )
+
+
+def _stream_counter_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = _typed_levels(_table_stream(spark, sf_dir, "events"))
+    with rocksdb_state(spark):
+        return _as_table(spark, stream_counter_to_increments(levels, level="fraction")).drop("event_time")
+
+
+def _stream_counter_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = _typed_levels(_table_stream(spark, sf_dir, "events"))
+    with rocksdb_state(spark):
+        increments = stream_counter_to_increments(levels, dedupe="last", version="version")
+        return _as_table(spark, increments).drop("event_time")
+
+
 def _stream_csv_case_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = stream_series(spark, _events_csv(spark, sf_dir))
     return _as_table(spark, stream_rolling_average(series))
@@ -486,11 +569,13 @@ def queries() -> dict[str, Query]:
         "csv_multi_file_scan_events": _csv_multi_file_scan,
         "csv_counter_scan_conversations": _csv_counter_scan,
         "csv_rejects_events": _csv_rejects,
+        "csv_reject_rows_events": _csv_reject_rows,
         "csv_sink_round_trip_events": _csv_sink_round_trip,
         "csv_date_prefix_events": _csv_date_prefix,
         "csv_overwrite_events": _csv_overwrite,
         "csv_repeated_turns_conversations": _csv_repeated_turns,
         "csv_report_rank_parts": _csv_report_parts,
+        "csv_report_versioned_rank_events": _csv_report_versioned,
         "csv_report_avg_events": _csv_report(Layout.CASE_REPORT, "avg"),
         "csv_report_rank_events": _csv_report(Layout.CASE_REPORT, "rank"),
         "csv_report_rank_conversations": _csv_report(Layout.COUNTER, "rank"),
@@ -498,6 +583,11 @@ def queries() -> dict[str, Query]:
         "stream_rolling_avg_closed_events": _stream_average_closed,
         "stream_pct_change_events": _stream_change,
         "stream_rank_events": _stream_rank,
+        "stream_report_avg_events": _stream_report(0),
+        "stream_report_rank_events": _stream_report(1),
+        "stream_rolling_avg_updates_365_lineitem": _stream_average_updates,
+        "stream_counter_fractions_events": _stream_counter_fractions,
+        "stream_counter_timed_versions_events": _stream_counter_versions,
         "stream_counter_to_increments_conversations": _stream_counter,
         "stream_counter_rolling_avg_conversations": _stream_counter_average,
         "stream_counter_late_days_conversations": _stream_counter_late,
@@ -506,6 +596,7 @@ def queries() -> dict[str, Query]:
         "stream_rolling_avg_late_rows_events": _stream_average_late_rows,
         "stream_csv_case_report_events": _stream_csv_case_report,
         "stream_csv_counter_conversations": _stream_csv_counter,
+        "stream_csv_rejects_events": _stream_csv_rejects,
     }
 
 
@@ -578,6 +669,18 @@ _REPEATED_TURNS = """select conv_id, turn, case when length(text) % 3 = 0 then l
 _REPEATED_INCREMENTS = f"""select cast(date '1970-01-01' + cast(turn as integer) as date) as date,
     cast(level - lag(level, 1, 0) over (partition by conv_id order by turn) as integer) as cases,
     cast(conv_id as varchar) as country from ({_REPEATED_TURNS})"""
+_TYPED_INCREMENTS = """select cast(date '1970-01-01' + cast(date - date '2024-01-01' as integer) as date) as date,
+    level - lag(level, 1, 0) over (partition by country order by date) as cases, country
+    from (select cast(ts as date) as date, event_type as country, {level} as level from events group by 1, 2)"""
+_FRACTIONS = _TYPED_INCREMENTS.format(level="max(value)")
+_TIMED_VERSIONS = _TYPED_INCREMENTS.format(level="arg_max(cast(value as decimal(12,3)), ts)")
+_REJECTS = f"""select count(*) as records, count(*) filter (where date is null or cases is null) as rejected
+    from ({_EVENTS_WITH_NULLS})"""
+_REJECT_ROWS = f"""select case when date is null then '2024-01-01,,,,' else
+        concat(day(date), '/', month(date), '/', year(date), ',', day(date), ',', month(date), ',', year(date), ',') end
+        || coalesce(cast(cases as varchar), 'x') || ',,' || country || ',,,,,' as record,
+    concat_ws(' ', case when date is null then 'dateRep' end, case when cases is null then 'cases' end) as failing,
+    true as placed from ({_EVENTS_WITH_NULLS}) where date is null or cases is null"""
 _EIGHTHS = "(select 2 * cast(trunc((max(turn) + 8) / 8) as integer) as late, max(turn) as last from conversations)"
 
 _AVG = "select start_date, end_date, country, avg from a"
@@ -654,14 +757,14 @@ def oracle_sql() -> dict[str, str]:
         "csv_case_report_scan_events": _EVENTS,
         "csv_multi_file_scan_events": _EVENTS,
         "csv_counter_scan_conversations": _INCREMENTS,
-        "csv_rejects_events": f"""select count(*) as records,
-            count(*) filter (where date is null or cases is null) as rejected
-            from ({_EVENTS_WITH_NULLS})""",
+        "csv_rejects_events": _REJECTS,
+        "csv_reject_rows_events": _REJECT_ROWS,
         "csv_sink_round_trip_events": averages,
         "csv_date_prefix_events": _prefix_sql(_EVENTS, 10),
         "csv_overwrite_events": averages,
         "csv_repeated_turns_conversations": _REPEATED_INCREMENTS,
         "csv_report_rank_parts": _rank_sql(_PARTS, 10),
+        "csv_report_versioned_rank_events": _rank_sql(_EVENTS, 10),
         "csv_report_avg_events": _with_changes(_EVENTS) + _INC,
         "csv_report_rank_events": _rank_sql(_EVENTS, 10),
         "csv_report_rank_conversations": counter_ranks,
@@ -669,6 +772,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_rolling_avg_closed_events": closed_averages,
         "stream_pct_change_events": _with_changes(_EVENTS) + _INC + _CLOSED,
         "stream_rank_events": _rank_sql(_EVENTS, 3) + " and end_date <= (select max(date) from n)",
+        "stream_report_avg_events": _with_changes(_EVENTS) + _INC + _CLOSED,
+        "stream_report_rank_events": _rank_sql(_EVENTS, 3) + " and end_date <= (select max(date) from n)",
+        "stream_rolling_avg_updates_365_lineitem": _with_changes(_LINEITEM, 365, 1) + _AVG,
+        "stream_counter_fractions_events": _FRACTIONS,
+        "stream_counter_timed_versions_events": _TIMED_VERSIONS,
         "stream_counter_to_increments_conversations": _INCREMENTS,
         "stream_counter_rolling_avg_conversations": _with_changes(_INCREMENTS) + _AVG + _CLOSED,
         "stream_counter_late_days_conversations": f"""select i.* from ({_INCREMENTS}) i, {_EIGHTHS}
@@ -678,4 +786,5 @@ def oracle_sql() -> dict[str, str]:
         "stream_rolling_avg_late_rows_events": _with_changes(_EVENTS_IN_TIME) + _AVG + _CLOSED,
         "stream_csv_case_report_events": closed_averages,
         "stream_csv_counter_conversations": _INCREMENTS,
+        "stream_csv_rejects_events": _REJECTS,
     }

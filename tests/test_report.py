@@ -103,3 +103,36 @@ def test_work_dir_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != second
+
+
+def test_a_failed_run_leaves_the_last_version_whole(spark, tmp_path, monkeypatch):
+    from tidegauge import current_report
+    from tidegauge.plans import report
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in", "a.csv", CASE_HEADER, "1/1/2021,1,1,2021,5,0,Italy,,,,,", "2/1/2021,2,1,2021,9,0,Italy,,,,,")
+    paths = run_report(spark, source, out_dir=out, versioned=True)
+    assert current_report(spark, out) == paths
+    before = [spark.read.option("header", True).csv(p).collect() for p in paths]
+
+    write_report, calls = report.write_report, []
+
+    def fails_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("no space left")
+        write_report(*args)
+
+    write(tmp_path / "in", "b.csv", CASE_HEADER, "3/1/2021,3,1,2021,7,0,Spain,,,,,")
+    monkeypatch.setattr(report, "write_report", fails_second)
+    with pytest.raises(OSError, match="no space left"):
+        run_report(spark, source, out_dir=out, versioned=True)
+    assert current_report(spark, out) == paths
+    assert [spark.read.option("header", True).csv(p).collect() for p in paths] == before
+
+    # The next run's report takes its place, and the old one can still be read.
+    newer = run_report(spark, source, out_dir=out, versioned=True)
+    assert current_report(spark, out) == newer != paths
+    assert [spark.read.option("header", True).csv(p).collect() for p in paths] == before
+    assert "Spain" in {r.country for r in spark.read.option("header", True).csv(newer[0]).collect()}

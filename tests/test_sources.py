@@ -3,7 +3,16 @@ from __future__ import annotations
 import pytest
 from conftest import day, final_plan, rows
 
-from tidegauge import Layout, count_rejects, read_raw, read_series
+from tidegauge import (
+    Layout,
+    count_rejects,
+    read_raw,
+    read_rejects,
+    read_series,
+    start_table,
+    stream_rejects,
+    stream_series,
+)
 
 CASE_HEADER = (
     "dateRep,day,month,year,cases,deaths,countriesAndTerritories,geoId,countryterritoryCode,"
@@ -86,3 +95,47 @@ def test_rejected_counters(spark, tmp_path):
     path = write(tmp_path, "n.csv", COUNTER_HEADER, "0,1,x,3,0", "1,one,90,5,0", "2,1,90,,0")
     # An empty field is missing rather than unreadable.
     assert count_rejects(spark, path, "counter").first().asDict() == {"records": 3, "rejected": 1}
+
+
+BAD_LINES = [
+    "1/1/2021,1,1,2021,5,0,Italy,,,,,",
+    "2021-01-02,2,1,2021,7,0,Italy,,,,,",
+    "3/1/2021,3,1,2021,x,0,Italy,,,,,",
+    "2021-01-04,4,1,2021,x,0,Spain,,,,,",
+    "5/1/2021,y,1,2021,6,0,Italy,,,,,",
+    "6/1/2021,6,1,2021,,0,Italy,,,,,",
+    "7/1/2021",
+]
+
+
+def test_rejects_are_kept_with_their_place(spark, tmp_path):
+    write(tmp_path, "a.csv", CASE_HEADER, *BAD_LINES[:3])
+    write(tmp_path, "b.csv", CASE_HEADER, *BAD_LINES[3:])
+    found = read_rejects(spark, str(tmp_path)).collect()
+    # Empty and missing fields are none that can't be read; those the series doesn't use don't count.
+    assert sorted((r.file.rsplit("/", 1)[-1], r.record, r.failing) for r in found) == [
+        ("a.csv", BAD_LINES[1], ["dateRep"]),
+        ("a.csv", BAD_LINES[2], ["cases"]),
+        ("b.csv", BAD_LINES[3], ["dateRep", "cases"]),
+    ]
+    assert tuple(count_rejects(spark, str(tmp_path)).first()) == (7, 3)
+
+
+def test_counter_rejects(spark, tmp_path):
+    write(tmp_path, "a.csv", COUNTER_HEADER, "0,1,9,3,0", "x,1,9,4,0", "1,2,y,5,0", "2,1,9,z,0")
+    found = read_rejects(spark, [str(tmp_path / "a.csv")], "counter").collect()
+    assert sorted((r.record, r.failing) for r in found) == [("2,1,9,z,0", ["infected"]), ("x,1,9,4,0", ["day"])]
+
+
+def test_rejects_of_a_stream_are_counted_while_it_is_read(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder, "a.csv", CASE_HEADER, *BAD_LINES[:3])
+    write(folder, "b.csv", CASE_HEADER, *BAD_LINES[3:])
+    series = stream_series(spark, str(folder), max_files_per_trigger=1, rejects="bad")
+    query = start_table(series, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    counts = [c for c in stream_rejects(query, "bad") if c[1]]
+    wanted = [tuple(count_rejects(spark, str(folder / name)).first()) for name in ("a.csv", "b.csv")]
+    assert sorted(c[1:] for c in counts) == sorted(wanted)
+    assert rows(spark.read.schema(series.schema).parquet(str(tmp_path / "out"))) == rows(read_series(spark, str(folder)))

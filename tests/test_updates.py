@@ -1,0 +1,205 @@
+"""Streams that correct themselves, streams with two outputs, and levels of any type."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidegauge import (
+    counter_to_increments,
+    percent_change,
+    rank_within,
+    read_stream_report,
+    read_updates,
+    rocksdb_state,
+    rolling_average,
+    start_report,
+    start_table,
+    start_updates,
+    stream_counter_to_increments,
+    stream_percent_change,
+    stream_rolling_average,
+    stream_rolling_updates,
+)
+from tidegauge.streaming import updates
+
+FIRST = date(2021, 1, 1)
+
+
+@pytest.fixture
+def files(spark, tmp_path):
+    """Parts of a table as files that a stream takes one in a trigger."""
+
+    class Files:
+        out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+        def add(self, records, schema):
+            df = spark.createDataFrame(records, schema)
+            df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            self.schema = df.schema
+
+        def stream(self):
+            reader = spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1)
+            return reader.parquet(str(tmp_path / "in"))
+
+        def batch(self):
+            return spark.read.schema(self.schema).parquet(str(tmp_path / "in"))
+
+        def run(self, start, df, **options):
+            with rocksdb_state(spark):
+                query = start(df, self.out, self.checkpoint, **options)
+            query.awaitTermination()
+            return query
+
+    return Files()
+
+
+def sparse(seed, value, count=60):
+    pick = random.Random(seed)
+    days = [pick.randrange(-20, 300) for _ in range(25)]
+    return [(FIRST + timedelta(days=pick.choice(days)), value(pick), pick.choice(["A", "B", None])) for _ in range(count)]
+
+
+VALUES = {
+    "int": lambda pick: pick.choice([None, 0, pick.randrange(-9, 9)]),
+    "decimal(9,3)": lambda pick: pick.choice([None, Decimal(pick.randrange(-9999, 9999)).scaleb(-3)]),
+    "double": lambda pick: pick.choice([None, pick.uniform(-1, 1) * 10.0 ** pick.randrange(-8, 9)]),
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+@pytest.mark.parametrize(("window_days", "slide_days"), [(7, 1), (14, 7), (5, 5), (100, 50)])
+def test_updates_end_as_the_batch_result(spark, files, kind, window_days, slide_days):
+    schema = f"date date, cases {kind}, country string"
+    files.add(sparse(1, VALUES[kind]) + [(None, None, "A")], schema)
+    files.add(sparse(2, VALUES[kind], 9), schema)
+    averages = stream_rolling_updates(files.stream(), window_days=window_days, slide_days=slide_days)
+    files.run(start_updates, averages)
+    found = read_updates(spark, files.out, averages.schema)
+    assert rows(found) == rows(rolling_average(files.batch(), window_days=window_days, slide_days=slide_days))
+    # Another run goes on from the state.
+    files.add(sparse(3, VALUES[kind], 5), schema)
+    files.run(start_updates, averages)
+    found = read_updates(spark, files.out, averages.schema)
+    assert rows(found) == rows(rolling_average(files.batch(), window_days=window_days, slide_days=slide_days))
+
+
+def test_only_windows_that_changed_come_again(spark, files):
+    schema = "date date, cases int, country string"
+    files.add([(FIRST, 7, "A"), (FIRST + timedelta(days=20), 7, "A"), (FIRST, 7, "B")], schema)
+    files.run(start_updates, averages := stream_rolling_updates(files.stream()))
+    files.add([(FIRST + timedelta(days=3), 14, "A")], schema)
+    files.run(start_updates, averages)
+    last = spark.read.schema(averages.schema).parquet(f"{files.out}/batch=1")
+    assert {(r.country, (r.start_date - FIRST).days, r.avg) for r in last.collect()} == {
+        ("A", start, 3.0 if start <= 0 else 2.0) for start in range(-3, 4)
+    }
+
+
+def test_chunks_of_state(spark, files, monkeypatch):
+    monkeypatch.setattr(updates, "CHUNK_DAYS", 3)
+    files.add(sparse(5, VALUES["int"]), "date date, cases int, country string")
+    averages = stream_rolling_updates(files.stream(), window_days=10, slide_days=2)
+    files.run(start_updates, averages)
+    found = read_updates(spark, files.out, averages.schema)
+    assert rows(found) == rows(rolling_average(files.batch(), window_days=10, slide_days=2))
+
+
+def test_records_are_not_copied_into_windows(files):
+    files.add(sparse(6, VALUES["int"]), "date date, cases int, country string")
+    averages = stream_rolling_updates(files.stream(), window_days=365)
+    query = files.run(start_updates, averages)
+    plan = query._jsq.explainInternal(False)
+    assert "Expand" not in plan
+    assert "Generate" not in plan
+    assert plan.index("TransformWithState") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_several_keys_of_odd_names(spark, files):
+    files.add([(FIRST, 2, "A", 1), (FIRST, 3, "A", 2), (FIRST, 4, "A", 1)], "date date, cases int, `Part No` string, n int")
+    averages = stream_rolling_updates(files.stream(), ["Part No", "n"], window_days=2)
+    files.run(start_updates, averages)
+    found = read_updates(spark, files.out, averages.schema, ["Part No", "n"])
+    assert rows(found) == rows(rolling_average(files.batch(), ["Part No", "n"], window_days=2))
+
+
+def test_two_outputs_of_one_query(spark, files, monkeypatch):
+    schema = "date date, cases int, country string"
+    records = [(FIRST + timedelta(days=d), d * (k + 2) % 7, c) for d in range(12) for k, c in enumerate("ABCD")]
+    files.add(records[:20], schema)
+    files.add(records[20:], schema)
+    changes = stream_percent_change(stream_rolling_average(files.stream(), window_days=3))
+
+    # The ranking fails once, after the averages are written.
+    from tidegauge.streaming import sinks
+
+    ranked = sinks.rank_within
+    calls = []
+
+    def fails_once(*args, **options):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("no space left")
+        return ranked(*args, **options)
+
+    monkeypatch.setattr(sinks, "rank_within", fails_once)
+    with pytest.raises(Exception, match="no space left"):
+        files.run(start_report, changes, limit=2)
+    averages, ranks = read_stream_report(spark, files.out, changes.schema)
+    assert rows(ranks) == rows(rank_within(averages, limit=2, key="country"))
+
+    files.run(start_report, changes, limit=2)
+    averages, ranks = read_stream_report(spark, files.out, changes.schema)
+    last = max(r[0] for r in records)
+    wanted = percent_change(rolling_average(files.batch(), window_days=3)).where(F.col("end_date") <= F.lit(last))
+    assert rows(averages) == rows(wanted)
+    assert rows(ranks) == rows(rank_within(wanted, limit=2, key="country"))
+
+
+NAN = float("nan")
+LEVELS = {
+    "double": [3.2, 3.9, 3.4, None, -1.5, NAN, 7.0],
+    "decimal(9,2)": [Decimal("3.20"), Decimal("3.90"), Decimal("3.40"), None, Decimal("-1.50"), Decimal("3.91")],
+    "int": [3, 9, 4, None, -2],
+}
+
+
+@pytest.mark.parametrize("kind", LEVELS)
+def test_levels_of_any_type(spark, files, kind):
+    pick = random.Random(7)
+    records = [(d, pick.choice("AB"), level) for d in range(6) for level in pick.sample(LEVELS[kind], 5)]
+    files.add([*records, (9, "A", LEVELS[kind][0]), (9, "B", LEVELS[kind][0])], f"day int, country string, infected {kind}")
+    increments = stream_counter_to_increments(files.stream())
+    files.run(start_table, increments)
+    found = spark.read.schema(increments.schema).parquet(files.out).drop("event_time")
+    wanted = counter_to_increments(files.batch())
+    assert found.schema["cases"].dataType == wanted.schema["cases"].dataType
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+VERSIONS = {
+    "timestamp": [datetime(2021, 10, 31, 1, 30) + timedelta(minutes=m) for m in (0, 20, 75, 10)],
+    "timestamp_ntz": [datetime(2021, 10, 31, 1, 30, 0, m) for m in (0, 2, 1, 3)],
+    "string": ["v10", "v2", "v9", "w"],
+    "double": [0.1, 0.3, 0.2, -4.0],
+    "date": [FIRST, FIRST + timedelta(days=3), FIRST - timedelta(days=9), FIRST + timedelta(days=1)],
+}
+
+
+@pytest.mark.parametrize("kind", VERSIONS)
+def test_versions_of_any_type(spark, files, settings, kind):
+    schema = f"day int, country string, infected int, version {kind}"
+    with settings(spark__sql__session__timeZone="Europe/Rome"):
+        for k, version in enumerate(VERSIONS[kind]):
+            files.add([(d, "A", 10 * d + k * (d + 1), version) for d in range(3)] + [(1, "B", k, None)], schema)
+        files.add([(9, "A", 1, VERSIONS[kind][0]), (9, "B", 1, VERSIONS[kind][0])], schema)
+        increments = stream_counter_to_increments(files.stream(), late_days=4, dedupe="last", version="version")
+        files.run(start_table, increments)
+        found = spark.read.schema(increments.schema).parquet(files.out).drop("event_time")
+        wanted = counter_to_increments(files.batch(), dedupe="last", version="version")
+        assert rows(found) == rows(wanted.where("date < '1970-01-05'"))

@@ -14,18 +14,31 @@ from tidegauge.operators import (
     rolling_average,
     rolling_change,
 )
-from tidegauge.plans import report_frames, run_report
+from tidegauge.plans import current_report, report_frames, run_report
 from tidegauge.sinks import read_date_prefix, read_report, write_date_prefixes, write_report
-from tidegauge.sources import Layout, count_rejects, read_raw, read_series, stream_series
+from tidegauge.sources import (
+    Layout,
+    count_rejects,
+    read_raw,
+    read_rejects,
+    read_series,
+    stream_rejects,
+    stream_series,
+)
 from tidegauge.streaming import (
     read_replaced,
+    read_stream_report,
+    read_updates,
     rocksdb_state,
     start_rank,
     start_replace,
+    start_report,
     start_table,
+    start_updates,
     stream_counter_to_increments,
     stream_percent_change,
     stream_rolling_average,
+    stream_rolling_updates,
 )
 from tidegauge.workspace import work_dir
 
@@ -34,6 +47,7 @@ __all__ = [
     "change_runs",
     "count_rejects",
     "counter_to_increments",
+    "current_report",
     "daily_totals",
     "date_prefix",
     "date_prefix_buckets",
@@ -44,9 +58,12 @@ __all__ = [
     "rank_within",
     "read_date_prefix",
     "read_raw",
+    "read_rejects",
     "read_replaced",
     "read_report",
     "read_series",
+    "read_stream_report",
+    "read_updates",
     "report_frames",
     "rocksdb_state",
     "rolling_average",
@@ -54,10 +71,14 @@ __all__ = [
     "run_report",
     "start_rank",
     "start_replace",
+    "start_report",
     "start_table",
+    "start_updates",
     "stream_counter_to_increments",
     "stream_percent_change",
+    "stream_rejects",
     "stream_rolling_average",
+    "stream_rolling_updates",
     "stream_series",
     "work_dir",
     "write_date_prefixes",

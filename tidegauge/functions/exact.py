@@ -56,9 +56,11 @@ def _scaled(number: Column, bin_: Column) -> Column:
 
 
 class ExactSum:
-    """A sum of doubles, by the limbs of their bins."""
+    """A sum of doubles, by the limbs of their bins, or of decimals with ``scale`` places, as whole
+    numbers of the last one."""
 
-    def __init__(self) -> None:
+    def __init__(self, scale: int | None = None) -> None:
+        self._unit = 1 << (_UNIT + 32) if scale is None else 10**scale
         self._whole = self._nans = self._highs = self._lows = 0
 
     def add(self, limbs: tuple, times: int = 1) -> None:
@@ -72,6 +74,17 @@ class ExactSum:
         self._highs += times * highs
         self._lows += times * lows
 
+    def add_whole(self, whole: int) -> None:
+        """Add a whole number of the last decimal place."""
+        self._whole += whole
+
+    def merge(self, other: ExactSum, times: int = 1) -> None:
+        """Add (or take back) another sum of the same kind."""
+        self._whole += times * other._whole
+        self._nans += times * other._nans
+        self._highs += times * other._highs
+        self._lows += times * other._lows
+
     def value(self) -> float:
         """The double next to the sum; an infinity where that lies beyond all doubles."""
         if self._nans or (self._highs and self._lows):
@@ -80,6 +93,24 @@ class ExactSum:
             return math.inf if self._highs else -math.inf
         try:
             # Python rounds the quotient of whole numbers once, to the nearest double.
-            return self._whole / (1 << (_UNIT + 32))
+            return self._whole / self._unit
         except OverflowError:
             return math.copysign(math.inf, self._whole)
+
+    def text(self) -> str:
+        """The sum as text that ``of_text`` reads: hexadecimal digits, the number of zeros that
+        follow them, and the three counts where they aren't zero."""
+        digits = f"{self._whole:x}"
+        short = digits.rstrip("0")
+        counts = (self._nans, self._highs, self._lows)
+        return ",".join(map(str, (short, len(digits) - len(short), *(counts if any(counts) else ()))))
+
+    @classmethod
+    def of_text(cls, text: str | None, scale: int | None = None) -> ExactSum:
+        """What ``text`` gave; without one, nothing."""
+        made = cls(scale)
+        if text is not None:
+            digits, zeros, *counts = text.split(",")
+            made._whole = int(digits + "0" * int(zeros) or "0", 16)
+            made._nans, made._highs, made._lows = map(int, counts or (0, 0, 0))
+        return made

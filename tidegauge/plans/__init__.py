@@ -1,5 +1,5 @@
 """Composite jobs."""
 
-from tidegauge.plans.report import report_frames, run_report
+from tidegauge.plans.report import current_report, report_frames, run_report
 
-__all__ = ["report_frames", "run_report"]
+__all__ = ["current_report", "report_frames", "run_report"]

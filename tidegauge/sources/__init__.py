@@ -5,7 +5,8 @@ from tidegauge.sources.layouts import (
     COUNTER_SCHEMA,
     Layout,
 )
-from tidegauge.sources.reports import count_rejects, read_raw, read_series, stream_series
+from tidegauge.sources.rejects import count_rejects, read_rejects, stream_rejects
+from tidegauge.sources.reports import read_raw, read_series, stream_series
 
 __all__ = [
     "CASE_REPORT_SCHEMA",
@@ -13,6 +14,8 @@ __all__ = [
     "Layout",
     "count_rejects",
     "read_raw",
+    "read_rejects",
     "read_series",
+    "stream_rejects",
     "stream_series",
 ]

@@ -9,16 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegauge.operators.counters import counter_to_increments
 from tidegauge.operators.normalise import normalise
 from tidegauge.sources.layouts import Layout
+from tidegauge.sources.rejects import observed_rejects, raw_with_broken
 from tidegauge.streaming.counters import stream_counter_to_increments
 
-_BROKEN = "_broken_record"
-
 
 def read_raw(
     spark: SparkSession, paths: str | Sequence[str], layout: str | Layout = Layout.CASE_REPORT
@@ -57,17 +54,25 @@ def stream_series(
     late_days: int = 0,
     dedupe: str | None = "max",
     version: str | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
     """A folder of CSV files as a stream of the series ``(date, cases, country)``.
 
     ``late_days``, ``dedupe`` and ``version`` are those of ``stream_counter_to_increments``
     and only for counter files.
+
+    With ``rejects`` every micro-batch reports, in the query's progress and under that name, its
+    rows and those with an unreadable field (see ``stream_rejects``), without a second read.
     """
     layout = Layout.of(layout)
     reader = spark.readStream.schema(layout.schema).options(**layout.read_options)
+    if rejects is not None:
+        reader = raw_with_broken(spark.readStream, layout)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(path)
+    if rejects is not None:
+        raw = observed_rejects(raw, layout, rejects)
     if layout is Layout.CASE_REPORT:
         return _case_series(raw)
     return stream_counter_to_increments(
@@ -75,32 +80,6 @@ def stream_series(
     )
 
 
-def count_rejects(
-    spark: SparkSession, paths: str | Sequence[str], layout: str | Layout = Layout.CASE_REPORT
-) -> DataFrame:
-    """Rows read, and rows with an unreadable field among those the series uses."""
-    layout = Layout.of(layout)
-    used = (
-        ("dateRep", "cases", "countriesAndTerritories")
-        if layout is Layout.CASE_REPORT
-        else ("day", "country", "infected")
-    )
-    schema = T.StructType([*layout.schema.fields, T.StructField(_BROKEN, T.StringType(), True)])
-    raw = (
-        spark.read.schema(schema)
-        .options(**layout.read_options, columnNameOfCorruptRecord=_BROKEN)
-        .csv(_listed(paths))
-    )
-    # Reading the used columns makes the parser check them, and only them.
-    unreadable = F.col(_BROKEN).isNotNull() & F.least(
-        *(F.col(name).isNotNull() for name in used)
-    ).eqNullSafe(False)
-    return raw.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(unreadable).alias("rejected"),
-    )
-
-
 def _case_series(raw: DataFrame) -> DataFrame:
     return normalise(raw, date="dateRep", cases="cases", country="countriesAndTerritories")
 

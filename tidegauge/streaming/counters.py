@@ -32,8 +32,10 @@ def stream_counter_to_increments(
     so come in any order within ``late_days``. A row of a day that is already closed is
     dropped; Spark counts it in ``numRowsDroppedByWatermark`` of the query's progress.
 
-    ``dedupe`` and ``version`` are those of the batch operator; without ``dedupe`` a second
-    row of an open day ends the query. Rows without a day are dropped.
+    ``dedupe`` and ``version`` are those of the batch operator, and levels and versions are kept
+    in their own types; without ``dedupe`` a second row of an open day ends the query. With
+    ``dedupe="last"`` a row without a version counts as a day without a level unless another
+    comes. Rows without a day are dropped.
 
     The result has a column more than that of the batch operator, ``event_time``: the date as
     an event time with the stream's watermark. ``stream_rolling_average`` goes on with it;
@@ -44,10 +46,15 @@ def stream_counter_to_increments(
     """
     check_dedupe(dedupe, version)
     kind = df.schema[level].dataType
+    order = F.col(version if dedupe == "last" else level)
+    if isinstance(df.select(order).schema[0].dataType, T.TimestampType):
+        # Python's clock times repeat an hour a year; microseconds don't.
+        order = F.unix_micros(order)
+    order_kind = df.select(order).schema[0].dataType
     schema = T.StructType(
         [
             T.StructField("date", T.DateType(), True),
-            T.StructField("cases", kind, True),
+            T.StructField("cases", df.select(F.col(level) - F.col(level)).schema[0].dataType, True),
             T.StructField("country", T.StringType(), True),
             T.StructField("event_time", T.TimestampType(), True),
         ]
@@ -57,7 +64,7 @@ def stream_counter_to_increments(
         on.alias("date"),
         F.col(key).cast("string").alias("country"),
         F.col(level).alias("level"),
-        F.col(version if dedupe == "last" else level).cast("bigint").alias("version"),
+        order.alias("version"),
         event_time(on).alias("_at"),
     )
     return (
@@ -65,16 +72,20 @@ def stream_counter_to_increments(
         .withWatermark("_at", f"{late_days} days")
         .groupBy("country")
         .transformWithState(
-            _increments(dedupe, kind.simpleString()), schema, "Append", "EventTime", eventTimeColumnName="event_time"
+            _increments(dedupe, kind.simpleString(), order_kind.simpleString()),
+            schema,
+            "Append",
+            "EventTime",
+            eventTimeColumnName="event_time",
         )
     )
 
 
-def _increments(dedupe: str | None, kind: str) -> StatefulProcessor:
+def _increments(dedupe: str | None, kind: str, order_kind: str) -> StatefulProcessor:
     class Increments(StatefulProcessor):
         def init(self, handle: Any) -> None:
             self._handle = handle
-            self._open = handle.getMapState("open", "day date", f"level {kind}, version bigint")
+            self._open = handle.getMapState("open", "day date", f"level {kind}, version {order_kind}")
             self._last = handle.getValueState("last", f"level {kind}")
 
         def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
@@ -88,7 +99,8 @@ def _increments(dedupe: str | None, kind: str) -> StatefulProcessor:
                 else:
                     # Just before the day's own time: the timer is due once that is reached.
                     self._handle.registerTimer(_millis(row.date) - 1)
-                self._open.updateValue(kept, (row.level, row.version))
+                known = dedupe != "last" or row.version is not None
+                self._open.updateValue(kept, (row.level if known else None, row.version))
             return iter(())
 
         def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
@@ -112,8 +124,10 @@ def _increments(dedupe: str | None, kind: str) -> StatefulProcessor:
 
 def _newer(row: Row, held: Any) -> bool:
     """Whether the row replaces the level held for its day: a higher version (in "max", the
-    level itself); NULL is the lowest."""
-    return row.version is not None and (held[1] is None or row.version > held[1])
+    level itself); NULL is the lowest and NaN the highest."""
+    if row.version is None or held[1] is None:
+        return row.version is not None
+    return row.version > held[1] or (row.version != row.version and held[1] == held[1])
 
 
 def _time(when: date) -> datetime:

@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
+from tidegauge.operators.keys import key_names
 from tidegauge.operators.rank import rank_within
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -94,3 +95,82 @@ def start_rank(
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
+
+
+def start_updates(
+    df: DataFrame, path: str, checkpoint: str, trigger: dict[str, object] | None = None
+) -> StreamingQuery:
+    """Write the windows that every trigger of ``stream_rolling_updates`` changed;
+    ``read_updates`` gives the newest of each. A micro-batch that is run again overwrites its own
+    folder ``batch=<id>``."""
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        df.writeStream.foreachBatch(update)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
+def read_updates(
+    spark: SparkSession, path: str, schema: StructType, key: str | Sequence[str] = "country"
+) -> DataFrame:
+    """The newest row of each key and window that ``start_updates`` wrote."""
+    written = spark.read.schema(StructType([*schema.fields]).add("batch", LongType())).parquet(path)
+    names = [*key_names(key), "start_date"]
+    others = F.struct(*(name for name in schema.names if name not in names)).alias("_newest")
+    newest = written.groupBy(*names).agg(F.max_by(others, "batch").alias("_newest"))
+    return newest.select(*names, "_newest.*").select(*schema.names)
+
+
+def start_report(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    limit: int = 10,
+    key: str | Sequence[str] | None = "country",
+    trigger: dict[str, object] | None = None,
+) -> StreamingQuery:
+    """Write averages with their changes and their ranking from one query over one source.
+
+    ``df`` brings closed windows, as ``stream_percent_change(stream_rolling_average(...))`` does.
+    A micro-batch writes ``avg/batch=<id>`` and ``rank/batch=<id>`` and then its number to
+    ``complete``; ``read_stream_report`` reads only what that confirms. One that failed in between
+    is run again from the checkpoint and overwrites both, so the two never tell of different
+    periods and nothing is counted twice.
+    """
+
+    def report(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(f"{path}/avg/batch={batch_id}")
+            ranked = rank_within(batch, limit=limit, key=key)
+            ranked.write.mode("overwrite").parquet(f"{path}/rank/batch={batch_id}")
+            done = batch.sparkSession.range(batch_id, batch_id + 1)
+            done.write.mode("append").parquet(f"{path}/complete")
+        finally:
+            batch.unpersist()
+
+    return (
+        df.writeStream.foreachBatch(report)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
+def read_stream_report(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Averages and ranks that ``start_report`` wrote, of all micro-batches that are complete.
+    ``schema`` is that of the averages."""
+    newest = spark.read.schema("id bigint").parquet(f"{path}/complete").agg(F.max("id")).first()[0]
+    ranked = StructType([*schema.fields]).add("rank", IntegerType())
+    frames = []
+    for name, kind in (("avg", schema), ("rank", ranked)):
+        written = spark.read.schema(StructType([*kind.fields]).add("batch", LongType())).parquet(f"{path}/{name}")
+        frames.append(written.where(F.col("batch") <= newest).select(*kind.names))
+    return frames[0], frames[1]
