@@ -3,13 +3,11 @@
 A seed is a hash of some of the tokens in a short stretch: a mask says which count (``1``) and
 which may be anything. The seeds of all masks at all places of the benchmark's items are joined
 with those of the documents. Around each hit, the item and the document are laid along each
-other, and the tokens of a window of ``window`` places of the item that holds the hit are
-compared one by one; the hit is verified if a share of ``share`` or more of them are equal. So
-substituted tokens do no harm, neither at a seed's open places nor elsewhere in the window.
-
-The window begins seven places before the hit. A part of an item that is quoted in other words
-around it may lie in another window that holds the hit: with ``every_window``, all of those
-count, and a hit has the equal tokens of its best one.
+other, and the tokens of all windows of ``window`` places of the item that hold the hit's first
+token are compared one by one; the hit is verified if a share of ``share`` or more of a window's
+are equal, and has the equal tokens of its best one. So substituted tokens do no harm, neither at
+a seed's open places nor elsewhere in the window, and a quoted part of a longer item is found
+wherever its seeds hit. Each way of substituting 4 of 20 tokens leaves a seed.
 
 Tokens are runs of letters and digits of any script, in lower case.
 
@@ -57,36 +55,13 @@ def _seeded(df: DataFrame, masks: tuple[str, ...], id_name: str, words: str, pla
 
 def _verified(hits: DataFrame, window: int, share: float) -> DataFrame:
     """Hits (doc_id, words, pos, item_id, item_words, item_pos) with the number of equal tokens
-    in their window, and whether it suffices.
+    in the best window that holds a hit's first token, and whether it suffices.
 
-    The two windows are cut out first, and moved to where the item's hits in the document are
-    counted: the loop over all seeds holds no comparison, and nothing after it a whole text.
+    The stretches that the windows lie in are cut out first, and moved to where the item's hits in
+    the document are counted: the loop over all seeds holds no comparison, and nothing after it a
+    whole text.
     """
     length = F.size("item_words")
-    width = F.least(F.lit(window), length)
-    before = (window - 5) // 2
-    first = F.greatest(F.lit(0), F.least(F.col("item_pos") - before, length - window))
-    there = first + F.col("pos") - F.col("item_pos")
-    # Places of the item before the document's first token are unequal.
-    missing = F.greatest(F.lit(0), -there)
-    cut = hits.select(
-        "doc_id",
-        "item_id",
-        width.alias("width"),
-        F.slice("item_words", first + missing + 1, width - missing).alias("theirs"),
-        F.slice("words", there + missing + 1, width - missing).alias("ours"),
-    )
-    cut = cut.repartition("doc_id", "item_id")
-    # Beyond the document's last token, the comparison is NULL.
-    pairs = F.zip_with("theirs", "ours", lambda x, y: x == y)
-    equal = F.size(F.filter(pairs, lambda x: x))
-    enough = F.col("n_equal") >= F.ceil(F.lit(share) * F.col("width"))
-    return cut.withColumn("n_equal", equal).select("doc_id", "item_id", "n_equal", enough.alias("enough"))
-
-
-def _verified_best(hits: DataFrame, window: int, share: float) -> DataFrame:
-    """As ``_verified``, with the best window of those that hold a hit's first token."""
-    length = F.size("item_words")
     first = F.greatest(F.lit(0), F.col("item_pos") - (window - 1))
     stop = F.least(length, F.col("item_pos") + window)
     there = first + F.col("pos") - F.col("item_pos")
@@ -126,7 +101,6 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
-    every_window: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, n_hits, n_equal): each item found in each document, the verified hits,
     and the most equal tokens in a hit's window.
@@ -156,7 +130,7 @@ def contaminated(
         theirs = _seeded(items.drop("item_id"), masks, "item", "item_words", "item_pos")
         hits = ours.join(theirs.select("item", "item_pos", "seed"), "seed").drop("seed")
         hits = hits.join(words, "doc").join(items, "item")
-    found = (_verified_best if every_window else _verified)(hits, window, share)
+    found = _verified(hits, window, share)
     # Dropping hits before they are counted would pull the comparison into the loop over seeds.
     counted = found.groupBy("doc_id", "item_id").agg(
         F.count_if("enough").alias("n_hits"), F.max("n_equal").alias("n_equal")
@@ -169,7 +143,7 @@ def _words_sql(text: str) -> str:
 
 
 def contaminated_sql(masks: tuple[str, ...] = MASKS, window: int = WINDOW, share: float = SHARE) -> str:
-    """The same (without ``every_window``) in DuckDB's SQL over ``documents`` and ``benchmark``."""
+    """The same in DuckDB's SQL over ``documents`` and ``benchmark``."""
     sides = {"d": ("documents", "doc_id"), "b": ("benchmark", "item_id")}
     parts = []
     for name, (table, key) in sides.items():
@@ -181,12 +155,15 @@ def contaminated_sql(masks: tuple[str, ...] = MASKS, window: int = WINDOW, share
             for n, m in enumerate(masks)
         )
         parts.append(f"{name}s as ({seeds})")
-    before = (window - 5) // 2
-    equal = " + ".join(f"coalesce(cast(iw[f + {k}] = case when f + {k - 1} + shift >= 0 then dw[f + {k} + shift] end as integer), 0)" for k in range(1, window + 1))
+    ours = "dw[k + shift + 1] end as integer), 0) for k in range(low, high)]"
+    equal = f"[coalesce(cast(iw[k + 1] = case when k + shift >= 0 then {ours}"
+    best = "list_max([list_sum(e[f + 1 : f + width]) for f in range(0, len(e) - width + 1)])"
     return f"""with {', '.join(parts)},
 h as (select ds.doc_id, ds.w as dw, bs.item_id, bs.w as iw, ds.i - bs.i as shift,
-        greatest(0, least(bs.i - {before}, len(bs.w) - {window})) as f
+        least({window}, len(bs.w)) as width, greatest(0, bs.i - {window - 1}) as low,
+        least(len(bs.w), bs.i + {window}) as high
     from ds join bs on ds.mask = bs.mask and ds.seed = bs.seed),
-v as (select doc_id, item_id, least({window}, len(iw)) as width, {equal} as n_equal from h)
+e as (select doc_id, item_id, width, {equal} as e from h),
+v as (select doc_id, item_id, width, {best} as n_equal from e)
 select doc_id, item_id, count(*) as n_hits, cast(max(n_equal) as integer) as n_equal
 from v where n_equal >= ceil({share} * width) group by 1, 2"""

@@ -1,7 +1,8 @@
 """Exact top-k search by inner product: distributed histogram selection.
 
-Vectors become whole numbers, so scores are exact. Queries and candidates lie in blocks, and
-every block of queries meets every block of candidates, one pair of blocks at a time. Nothing is
+Vectors become whole numbers, so scores are exact. Queries and candidates lie in blocks; every
+block of queries is sent to every block of candidates, which so moves once a pass, and meets it
+there, one pair of blocks at a time. Nothing is
 sorted to find the best: a pass scores everything and counts, for each query, how many scores
 fall into each bin of the range that may hold its k-th value; the counts of all blocks are
 added, and the bin where the k-th value lies is the next pass's range, until a bin is one score
@@ -11,10 +12,12 @@ of the tied candidates by bins. So a vector that a third of all rows share costs
 any other.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component take no part, nor
-do rows with a NULL id; scores beyond 2**61, either way, count as that; an empty vector scores 0;
-vectors of another length than a query's are none of its candidates; a query is no candidate of
-its own, rows with its id included; rows that repeat another id are candidates each, in no
-particular order; queries with fewer than k candidates get all; an empty table gives an empty table; other columns are not read.
+do rows with a NULL id; components and scores beyond 64 bits count as the last whole number within
+(of scores 2**63 - 1, either way); an empty vector scores 0; vectors of another length than a
+query's are none of its candidates; a query is no candidate of its own, rows with its id included;
+rows that repeat a query's id are one query, of their least vector; rows that repeat another id are
+candidates each, in no particular order; queries with fewer than k candidates get all; an empty
+table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ SCALE = 256
 BINS = 64
 QUERY_ROWS = 1024
 CANDIDATE_ROWS = 8192
+# The least number of 64 bits is no score.
 _LEAST, _MOST = -(2**63), 2**63 - 1
-_BOUND = 2.0**61
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -59,30 +62,45 @@ def _columns(column: pa.Array, row: int) -> dict[str, np.ndarray]:
 
 
 def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Exact inner products: in doubles where they hold every sum, else in 64-bit integers."""
+    """Exact inner products: in doubles where they hold every sum, else in 64-bit integers, and in
+    Python's where a sum may lie beyond these."""
     if not queries.shape[1]:
         return np.zeros((len(queries), len(candidates)), np.int64)
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * queries.shape[1]
-    if most < 2.0**53:
-        return (queries.astype(float) @ candidates.T.astype(float)).astype(np.int64)
-    exact = queries @ candidates.T
-    rough = queries.astype(float) @ candidates.T.astype(float)
-    beyond = np.abs(rough) >= _BOUND
-    exact[beyond] = np.where(rough[beyond] > 0, int(_BOUND), -int(_BOUND))
+    left, right = queries.astype(float), candidates.T.astype(float)
+    size = np.abs(left) @ np.abs(right)
+    if size.max(initial=0) < 2.0**53:
+        return (left @ right).astype(np.int64)
+    # Sums that go round keep their last 64 bits, so those that lie within come out right.
+    with np.errstate(over="ignore"):
+        exact = queries @ candidates.T
+    near = np.abs(left @ right) + size * 2.0**-40 >= 2.0**63
+    for row, column in zip(*np.nonzero(near)):
+        whole = sum(a * b for a, b in zip(queries[row].tolist(), candidates[column].tolist()))
+        exact[row, column] = max(-_MOST, min(_MOST, whole))
     return exact
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]):
+    """Blocks of queries with the block of candidates that comes before them."""
+    c = None
     for batch in batches:
         queries, candidates = (batch.column(batch.schema.get_field_index(x)) for x in ("queries", "candidates"))
         for row in range(batch.num_rows):
-            q, c = _columns(queries, row), _columns(candidates, row)
+            if candidates[row].is_valid:
+                c = _columns(candidates, row)
+                continue
+            q = _columns(queries, row)
             scores = _scores(q["vector"], c["vector"])
             yield q, c, scores, c["id"] != q["id"][:, None]
 
 
+def _far(values: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """``values - low`` where that is not negative, as an unsigned number: it may take 64 bits."""
+    return values.astype(np.uint64) - low.astype(np.uint64)
+
+
 def _counted(q: dict, row: np.ndarray, bins: np.ndarray) -> pa.RecordBatch:
-    found, n = np.unique(np.stack((row, bins)), axis=1, return_counts=True)
+    found, n = np.unique(np.stack((row, bins.astype(np.int64))), axis=1, return_counts=True)
     columns = [pa.array(q["id"][found[0]], pa.int64()), pa.array(found[1], pa.int64()), pa.array(n, pa.int64())]
     return pa.RecordBatch.from_arrays(columns, ["id", "bin", "n"])
 
@@ -107,7 +125,7 @@ def _score_bins(bins: int):
             kept = (best != _LEAST) & (np.arange(most) < wanted[:, None])
             row, column = np.nonzero(kept)
             width = _width(q["low"], q["high"], bins)
-            yield _counted(q, row, (best[row, column] - q["low"][row]) // width[row])
+            yield _counted(q, row, _far(best[row, column], q["low"][row]) // width[row])
 
     return run
 
@@ -121,7 +139,7 @@ def _id_bins(bins: int):
             tied &= (c["id"] >= q["id_low"][:, None]) & (c["id"] <= q["id_high"][:, None])
             row, column = np.nonzero(_first(tied, q["need"] + 1))
             width = _width(q["id_low"], q["id_high"], bins)
-            yield _counted(q, row, (c["id"][column] - q["id_low"][row]) // width[row])
+            yield _counted(q, row, _far(c["id"][column], q["id_low"][row]) // width[row])
 
     return run
 
@@ -130,14 +148,12 @@ def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for q, c, scores, other in _pairs(batches):
         tied = other & (scores == q["low"][:, None]) & (c["id"] <= q["id_high"][:, None])
         row, column = np.nonzero(other & (scores > q["low"][:, None]) | _first(tied, q["k"]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(q["id"][row], pa.int64()), pa.array(c["id"][column], pa.int64()), pa.array(scores[row, column])],
-            ["query_id", "vec_id", "score"],
-        )
+        arrays = [pa.array(x, pa.int64()) for x in (q["id"][row], c["id"][column], scores[row, column])]
+        yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
 
 def _width(low: np.ndarray, high: np.ndarray, bins: int) -> np.ndarray:
-    return (high - low) // bins + 1
+    return _far(high, low) // np.uint64(bins) + np.uint64(1)
 
 
 # --- On Spark -------------------------------------------------------------------------
@@ -163,32 +179,38 @@ def top_k(
     facts = rows.agg(F.count("*"), F.max(F.sqrt(squares)), F.min("id"), F.max("id")).first()
     blocks = -(-facts[0] // candidate_rows) or 1
     asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("vector").alias("vector"))
-    asked = asked.withColumn("dim", F.size("vector"))
-    asked = stored(asked, "queries")
+    asked = stored(asked.withColumn("dim", F.size("vector")), "queries")
     query_blocks = -(-asked.count() // query_rows) or 1
 
     part = F.pmod(F.xxhash64("part"), F.lit(blocks)).alias("block")
     item = F.struct("id", "vector").alias("item")
     packed = rows.select(F.size("vector").alias("dim"), part, item).groupBy("dim", "block")
     candidates = stored(packed.agg(F.sort_array(F.collect_list("item")).alias("candidates")), "candidates")
-    mine = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block")
-    candidates = candidates.select("dim", "block", mine, "candidates")
 
-    # The range of a query's scores is known from the lengths of the vectors.
-    bound = F.ceil(F.least(F.sqrt(squares) * (facts[1] or 0.0), F.lit(_BOUND))) + 1
+    # The range of a query's scores is known from the lengths of the vectors, but for rounding.
+    reach = F.sqrt(squares) * (facts[1] or 0.0) * (1 + 1e-9) + 1
+    bound = F.when(reach < 9e18, F.ceil(F.least(reach, F.lit(9e18)))).otherwise(F.lit(_MOST))
     state = asked.select("id", (-bound).alias("low"), bound.alias("high"), F.lit(k).cast("bigint").alias("need"))
     state = stored(state.withColumn("ties", F.lit(0).cast("bigint")), "state")
 
     def met(state: DataFrame) -> DataFrame:
-        """Every block of queries, with what is known of them, with every block of candidates."""
+        """Each block of candidates, and after it every block of queries with what is known of
+        them. Of the two, the queries are few, so they are copied."""
         own = F.pmod(F.xxhash64("id"), F.lit(query_blocks)).alias("query_block")
         known = asked.join(state, "id").withColumn("k", F.lit(k).cast("bigint"))
         fields = F.struct(*(c for c in known.columns if c != "dim"))
         grouped = known.select("dim", own, fields.alias("item")).groupBy("dim", "query_block")
-        queries = grouped.agg(F.collect_list("item").alias("queries"))
+        queries = grouped.agg(F.collect_list("item").alias("queries")).drop("query_block")
         theirs = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-        queries = queries.select("dim", "query_block", theirs, "queries")
-        return queries.join(candidates, ["dim", "query_block", "block"]).select("queries", "candidates")
+        # Vectors of a length that no query has are not needed.
+        lengths = queries.select("dim").distinct()
+        both = candidates.join(F.broadcast(lengths), "dim", "left_semi").unionByName(
+            queries.select("dim", theirs, "queries").join(candidates.select("dim", "block"), ["dim", "block"], "left_semi"),
+            allowMissingColumns=True,
+        )
+        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks)
+        both = both.withColumn("asks", F.col("candidates").isNull())
+        return both.repartition(parts, "dim", "block").sortWithinPartitions("dim", "block", "asks").select("queries", "candidates")
 
     counted = "id bigint, bin bigint, n bigint"
     while state.where("low < high").limit(1).count():
@@ -201,7 +223,7 @@ def top_k(
         found = met(tied.drop("ties")).mapInArrow(_id_bins(bins), counted)
         tied = stored(_narrowed(tied, found, "id_low", "id_high", bins, from_top=False), "tied")
     final = stored(clear.unionByName(tied).drop("ties"), "state")
-    best = met(final).mapInArrow(_chosen, "query_id bigint, vec_id bigint, score bigint")
+    best = stored(met(final).mapInArrow(_chosen, "query_id bigint, vec_id bigint, score bigint"), "best")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
@@ -219,9 +241,12 @@ def _narrowed(state: DataFrame, found: DataFrame, low: str, high: str, bins: int
     enough = F.when(F.col("reach") >= F.col("need"), F.col("reach"))
     place = F.struct(F.coalesce(enough, F.lit(_MOST) - F.col("reach")).alias("key"), "bin", "n", "reach")
     picked = full.groupBy("id").agg(F.min(place).alias("at"))
-    width = F.expr(f"({high} - {low}) div {bins} + 1")
-    start = F.col(low) + F.col("at.bin") * width
-    fresh = {low: start, high: F.least(high, start + width - 1)}
+    # A range may take more than 64 bits.
+    wide = {name: F.col(name).cast("decimal(21,0)") for name in (low, high)}
+    width = (F.floor((wide[high] - wide[low]) / F.lit(bins)) + 1).cast("decimal(21,0)")
+    start = (wide[low] + F.col("at.bin").cast("decimal(4,0)") * width).cast("decimal(21,0)")
+    end = F.least(wide[high], (start + width - 1).cast("decimal(21,0)"))
+    fresh = {low: start.cast("bigint"), high: end.cast("bigint")}
     kept = [c for c in state.columns if c not in {"id", low, high, "need", "ties"}]
     return state.drop("ties").join(picked, "id").select(
         "id",
