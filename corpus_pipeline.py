@@ -4,8 +4,7 @@ rest is encoded.
 
 Each stage takes all that the one before it kept and (but for the last) returns the columns it
 got, whatever their names. Nothing else goes: documents without text or without words pass all
-stages, and rows that repeat a doc_id are documents of their own until the benchmark stage,
-where they go together.
+stages, and rows that repeat a doc_id, or have none, are documents of their own.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from tidegauge.llm import bagminhash, bpe, decontaminate, repeats, toxicity
 from tidegauge.llm.frames import free_name, importable, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: As many doc_ids of contaminated documents are broadcast; more are joined by a shuffle.
+#: As many numbers of contaminated documents are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 
@@ -58,11 +57,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"), every_window=True)
-    ids = stored(found.select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """Documents without a passage of the benchmark. Rows go by a number that is stored with them,
+    so one without an id, or with another's, goes by its own text alone."""
+    row = free_name(docs.columns, "row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = decontaminate.contaminated(numbered, _table(spark, sf_dir, "benchmark"), doc_id=row)
+    found = stored(found.select(F.col("doc_id").alias(row)).distinct(), "contaminated")
+    few = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return numbered.join(F.broadcast(found) if few else found, row, "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
