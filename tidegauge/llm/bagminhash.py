@@ -41,11 +41,13 @@ from pyspark.sql import functions as F
 from tidegauge.llm import bytesops
 from tidegauge.llm.bytesops import U64
 from tidegauge.llm.components import connected
-from tidegauge.llm.frames import free_name, stored
+from tidegauge.llm.frames import free_name, lean, parts_for, stored, text_bytes_total
 
 SIZE = 5
 THRESHOLD = 0.8
 BANDS, BAND_ROWS = 16, 4
+#: Bytes of texts that get long signatures in a task.
+MARKED_BYTES = 4 << 20
 MARKS = 1024
 LEADERS = 32
 BROADCAST_NODES = 1_000_000
@@ -214,7 +216,7 @@ def near_duplicates(
         F.col(node).alias("node"), number.alias("number"), F.md5(F.col(text).cast("binary")).alias("digest"), F.col(text).alias("text")
     )
     schema = "node bigint, number bigint, digest string, weight bigint, bands array<bigint>"
-    signed = stored(given.mapInArrow(_signed(size), schema), "signatures")
+    signed = stored(given.mapInArrow(lean(_signed(size)), schema), "signatures")
     worded = signed.where("weight > 0")
     copies = worded.groupBy("digest").agg(F.min("node").alias("rep"))
     reps = worded.join(copies.select(F.col("rep").alias("node")), "node", "left_semi")
@@ -251,7 +253,9 @@ def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, t
     chosen = F.broadcast(wanted.select("node")) if few else wanted.select("node")
     texts = rows.select(F.col(node).alias("node"), F.col(text).alias("text"))
     texts = stored(texts.join(chosen, "node", "left_semi"), "texts")
-    marked = texts.mapInArrow(_marked(size), "node bigint, marks array<bigint>")
+    # Long signatures take their time: small tasks, by bytes.
+    tasks = parts_for(text_bytes_total(texts), MARKED_BYTES, rows.sparkSession)
+    marked = texts.repartition(tasks, "node").mapInArrow(lean(_marked(size)), "node bigint, marks array<bigint>")
     marks = reps.select("node", "weight", "bands").join(wanted, "node").join(marked, "node")
     marks = stored(marks, "marks")
     members = members.join(marks.select("node", "met"), "node")
@@ -266,7 +270,7 @@ def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, t
     def checked(pairs: DataFrame) -> DataFrame:
         left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
         full = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-        return stored(full.mapInArrow(_verified(size), "a bigint, b bigint, similarity double"), "similarities")
+        return stored(full.mapInArrow(lean(_verified(size)), "a bigint, b bigint, similarity double"), "similarities")
 
     leaders = members.groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("leader"))
     pairs = members.join(leaders, "band").where("node != leader")

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm import bytesops, pretokens
+from tidegauge.llm.frames import lean
 
 SLICE_BYTES = 2 << 20
 _KEPT_PIECES = 400_000
@@ -274,7 +275,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             values, first = tokenizer(path).encode(data, offsets)
             yield _with(batch, ids, _lists(values, first))
 
-    return df.mapInArrow(run, added(df, **{ids: T.ArrayType(T.IntegerType())}))
+    return df.mapInArrow(lean(run), added(df, **{ids: T.ArrayType(T.IntegerType())}))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -288,7 +289,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
             values = column.flatten().to_numpy(zero_copy_only=False)
             yield _with(batch, decoded, tokenizer(path).decode(values, first).cast(pa.string()))
 
-    return df.mapInArrow(run, added(df, **{decoded: T.StringType()}))
+    return df.mapInArrow(lean(run), added(df, **{decoded: T.StringType()}))
 
 
 def round_trip(
@@ -303,7 +304,7 @@ def round_trip(
             batch = _with(batch, ids, _lists(values, first))
             yield _with(batch, decoded, own.decode(values, first).cast(pa.string()))
 
-    return df.mapInArrow(run, added(df, **{ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}))
+    return df.mapInArrow(lean(run), added(df, **{ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}))
 
 
 def digests(ids: str = "ids", decoded: str = "decoded") -> list[Column]:

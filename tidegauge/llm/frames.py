@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+GIVE_BACK_EVERY = 8
 # Shuffle files go when a write has ended; Python workers get batches of bounded size.
 _WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
@@ -52,6 +55,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that is free again to the system. Python workers are kept from one stage to
+    the next, and with them all that their allocators hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` over Arrow batches, giving memory back every few results and at the end."""
+
+    def spared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nth, made in enumerate(run(batches), 1):
+            yield made
+            del made
+            if nth % GIVE_BACK_EVERY == 0:
+                give_back()
+        give_back()
+
+    return spared
+
+
 def free_name(taken: Iterable[str], name: str) -> str:
     """``name``, or with underscores before it until no column has that name."""
     taken = {x.lower() for x in taken}

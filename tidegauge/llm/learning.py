@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidegauge.llm import bytesops
 from tidegauge.llm.bpe import added
+from tidegauge.llm.frames import lean
 
 SLICE_BYTES = 1 << 20
 RANKED_PARTS = 64
@@ -82,7 +83,7 @@ def with_scores(
                         part = part.append_column(name, values)
                 yield part
 
-    return df.mapInArrow(run, added(df, **{k: _SPARK[v] for k, v in columns.items()}))
+    return df.mapInArrow(lean(run), added(df, **{k: _SPARK[v] for k, v in columns.items()}))
 
 
 def sums_by(values: np.ndarray, first: np.ndarray) -> np.ndarray:

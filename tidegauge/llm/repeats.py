@@ -107,7 +107,8 @@ class _Block:
             last = np.append(at[1:], len(inside)) - 1
             starts, stops = inside[at], inside[last] + 1
             contents = rolling.ranges(starts, stops + depth - 1)
-            found.append((starts + low, stops + low, hashes[place[at]], contents, row[at]))
+            # Least hashes lie close together; mixed again, they spread over all buckets.
+            found.append((starts + low, stops + low, mix(hashes[place[at]]), contents, row[at]))
         if not found:
             none = np.empty(0, np.int64)
             return none, none, none.astype(U64), none.astype(U64), none
@@ -116,9 +117,9 @@ class _Block:
     def send(self, block: int, keys: np.ndarray, contents: np.ndarray, docs: np.ndarray) -> pa.Table:
         """Entries, sorted by key, as a row for each bucket."""
         bucket = _bucket(keys, self.buckets)
-        cuts = np.searchsorted(bucket, np.arange(self.buckets + 1))
-        full = np.nonzero(np.diff(cuts))[0]
-        parts = [(slice(a, b)) for a, b in zip(cuts[full].tolist(), cuts[full + 1].tolist(), strict=True)]
+        full, first = np.unique(bucket, return_index=True)
+        cuts = [*first.tolist(), len(bucket)]
+        parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.table(
             {
                 "bucket": pa.array(full, pa.int64()),
@@ -132,11 +133,11 @@ class _Block:
     def marked(self, answers: pa.Table, pass_number: int, kind: int, keys: np.ndarray) -> np.ndarray:
         """Which entries the buckets' answers name."""
         out = np.zeros(len(keys), bool)
-        base = np.searchsorted(_bucket(keys, self.buckets), np.arange(self.buckets + 1))
+        own = _bucket(keys, self.buckets)
         columns = (answers.column(c).to_pylist() for c in ("pass", "kind", "bucket", "places"))
         for number, what, bucket, places in zip(*columns, strict=True):
             if number == pass_number and what == kind:
-                out[base[bucket] + np.frombuffer(places, "<u4")] = True
+                out[np.searchsorted(own, bucket) + np.frombuffer(places, "<u4")] = True
         return out
 
     def first_pass(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,8 +192,8 @@ class _Block:
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Ascending in the key: the top 24 bits, scaled."""
-    return ((keys >> U64(40)) * U64(buckets) >> U64(24)).astype(np.int64)
+    """Ascending in the key: the top 32 bits, scaled."""
+    return ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
@@ -280,7 +281,7 @@ def remove_repeats(
         raise ValueError("key must lie between 1 and depth")
     spark = df.sparkSession
     total = text_bytes_total(df, text)
-    blocks, buckets = parts_for(total, block_bytes, spark), min(1 << 20, parts_for(total, bucket_bytes, spark))
+    blocks, buckets = parts_for(total, block_bytes, spark), parts_for(total, bucket_bytes, spark)
     own = free_name(df.columns, "block")
     number = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(int(_NULL_ID)))
     dealt = F.pmod(F.xxhash64(number), F.lit(blocks))

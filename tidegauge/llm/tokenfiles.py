@@ -60,9 +60,18 @@ def _tokenizer(path: str) -> LibraryBpe:
     return LibraryBpe(path)
 
 
+# Hadoop's names of file systems, and Arrow's of the same ones.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "webhdfs": "hdfs"}
+
+
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder, and its path there. Spark names some otherwise than Arrow, and
+    ``dbfs:`` is a mounted folder."""
+    scheme, colon, rest = folder.partition(":")
+    if scheme == "dbfs" and colon:
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
     if "://" in folder or folder.startswith("file:"):
-        return fs.FileSystem.from_uri(folder)
+        return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
     return fs.LocalFileSystem(), folder
 
 

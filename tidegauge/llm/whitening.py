@@ -9,6 +9,7 @@ rows). A second product, with the small matrix of scaled eigenvectors, projects
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -93,6 +94,8 @@ def whiten(
     numbered = numbered.select((F.col("base") + F.col("place")).alias("index"), "x", "copies")
     blocks = max(block_rows, -(-n // MOST_BLOCKS))
     centred = _block_matrix(numbered, [s / n for s in sums], n, blocks)
+    # Read by both products; what a lost executor held is made again.
+    centred.persist(StorageLevel.MEMORY_AND_DISK)
     splits = max(1, min(parts, n // blocks))
     scatter = _product(centred.transpose(), centred, splits)
     values, vectors = np.linalg.eigh(scatter / n)
@@ -112,6 +115,7 @@ def whiten(
         known = numbered.join(made, "index").select("x", "copies", "whitened")
         spread = _product(projected.transpose(), projected, splits) / n
         error = float(np.abs(spread - np.eye(good)).max())
+    centred._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
     deviation = _deviation(F.col("x"), sums, n, widest)
     known = known.select("x", "copies", deviation.alias("deviation"), "whitened")
