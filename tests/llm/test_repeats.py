@@ -3,8 +3,6 @@ from __future__ import annotations
 import hashlib
 import random
 
-import numpy as np
-import pyarrow as pa
 import pytest
 from llm.llm_helpers import kept_columns, odd_texts, rows
 from pyspark.sql import functions as F
@@ -133,12 +131,3 @@ def test_empty_table_and_arguments(nothing):
     assert repeats.remove_repeats(nothing).collect() == []
     with pytest.raises(ValueError, match="key"):
         repeats.remove_repeats(nothing, depth=10, key=11)
-
-
-def test_leading_digits_spread_over_all_buckets(spark, sf_dir):
-    """Least hashes lie close together; buckets must not."""
-    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    table = pa.table({"block": [0] * len(texts), "doc": list(range(len(texts))), "text": texts})
-    made = repeats._Block(table, repeats.DEPTH, repeats.KEY, 32)
-    sizes = np.bincount(repeats._bucket(made.keys, 32), minlength=32)
-    assert sizes.max() < 2 * sizes.mean()

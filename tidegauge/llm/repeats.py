@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegauge.llm.bpe import added
 from tidegauge.llm.bytesops import U64, Rolling, mix, runs, text_bytes
-from tidegauge.llm.frames import free_name, parts_for, stored, text_bytes_total
+from tidegauge.llm.frames import free_name, give_back, parts_for, stored, text_bytes_total
 
 DEPTH = 50
 KEY = 24
@@ -107,8 +107,7 @@ class _Block:
             last = np.append(at[1:], len(inside)) - 1
             starts, stops = inside[at], inside[last] + 1
             contents = rolling.ranges(starts, stops + depth - 1)
-            # Least hashes lie close together; mixed again, they spread over all buckets.
-            found.append((starts + low, stops + low, mix(hashes[place[at]]), contents, row[at]))
+            found.append((starts + low, stops + low, hashes[place[at]], contents, row[at]))
         if not found:
             none = np.empty(0, np.int64)
             return none, none, none.astype(U64), none.astype(U64), none
@@ -254,6 +253,8 @@ def _answer(pass_number: int) -> Callable[[pa.Table], pa.Table]:
                     row = (block, pass_number, kind, bucket, own.astype("<u4").tobytes())
                     for c, value in zip(out, row, strict=True):
                         out[c].append(value)
+        del keys, contents, docs, order, sorted_docs, found
+        give_back()
         return pa.table(out, schema=_ANSWER_ARROW)
 
     return run
@@ -289,14 +290,20 @@ def remove_repeats(
 
     def enter(table: pa.Table) -> pa.Table:
         made = _Block(table, depth, key, buckets)
-        return made.send(table.column("block")[0].as_py(), *made.first_pass())
+        sent = made.send(table.column("block")[0].as_py(), *made.first_pass())
+        del made
+        give_back()
+        return sent
 
     def open_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _ENTRY_ARROW.empty_table()
         made = _Block(table, depth, key, buckets)
         _, keys, contents, docs, new = made.windows(answers)
-        return made.send(table.column("block")[0].as_py(), keys[new], contents[new], docs[new])
+        sent = made.send(table.column("block")[0].as_py(), keys[new], contents[new], docs[new])
+        del made, keys, contents, docs, new
+        give_back()
+        return sent
 
     entries = small.groupBy("block").applyInArrow(enter, _ENTRY)
     first = stored(entries.groupBy("bucket").applyInArrow(_answer(1), _ANSWER), "repeats-1")
@@ -324,6 +331,8 @@ def remove_repeats(
         made = _Block(pa.table(given), depth, key, buckets)
         columns = _cut(made, made.covered(answers))
         table = table.take(pa.array(made.order)).drop_columns([own, helper])
+        del made
+        give_back()
         for name, column in columns.items():
             at = [x.lower() for x in table.column_names]
             if name.lower() in at:
