@@ -9,7 +9,8 @@ are equal, and has the equal tokens of its best one. So substituted tokens do no
 a seed's open places nor elsewhere in the window, and a quoted part of a longer item is found
 wherever its seeds hit. Each way of substituting 4 of 20 tokens leaves a seed.
 
-Tokens are runs of letters and digits of any script, in lower case.
+Tokens are runs of letters and digits of any script, in lower case, and are compared by 64-bit
+hashes.
 
 Defined results: NULL and texts without tokens have no seeds; items with fewer tokens than the
 shortest mask are never found, and in items shorter than the window all tokens are compared;
@@ -36,6 +37,12 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def _hashed(text: Column) -> Column:
+    """The tokens as 64-bit hashes: what is cut out around a hit stays small, however long a token,
+    and the hits of one long document are held in memory together."""
+    return F.transform(tokens(text), lambda token: F.xxhash64(token))
+
+
 def _seeds(words: Column, place: Column, masks: tuple[str, ...]) -> Column:
     """The seeds of all masks at a place, NULL where a mask goes beyond the end."""
     made = []
@@ -112,19 +119,19 @@ def contaminated(
     """
     if any(m.count("1") < 1 or m[0] != "1" or m[-1] != "1" for m in masks):
         raise ValueError("a mask must begin and end with a token that counts")
-    words = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
-    items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("item_words")).distinct()
+    words = docs.select(F.col(doc_id).alias("doc_id"), _hashed(F.col(text)).alias("words"))
+    items = benchmark.select(F.col(item_id).alias("item_id"), _hashed(F.col(item_text)).alias("item_words")).distinct()
     theirs = _seeded(items, masks, "item_id", "item_words", "item_pos")
     ours = _seeded(words, masks, "doc_id", "words", "pos")
-    # A seed of an item is broadcast with the item's words: some 24 bytes a word, and the row.
-    size = F.sum(F.size("item_words") * len(masks) * (F.size("item_words") * 24 + 64).cast("bigint"))
+    # A seed of an item is broadcast with the item's tokens: 8 bytes a token, and the row.
+    size = F.sum(F.size("item_words") * len(masks) * (F.size("item_words") * 8 + 64).cast("bigint"))
     if (items.agg(size).first()[0] or 0) <= broadcast_bytes:
         hits = ours.join(F.broadcast(theirs), "seed")
     else:
         # Ids may repeat or be NULL, so rows are found again by numbers that are stored with them.
         numbered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         numbered = stored(numbered.withColumn("doc", F.monotonically_increasing_id()), "passages-docs")
-        words = numbered.select("doc", "doc_id", tokens(F.col("text")).alias("words"))
+        words = numbered.select("doc", "doc_id", _hashed(F.col("text")).alias("words"))
         items = stored(items.withColumn("item", F.monotonically_increasing_id()), "passages-items")
         ours = _seeded(words.drop("doc_id"), masks, "doc", "words", "pos").select("doc", "pos", "seed")
         theirs = _seeded(items.drop("item_id"), masks, "item", "item_words", "item_pos")
