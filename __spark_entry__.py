@@ -27,8 +27,10 @@ from tidegauge import (
     read_date_prefix,
     read_rejects,
     read_replaced,
+    read_rank_updates,
     read_report,
     read_series,
+    read_split,
     read_stream_report,
     read_updates,
     report_frames,
@@ -37,11 +39,14 @@ from tidegauge import (
     rolling_change,
     run_report,
     start_rank,
+    start_rank_updates,
     start_replace,
     start_report,
+    start_split,
     start_table,
     start_updates,
     stream_counter_to_increments,
+    stream_in_time,
     stream_percent_change,
     stream_rejects,
     stream_rolling_average,
@@ -73,6 +78,9 @@ _DOUBLE = ("double", "cast(l_quantity as int) / 4")
 # Values whose sums a double can't hold.
 _REVENUE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 
+# By so many days a row of the split stream may lie behind the newest date.
+_LATE_DAYS = 10
+
 # --- Test tables as series and levels ---------------------------------------
 
 
@@ -461,6 +469,36 @@ def _stream_average_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_table(spark, stream_rolling_average(stream))
 
 
+def _split(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """A stream of three files, of which the later ones hold rows of days long closed."""
+    events = _events(spark, sf_dir)
+    parts = [events.where(F.col("cases") == k) for k in (1, 0, -1)]
+    stream, path = _files_stream(spark, parts), work_dir(spark, "stream")
+    start_split(stream, path, work_dir(spark, "checkpoint"), late_days=_LATE_DAYS).awaitTermination()
+    return path, stream.schema
+
+
+def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_split(spark, *_split(spark, sf_dir), late=True)
+
+
+def _stream_average_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = stream_in_time(spark, *_split(spark, sf_dir))
+    return _as_table(spark, stream_rolling_average(kept, late_days=_LATE_DAYS))
+
+
+def _stream_rank_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Averages rise and fall with each third of the records, so ranks change.
+    events = _events(spark, sf_dir)
+    parts = [events.where(F.col("cases") == k) for k in (1, -1, 0)]
+    averages = stream_rolling_updates(_files_stream(spark, parts))
+    path = work_dir(spark, "stream")
+    with rocksdb_state(spark):
+        query = start_rank_updates(averages, path, work_dir(spark, "checkpoint"), limit=3)
+    query.awaitTermination()
+    return read_rank_updates(spark, path, averages.schema)
+
+
 # --- Batch queries built from one series ------------------------------------
 
 
@@ -594,6 +632,9 @@ def queries() -> dict[str, Query]:
         "stream_rolling_avg_around_1970_events": _stream_average_around_1970,
         "stream_rolling_avg_90_1_lineitem": _stream_average_90,
         "stream_rolling_avg_late_rows_events": _stream_average_late_rows,
+        "stream_late_rows_events": _stream_late,
+        "stream_rolling_avg_in_time_events": _stream_average_in_time,
+        "stream_rank_open_periods_events": _stream_rank_updates,
         "stream_csv_case_report_events": _stream_csv_case_report,
         "stream_csv_counter_conversations": _stream_csv_counter,
         "stream_csv_rejects_events": _stream_csv_rejects,
@@ -664,6 +705,9 @@ _EVENTS_AROUND_1970 = f"""select cast(date - {_DAYS_TO_1970} as date) as date, c
     from ({_EVENTS})"""
 _EVENTS_IN_TIME = f"""select * from ({_EVENTS})
     where cases >= 0 or date >= (select max(cast(ts as date)) from events where event_id % 3 = 2)"""
+# A row's file is 1 minus its cases; the files before it bound its date.
+_SPLIT = f"""select * from ({_EVENTS}) e where {{which}} coalesce(date < (select max(date) - {_LATE_DAYS}
+    from ({_EVENTS}) o where o.cases > e.cases), false)"""
 _REPEATED_TURNS = """select conv_id, turn, case when length(text) % 3 = 0 then length(text) + 1
     else length(text) end as level from conversations"""
 _REPEATED_INCREMENTS = f"""select cast(date '1970-01-01' + cast(turn as integer) as date) as date,
@@ -784,6 +828,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_rolling_avg_around_1970_events": _with_changes(_EVENTS_AROUND_1970) + _AVG + _CLOSED,
         "stream_rolling_avg_90_1_lineitem": _with_changes(_LINEITEM, 90, 1) + _AVG + _CLOSED,
         "stream_rolling_avg_late_rows_events": _with_changes(_EVENTS_IN_TIME) + _AVG + _CLOSED,
+        "stream_late_rows_events": _SPLIT.format(which=""),
+        "stream_rolling_avg_in_time_events": _with_changes(_SPLIT.format(which="not")) + _AVG
+        + f" where end_date <= (select max(date) - {_LATE_DAYS} from n)",
+        "stream_rank_open_periods_events": _with_changes(_EVENTS) + """select * from (select start_date, end_date,
+            country, avg, cast(dense_rank() over (partition by end_date order by avg desc nulls last) as integer)
+            as rank from a) where rank <= 3""",
         "stream_csv_case_report_events": closed_averages,
         "stream_csv_counter_conversations": _INCREMENTS,
         "stream_csv_rejects_events": _REJECTS,

@@ -26,16 +26,21 @@ from tidegauge.sources import (
     stream_series,
 )
 from tidegauge.streaming import (
+    read_rank_updates,
     read_replaced,
+    read_split,
     read_stream_report,
     read_updates,
     rocksdb_state,
     start_rank,
+    start_rank_updates,
     start_replace,
     start_report,
+    start_split,
     start_table,
     start_updates,
     stream_counter_to_increments,
+    stream_in_time,
     stream_percent_change,
     stream_rolling_average,
     stream_rolling_updates,
@@ -59,9 +64,11 @@ __all__ = [
     "read_date_prefix",
     "read_raw",
     "read_rejects",
+    "read_rank_updates",
     "read_replaced",
     "read_report",
     "read_series",
+    "read_split",
     "read_stream_report",
     "read_updates",
     "report_frames",
@@ -70,11 +77,14 @@ __all__ = [
     "rolling_change",
     "run_report",
     "start_rank",
+    "start_rank_updates",
     "start_replace",
     "start_report",
+    "start_split",
     "start_table",
     "start_updates",
     "stream_counter_to_increments",
+    "stream_in_time",
     "stream_percent_change",
     "stream_rejects",
     "stream_rolling_average",

@@ -120,8 +120,16 @@ def read_updates(
     spark: SparkSession, path: str, schema: StructType, key: str | Sequence[str] = "country"
 ) -> DataFrame:
     """The newest row of each key and window that ``start_updates`` wrote."""
-    written = spark.read.schema(StructType([*schema.fields]).add("batch", LongType())).parquet(path)
-    names = [*key_names(key), "start_date"]
+    return _newest(_batches(spark, path, schema), [*key_names(key), "start_date"], schema)
+
+
+def _batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What micro-batches wrote to folders of their own, with their numbers."""
+    return spark.read.schema(StructType([*schema.fields]).add("batch", LongType())).parquet(path)
+
+
+def _newest(written: DataFrame, names: list[str], schema: StructType) -> DataFrame:
+    """The row of the last micro-batch for each value of ``names``."""
     others = F.struct(*(name for name in schema.names if name not in names)).alias("_newest")
     newest = written.groupBy(*names).agg(F.max_by(others, "batch").alias("_newest"))
     return newest.select(*names, "_newest.*").select(*schema.names)
@@ -171,6 +179,60 @@ def read_stream_report(spark: SparkSession, path: str, schema: StructType) -> tu
     ranked = StructType([*schema.fields]).add("rank", IntegerType())
     frames = []
     for name, kind in (("avg", schema), ("rank", ranked)):
-        written = spark.read.schema(StructType([*kind.fields]).add("batch", LongType())).parquet(f"{path}/{name}")
+        written = _batches(spark, f"{path}/{name}", kind)
         frames.append(written.where(F.col("batch") <= newest).select(*kind.names))
     return frames[0], frames[1]
+
+
+def start_rank_updates(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    period: str = "end_date",
+    by: str = "avg",
+    limit: int = 10,
+    key: str | Sequence[str] = "country",
+    trigger: dict[str, object] | None = None,
+) -> StreamingQuery:
+    """Rank periods that are still open, each anew when one of its rows changes.
+
+    ``df`` brings changed rows, as ``stream_rolling_updates`` does. A value may fall as well as rise,
+    so the best rows alone would not do: every row stays in ``windows/batch=<id>``, sorted by
+    period, and a trigger ranks the newest rows of the periods that it changed, with
+    ``rank_within``, into ``rank/batch=<id>``. ``read_rank_updates`` gives the newest ranking of
+    each period, which is the batch result. The changed periods are broadcast: their number is
+    bounded by the calendar. A micro-batch that is run again overwrites both of its folders.
+    """
+    own = StructType([*df.schema.fields])
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.sortWithinPartitions(period).write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+        written = _batches(spark, f"{path}/windows", own).where(F.col("batch") <= batch_id)
+        changed = written.where(F.col("batch") == batch_id).select(F.col(period).alias("_changed")).distinct()
+        rows = written.join(F.broadcast(changed), F.col(period).eqNullSafe(F.col("_changed")), "left_semi")
+        ranked = rank_within(_newest(rows, [*key_names(key), period], own), period, by, limit, key=key)
+        ranked.write.mode("overwrite").parquet(f"{path}/rank/batch={batch_id}")
+        done = spark.range(batch_id, batch_id + 1)
+        done.write.mode("append").parquet(f"{path}/complete")
+
+    return (
+        df.writeStream.foreachBatch(update)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
+def read_rank_updates(
+    spark: SparkSession, path: str, schema: StructType, period: str = "end_date"
+) -> DataFrame:
+    """The newest ranking of each period that ``start_rank_updates`` wrote, of all micro-batches
+    that are complete. ``schema`` is that of the ranked rows."""
+    newest = spark.read.schema("id bigint").parquet(f"{path}/complete").agg(F.max("id")).first()[0]
+    ranked = StructType([*schema.fields]).add("rank", IntegerType())
+    written = _batches(spark, f"{path}/rank", ranked).where(F.col("batch") <= newest)
+    last = written.groupBy(F.col(period).alias("_period")).agg(F.max("batch").alias("_last"))
+    met = F.col(period).eqNullSafe(F.col("_period")) & (F.col("batch") == F.col("_last"))
+    return written.join(F.broadcast(last), met, "left_semi").select(*ranked.names)
