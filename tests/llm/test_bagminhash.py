@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm.llm_helpers import bag, kept_columns, odd_texts, similar_classes, similarity
+from pyspark.sql import functions as F
 
 from tidegauge.llm import bagminhash, bytesops, queries
 
@@ -72,6 +73,42 @@ def test_a_group_of_near_copies(spark, few, monkeypatch):
     assert sorted(map(tuple, found)) == sorted(similar_classes(docs))
 
 
+def of_one_template(pick, count, own):
+    """Texts that share all but ``own`` of their 100 words, in one stretch, and copies of some with a word changed."""
+    base = [f"t{k}" for k in range(100 - own)]
+    out = []
+    for _ in range(count):
+        at = pick.randrange(len(base))
+        out.append([*base[:at], *(f"o{pick.randrange(10**8)}" for _ in range(own)), *base[at:]])
+    for words in pick.sample(out, 8):
+        out.append([*words[:-1], f"z{pick.randrange(10**8)}"])
+    return [" ".join(words) for words in out]
+
+
+@pytest.mark.parametrize("own", [12, 30])
+def test_pairs_of_a_crowded_band_by_rare_shingles(spark, own, monkeypatch):
+    monkeypatch.setattr(bagminhash, "DIRECT", 0)
+    # Without leaders' rounds all links across components come from the last one.
+    monkeypatch.setattr(bagminhash, "LEADERS", 0)
+    docs = list(enumerate(of_one_template(random.Random(own), 60, own) + near_copies(random.Random(2), 30)))
+    df = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
+    found = bagminhash.near_duplicates(df).select("doc_id", "class_id", "class_size").collect()
+    assert sorted(map(tuple, found)) == sorted(similar_classes(docs))
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_rare_shingles_lose_no_pair(spark, threshold):
+    pick = random.Random(5)
+    texts = [" ".join(pick.choice("abcdefgh") for _ in range(pick.randrange(1, 14))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "node bigint, text string").repartition(4)
+    nodes = df.select("node", F.col("node").alias("root"))
+    found = {tuple(r) for r in bagminhash._by_rare_shingles(df, nodes, 1, threshold).collect()}
+    bags = [bag(t, 1) for t in texts]
+    alike = {(a, b) for b in range(150) for a in range(b) if similarity(bags[a], bags[b]) >= threshold}
+    assert alike and alike <= found
+    assert len(found) < 150 * 149 / 2
+
+
 def test_odd_rows(odd):
     result = bagminhash.near_duplicates(odd)
     kept_columns(result, odd)

@@ -12,7 +12,11 @@ signature costs about the same for short and long texts.
 Slots are banded. Documents that share a band get a longer signature of which one bit of each
 slot is kept, and are compared through leaders: first with the one that meets the most others,
 then, where a band still holds several components, with some LEADERS of its members, and last
-with each other, but only across components. So no link between components is lost to a cap,
+with each other, but only across components. In a band of more than DIRECT texts these last
+pairs are found by their rare shingles instead, since texts of one template, say, share a band
+without being alike: two texts at the threshold have one of their rarest shingles in common, at
+places that leave enough shingles after them, whatever the rest. That loses no pair. So no link
+between components is lost to a cap,
 and near copies of one text are not expanded into all pairs. A pair is compared only if its
 sizes and bits allow a similarity of ``threshold`` (a pair that has it is missed once in 30,000
 times), at the first band it shares; it is a link if the exact similarity of the multisets is
@@ -50,9 +54,14 @@ BANDS, BAND_ROWS = 16, 4
 MARKED_BYTES = 4 << 20
 MARKS = 1024
 LEADERS = 32
+#: Texts of a band that are compared with each other as they are.
+DIRECT = 128
+#: Shingles are told from rarer ones by how many texts have one of the same bucket.
+BUCKETS = 1 << 20
 BROADCAST_NODES = 1_000_000
 _SLICE = 1 << 20
 _LEAST = -(2**63)
+_STEP = U64(0x9E3779B97F4A7C15)
 
 
 def _shingled(data: np.ndarray, offsets: np.ndarray, size: int):
@@ -198,6 +207,78 @@ def _verified(size: int):
     return run
 
 
+def _tokens(data: np.ndarray, offsets: np.ndarray, size: int):
+    """The multisets' members, a further copy of a shingle being another one, and their rows."""
+    hashes, rows, counts = _shingled(data, offsets, size)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return bytesops.mix(np.repeat(hashes, counts) + nth.astype(U64) * _STEP), np.repeat(rows, counts)
+
+
+def _frequencies(size: int):
+    """How many texts of a task have a member in each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            data, offsets = bytesops.text_bytes(batch.column(1))
+            for low, high in bytesops.slices(offsets, _SLICE):
+                own = offsets[low : high + 1]
+                made, _ = _tokens(data[own[0] : own[-1]], own - own[0], size)
+                np.add.at(total, (made % U64(BUCKETS)).astype(np.int64), 1)
+        held = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["bucket", "n"])
+
+    return run
+
+
+def _rarest(size: int, threshold: float, common: np.ndarray):
+    """The rarest members of each text: so many that a text at the threshold has one of them, and
+    whether that holds for a text of the same weight or more (``first``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = bytesops.text_bytes(batch.column(1))
+            for low, high in bytesops.slices(offsets, _SLICE):
+                own = offsets[low : high + 1]
+                made, rows = _tokens(data[own[0] : own[-1]], own - own[0], size)
+                order = np.lexsort((made, common[(made % U64(BUCKETS)).astype(np.int64)], rows))
+                made, rows = made[order], rows[order]
+                weight = np.bincount(rows, minlength=high - low)
+                place = np.arange(len(rows)) - (np.cumsum(weight) - weight)[rows]
+                weight = weight[rows]
+                # Rounding may only add members.
+                taken = np.nonzero(place <= weight - np.ceil(threshold * weight - 1e-6))[0]
+                made, rows, place, weight = made[taken], rows[taken], place[taken], weight[taken]
+                first = place <= weight - np.ceil(2 * threshold / (1 + threshold) * weight - 1e-6)
+                node = batch.column(0).slice(low, high - low).take(pa.array(rows))
+                columns = [node, pa.array(made.view(np.int64)), pa.array(place), pa.array(weight), pa.array(first)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "token", "place", "weight", "first"])
+
+    return run
+
+
+def _by_rare_shingles(texts: DataFrame, nodes: DataFrame, size: int, threshold: float) -> DataFrame:
+    """(a, b) of ``nodes`` (node, root) with different roots, at least all those whose similarity is
+    at least ``threshold``. The frequencies are at most ``BUCKETS`` numbers."""
+    own = texts.join(nodes.select("node"), "node", "left_semi")
+    found = own.mapInArrow(lean(_frequencies(size)), "bucket bigint, n bigint")
+    found = found.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    common = np.zeros(BUCKETS, np.int64)
+    common[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    schema = "node bigint, token bigint, place bigint, weight bigint, first boolean"
+    rare = own.mapInArrow(lean(_rarest(size, threshold, common)), schema).join(nodes, "node")
+    names = ("node", "place", "weight", "root")
+    left = rare.where("first").select("token", *(F.col(c).alias(f"a{c}") for c in names))
+    right = rare.select("token", *(F.col(c).alias(f"b{c}") for c in names))
+    # The lighter text is on the left. From a first common member on, enough must be left.
+    ordered = F.struct("aweight", "anode") < F.struct("bweight", "bnode")
+    near = F.col("aweight") >= threshold * F.col("bweight")
+    rest = F.least(F.col("aweight") - F.col("aplace"), F.col("bweight") - F.col("bplace"))
+    enough = rest + 1e-6 >= threshold / (1 + threshold) * (F.col("aweight") + F.col("bweight"))
+    met = left.join(right, "token").where((F.col("aroot") != F.col("broot")) & ordered & near & enough)
+    return met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
+
+
 def near_duplicates(
     df: DataFrame,
     size: int = SIZE,
@@ -288,6 +369,8 @@ def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, t
             # The documents that meet the most others, by a bound on their share of the band.
             rank = (F.xxhash64("node") / 2.0**64) + 0.5
             leads = still.where(rank * F.col("n") < share)
+        else:
+            leads = still.where(F.col("n") <= DIRECT)
         left, right = (
             frame.select("band", *(F.col(c).alias(x + c) for c in ("nth", "node", "root", "weight", "marks", "bands")))
             for x, frame in (("a", leads), ("b", still))
@@ -297,6 +380,13 @@ def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, t
             met &= F.col("anode") < F.col("bnode")
         met = left.join(right, met & alike("a", "b") & (_first_shared("abands", "bbands") == F.col("anth")))
         pairs = met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
+        if share is None:
+            crowded = stored(still.where(F.col("n") > DIRECT).select("node", "root").distinct(), "crowded")
+            if not crowded.isEmpty():
+                rare = _by_rare_shingles(texts, crowded, size, threshold)
+                left, right = sides("weight", "marks")
+                rare = rare.join(left, "a").join(right, "b").where(alike("a", "b")).select("a", "b")
+                pairs = pairs.unionByName(rare).distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = done.unionByName(pairs)
         links = checked(pairs).where(F.col("similarity") >= threshold)
