@@ -5,8 +5,10 @@ from __future__ import annotations
 import itertools
 import math
 import random
+from pathlib import Path
 
 import corpus_pipeline
+import duckdb
 import pytest
 from llm.llm_helpers import of_sql, odd_texts, rows
 
@@ -290,6 +292,30 @@ def test_licence_texts_in_other_dress(spark):
     )
 
 
+def test_whole_licence_texts_of_this_system(spark, tmp_path):
+    """The public texts that come with the system, rewrapped, in SQL too."""
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    there = [name for name in names if (folder / name).exists()]
+    if not there:
+        pytest.skip("no licence texts on this system")
+    docs = [(k, (folder / name).read_text().replace("\n\n", "\r\n \t\r\n").upper()) for k, name in enumerate(there)]
+    docs += [(100 + k, text + "\nand more") for k, text in docs]
+    docs += [(200 + k, f"code\n# {line}\nmore") for k, (_, line) in enumerate(licences.NOTICES)]
+    frame = spark.createDataFrame(docs, "doc_id int, text string")
+    rows = licences.scan(frame).select("doc_id", "license_id", "notices", "digest").collect()
+    found = {r.doc_id: (r.license_id, r.notices) for r in rows}
+    for k, name in enumerate(there):
+        assert found[k][0] == names[name]
+        assert found[100 + k][0] is None
+    assert all(found[200 + k] == (None, i) for k, (i, _) in enumerate(licences.NOTICES))
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    with duckdb.connect() as db:
+        db.execute(f"create view documents as select * from '{tmp_path}/documents/*.parquet'")
+        wanted = db.execute(f"select doc_id, license_id, notices, digest from ({licences.scan_sql()})").fetchall()
+    assert sorted(map(tuple, rows)) == sorted(wanted)
+
+
 def test_licences_of_odd_rows_and_given_tables(odd, nothing, spark):
     assert licences.scan(odd).count() == len(odd_texts())
     assert licences.scan(nothing).collect() == []
