@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import days, rows
@@ -105,6 +106,27 @@ def test_work_dir_lies_in_the_shared_folder(spark):
     assert first.startswith(f"{shared}/x-") and first != second
 
 
+@pytest.mark.parametrize(
+    ("master", "settings", "wanted"),
+    [
+        ("spark://host:7077", {"spark.sql.warehouse.dir": "file:/data/warehouse"}, None),
+        ("spark://host:7077", {"spark.sql.warehouse.dir": "/data/warehouse"}, None),
+        ("spark://host:7077", {"spark.sql.warehouse.dir": "hdfs://host/warehouse"}, "hdfs://host/warehouse/x-"),
+        ("spark://host:7077", {"spark.checkpoint.dir": "/shared", "spark.sql.warehouse.dir": "/data"}, "/shared/x-"),
+        ("local[4]", {"spark.sql.warehouse.dir": "file:/data/warehouse"}, "file:/data/warehouse/x-"),
+        ("local[4]", {}, None),
+    ],
+)
+def test_a_local_warehouse_is_no_shared_folder_of_a_cluster(master, settings, wanted):
+    context = SimpleNamespace(master=master, getConf=lambda: {})
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, other: settings.get(name)), sparkContext=context)
+    if wanted is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            work_dir(session, "x")
+    else:
+        assert work_dir(session, "x").startswith(wanted)
+
+
 def test_a_failed_run_leaves_the_last_version_whole(spark, tmp_path, monkeypatch):
     from tidegauge import current_report
     from tidegauge.plans import report
