@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -11,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SETTING = "spark.checkpoint.dir"
+from tidegauge.workspace import work_dir
+
 GIVE_BACK_EVERY = 8
 # Shuffle files go when a write has ended; Python workers get batches of bounded size.
 _WHILE_WRITING = {
@@ -20,14 +20,6 @@ _WHILE_WRITING = {
 }
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that the cluster shares (``spark.checkpoint.dir``, else
-    the warehouse)."""
-    shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def importable(spark: SparkSession) -> None:
     """Let the Python workers of a local session import this package from where it lies, as
     spark.executorEnv.PYTHONPATH would; a cluster gets it by --py-files or an install."""
@@ -40,10 +32,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new shared folder and read it back, which cuts its lineage.
 
     The shuffle files of the write go as soon as it has ended; what a lost executor held is
-    then read from the shared folder and not made again.
+    then read from the shared folder and not made again. The folder goes when the driver ends.
     """
     spark = df.sparkSession
-    path = shared_folder(spark, name)
+    path = work_dir(spark, name)
     before = {name: spark.conf.get(name) for name in _WHILE_WRITING}
     for name, value in _WHILE_WRITING.items():
         spark.conf.set(name, value)
@@ -52,9 +44,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+        goes_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def goes_at_exit(spark: SparkSession, path: str) -> None:
+    """Let Hadoop's file system remove a folder, whole or half written, when the driver's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def give_back() -> None:
     """Return memory that is free again to the system. Python workers are kept from one stage to
     the next, and with them all that their allocators hold."""

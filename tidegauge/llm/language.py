@@ -181,8 +181,8 @@ def fit(
     sample: int = SAMPLE,
     max_chars: int = MAX_CHARS,
 ) -> Model:
-    """A network trained on up to ``sample`` labelled texts, none of the held-out fold and none
-    longer than ``max_chars``."""
+    """A network trained on up to ``sample`` labelled texts, none of the held-out fold, each
+    of at most ``max_chars`` characters."""
     rows = learning.sample(docs, docs, label, ~held_out("doc_id", folds, fold), sample, max_chars)
     return train([t or "" for t, _ in rows], [str(y) for _, y in rows])
 

@@ -37,27 +37,35 @@ def sample(
     Of the rows of ``labels`` that ``learn`` accepts and whose text is there and no longer than
     ``max_chars``, those with the least hashes of doc_id are taken: up to so many for each key of
     ``per_label``, or up to so many in all, the first of each label before any label's second.
-    So at most their product is collected.
+    Of a label that has longer texts only, passages of ``max_chars`` characters are taken, from
+    places that a hash of the text gives. So at most their product is collected. Rows of labels
+    that repeat count once; of the texts of one doc_id the least hash among the short ones counts.
     """
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    texts = texts.where(F.length("text") <= max_chars)
+    long = F.length("text") > max_chars
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    texts = texts.withColumn("long", long)
     known = labels.where(learn & F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-    known = known.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
-    known = known.join(texts.select("doc_id"), "doc_id", "left_semi")
-    order = [F.xxhash64("doc_id"), "doc_id", "label"]
+    known = known.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).distinct()
+    known = known.join(texts.groupBy("doc_id").agg(F.min("long").alias("long")), "doc_id")
+    order = ["long", F.xxhash64("doc_id"), "doc_id", "label"]
     # Ranked in parts first: a common label's rows never meet in one task.
     most = max(per_label.values()) if isinstance(per_label, dict) else per_label
     parts = Window.partitionBy("label", F.pmod(F.xxhash64("doc_id"), F.lit(RANKED_PARTS)))
     for within in (parts, Window.partitionBy("label")):
-        known = known.withColumn("nth", F.row_number().over(within.orderBy(*order))).where(F.col("nth") <= most)
+        known = known.withColumn("least", F.first("long").over(within.orderBy(*order)))
+        known = known.withColumn("nth", F.row_number().over(within.orderBy(*order)))
+        known = known.where((F.col("nth") <= most) & (F.col("long") == F.col("least")))
     if isinstance(per_label, dict):
         wanted = [(F.col("label") == k) & (F.col("nth") <= n) for k, n in per_label.items()]
         taken = known.where(reduce(or_, wanted))
     else:
         taken = known.orderBy("nth", *order).limit(per_label)
-    taken = taken.select("doc_id", "label")
     # The taken rows are bounded by the parameters, so they may be broadcast.
-    found = texts.join(F.broadcast(taken.distinct()), "doc_id").dropDuplicates(["doc_id", "label"])
+    found = texts.join(F.broadcast(taken.select("doc_id", "label", "long")), ["doc_id", "long"])
+    place = F.pmod(F.xxhash64("text"), F.length("text") - max_chars + 1).cast("int") + 1
+    passage = F.when(F.col("long"), F.col("text").substr(place, F.lit(max_chars))).otherwise(F.col("text"))
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), passage.alias("text"))).alias("least")
+    found = found.groupBy("doc_id", "label").agg(least).select("doc_id", "label", "least.text")
     return [(x.text, x.label) for x in sorted(found.collect(), key=lambda x: (x.doc_id, str(x.label)))]
 
 

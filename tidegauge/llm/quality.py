@@ -37,7 +37,8 @@ EPOCHS = 12
 BATCH = 16
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-4, 1e-4
 SIZES = (1, 2)
-_SAME, _OTHER = 0, 1
+# The first buckets tell whether a word and the next are the same; no n-gram falls there.
+_SAME, _OTHER, RESERVED = 0, 1, 2
 
 
 class Model(NamedTuple):
@@ -70,7 +71,7 @@ def features(data: np.ndarray, offsets: np.ndarray):
             own = bytesops.mix(own + hashes[k : k + len(own)])
         counts = np.maximum(np.diff(first) - size + 1, 0)
         at, begins = _leading(first[:-1], counts)
-        made.append(((own[at] % U64(BUCKETS)).astype(np.int64), begins))
+        made.append(((own[at] % U64(BUCKETS - RESERVED) + U64(RESERVED)).astype(np.int64), begins))
     words = rolling.ranges(parts[0].starts, parts[0].ends)
     same = np.append(words[1:] == words[:-1], False)
     at, begins = _leading(parts[0].first[:-1], np.maximum(np.diff(parts[0].first) - 1, 0))
@@ -155,8 +156,8 @@ def fit(
     per_label: int = PER_LABEL,
     max_chars: int = MAX_CHARS,
 ) -> Model:
-    """A model of up to ``per_label`` labelled texts of each kind, none of the held-out fold
-    and none longer than ``max_chars``."""
+    """A model of up to ``per_label`` labelled texts of each kind, none of the held-out fold,
+    each of at most ``max_chars`` characters."""
     learn = ~held_out("doc_id", folds, fold)
     rows = learning.sample(docs, labels, label, learn, {0: per_label, 1: per_label}, max_chars)
     return train([t for t, _ in rows], np.array([y for _, y in rows]))

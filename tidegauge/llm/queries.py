@@ -22,7 +22,8 @@ from tidegauge.llm import (
     toxicity,
     whitening,
 )
-from tidegauge.llm.frames import held_out, importable, shared_folder
+from tidegauge.llm.frames import goes_at_exit, held_out, importable
+from tidegauge.workspace import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,8 +93,9 @@ def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    folder = shared_folder(spark, "tokens")
+    folder = work_dir(spark, "tokens")
     parts = tokenfiles.write_token_files(docs, _tokenizer("byte_bpe_50k.json"), folder, end_id=2)
+    goes_at_exit(spark, folder)
     read = tokenfiles.read_token_files(parts)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -171,7 +171,10 @@ def top_k(
     candidate_rows: int = CANDIDATE_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, the k
-    other rows with the highest inner products, ties to the smaller id."""
+    other rows with the highest inner products, ties to the smaller id.
+
+    Rows that repeat a query's id ask once, with the least of their vectors (by the first entry that
+    differs); as candidates each of them counts, but not for a query of their own id."""
     rows = df.select(F.col(vec_id).cast("bigint").alias("id"), quantised(F.col(vector), scale).alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull())
     rows = stored(rows.withColumn("part", F.monotonically_increasing_id()), "vectors")

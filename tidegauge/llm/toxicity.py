@@ -228,8 +228,8 @@ def fit(
     positives: int = POSITIVES,
     max_chars: int = MAX_CHARS,
 ) -> Model:
-    """A model of up to so many labelled texts of each kind, none of the held-out fold and
-    none longer than ``max_chars``."""
+    """A model of up to so many labelled texts of each kind, none of the held-out fold,
+    each of at most ``max_chars`` characters."""
     learn = ~held_out("doc_id", folds, fold)
     rows = learning.sample(docs, labels, label, learn, {0: negatives, 1: positives}, max_chars)
     return train([t for t, _ in rows], np.array([y for _, y in rows]))
