@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm.llm_helpers import kept_columns, odd_texts, rows
 from pyspark.sql import functions as F
@@ -131,3 +133,24 @@ def test_empty_table_and_arguments(nothing):
     assert repeats.remove_repeats(nothing).collect() == []
     with pytest.raises(ValueError, match="key"):
         repeats.remove_repeats(nothing, depth=10, key=11)
+
+
+def test_buckets_are_even_and_ascending(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").toArrow()
+    table = pa.table({"doc": docs.column("doc_id").cast(pa.int64()), "text": docs.column("text")})
+    width = repeats.DEPTH - repeats.KEY + 1
+    made = repeats._Block(table, repeats.DEPTH, repeats.KEY, {})
+    for buckets in (8, 512):
+        cuts = repeats._cuts(buckets, width)
+        found = cuts.of(made.keys)
+        sizes = np.bincount(found, minlength=buckets)
+        assert len(sizes) == buckets and (np.diff(found) >= 0).all()
+        assert sizes.max() < 2 * sizes.mean() and sizes.min() > 0
+    keys = np.sort(np.random.default_rng(1).integers(0, 2**64, 100_000, np.uint64))
+    keys[0], keys[-1] = 0, 2**64 - 1
+    for buckets in (1, 3, 4096, 10_000):
+        cuts = repeats._cuts(buckets, 1)
+        found = cuts.of(keys)
+        assert (np.diff(found) >= 0).all() and found[0] == 0
+        assert found[-1] == len(cuts.edges) * cuts.each - 1 and len(cuts.edges) * cuts.each >= buckets
+        assert np.bincount(found).max() < 3 * len(keys) / buckets + 30

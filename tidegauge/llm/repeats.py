@@ -29,6 +29,7 @@ the name of a result is replaced.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,9 @@ from tidegauge.llm.frames import free_name, give_back, parts_for, stored, text_b
 DEPTH = 50
 KEY = 24
 BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 1 << 20
+BUCKET_BYTES = 8 << 20
+#: So many edges of buckets are kept in a table; beyond that, each cell is cut evenly.
+CELLS = 4096
 # Fixed value, at least two: so many stretches of a leading digit enter the first pass from a block.
 STRETCHES = 4
 _CHUNK = 1 << 19
@@ -52,18 +55,60 @@ _NULL_ID = np.iinfo(np.int64).min
 _WHOLE, _SINGLE = 0, 1
 
 
+# --- Buckets of keys ----------------------------------------------------------------
+
+
+class _Cuts(NamedTuple):
+    """Buckets of ascending 64-bit keys: cells from each edge on, cut into ``each`` parts."""
+
+    edges: np.ndarray
+    each: int
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        cell = np.searchsorted(self.edges, keys, side="right") - 1
+        if self.each == 1:
+            return cell
+        widths = np.append(self.edges[1:], U64(0xFFFFFFFFFFFFFFFF)) - self.edges
+        step = (widths // U64(self.each) + U64(1))[cell]
+        return cell * self.each + ((keys - self.edges[cell]) // step).astype(np.int64)
+
+
+def _cuts(buckets: int, width: int) -> _Cuts:
+    """At least ``buckets`` buckets with about as many entries each, if a key is the least hash
+    of ``width`` places in a row.
+
+    A hash u in (0, 1) is the least of some ``width`` places if the places before and after it with
+    greater hashes are ``width - 1`` or more: with v = 1 - u, this has the probability
+    v**(width - 1) * (1 + (width - 1) * u). ``up_to`` is its integral, scaled to 1.
+    """
+    cells = min(buckets, CELLS)
+
+    def up_to(u: np.ndarray) -> np.ndarray:
+        v = 1.0 - u
+        return ((1 - v**width) * (width + 1) - (width - 1) * (1 - v ** (width + 1))) / 2
+
+    share = np.arange(cells) / cells
+    low, high = np.zeros(cells), np.ones(cells)
+    for _ in range(53):
+        middle = (low + high) / 2
+        below = up_to(middle) < share
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    return _Cuts((low * 2.0**64).astype(U64), -(-buckets // cells))
+
+
 # --- A block of documents -------------------------------------------------------
 
 
 class _Block:
-    """The documents of a block in order of doc_id, and their stretches."""
+    """The documents of a block in order of doc_id, and their stretches. ``cuts`` has the buckets
+    of each pass."""
 
-    def __init__(self, table: pa.Table, depth: int, key: int, buckets: int) -> None:
+    def __init__(self, table: pa.Table, depth: int, key: int, cuts: dict[int, _Cuts]) -> None:
         numbers = table.column("doc").to_numpy()
         self.order = np.argsort(numbers, kind="stable")
         table = table.take(pa.array(self.order))
         self.docs = numbers[self.order]
-        self.depth, self.key, self.buckets = depth, key, buckets
+        self.depth, self.key, self.cuts = depth, key, cuts
         self.data, self.offsets = text_bytes(table.column("text"))
         starts, stops, keys, contents, rows = self._stretches()
         order = np.lexsort((self.docs[rows], contents, keys))
@@ -113,9 +158,9 @@ class _Block:
             return none, none, none.astype(U64), none.astype(U64), none
         return [np.concatenate(x) for x in zip(*found, strict=True)]
 
-    def send(self, block: int, keys: np.ndarray, contents: np.ndarray, docs: np.ndarray) -> pa.Table:
+    def send(self, pass_number: int, block: int, keys: np.ndarray, contents: np.ndarray, docs: np.ndarray) -> pa.Table:
         """Entries, sorted by key, as a row for each bucket."""
-        bucket = _bucket(keys, self.buckets)
+        bucket = self.cuts[pass_number].of(keys)
         full, first = np.unique(bucket, return_index=True)
         cuts = [*first.tolist(), len(bucket)]
         parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -132,7 +177,7 @@ class _Block:
     def marked(self, answers: pa.Table, pass_number: int, kind: int, keys: np.ndarray) -> np.ndarray:
         """Which entries the buckets' answers name."""
         out = np.zeros(len(keys), bool)
-        own = _bucket(keys, self.buckets)
+        own = self.cuts[pass_number].of(keys)
         columns = (answers.column(c).to_pylist() for c in ("pass", "kind", "bucket", "places"))
         for number, what, bucket, places in zip(*columns, strict=True):
             if number == pass_number and what == kind:
@@ -190,11 +235,6 @@ class _Block:
         return np.cumsum(change, out=change)[:-1] > 0
 
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Ascending in the key: the top 32 bits, scaled."""
-    return ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
-
-
 def _packed(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bytes of each value."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
@@ -283,14 +323,16 @@ def remove_repeats(
     spark = df.sparkSession
     total = text_bytes_total(df, text)
     blocks, buckets = parts_for(total, block_bytes, spark), parts_for(total, bucket_bytes, spark)
+    # Keys of the second pass are mixed, so they lie evenly.
+    cuts = {1: _cuts(buckets, depth - key + 1), 2: _cuts(buckets, 1)}
     own = free_name(df.columns, "block")
     number = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(int(_NULL_ID)))
     dealt = F.pmod(F.xxhash64(number), F.lit(blocks))
     small = df.select(dealt.alias("block"), number.alias("doc"), F.col(text).alias("text"))
 
     def enter(table: pa.Table) -> pa.Table:
-        made = _Block(table, depth, key, buckets)
-        sent = made.send(table.column("block")[0].as_py(), *made.first_pass())
+        made = _Block(table, depth, key, cuts)
+        sent = made.send(1, table.column("block")[0].as_py(), *made.first_pass())
         del made
         give_back()
         return sent
@@ -298,9 +340,9 @@ def remove_repeats(
     def open_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _ENTRY_ARROW.empty_table()
-        made = _Block(table, depth, key, buckets)
+        made = _Block(table, depth, key, cuts)
         _, keys, contents, docs, new = made.windows(answers)
-        sent = made.send(table.column("block")[0].as_py(), keys[new], contents[new], docs[new])
+        sent = made.send(2, table.column("block")[0].as_py(), keys[new], contents[new], docs[new])
         del made, keys, contents, docs, new
         give_back()
         return sent
@@ -328,7 +370,7 @@ def remove_repeats(
         if not table.num_rows:  # answers to a block are never without its documents
             return empty
         given = {"doc": table.column(helper), "text": table.column(text_name)}
-        made = _Block(pa.table(given), depth, key, buckets)
+        made = _Block(pa.table(given), depth, key, cuts)
         columns = _cut(made, made.covered(answers))
         table = table.take(pa.array(made.order)).drop_columns([own, helper])
         del made
