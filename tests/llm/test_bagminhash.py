@@ -9,7 +9,8 @@ import pytest
 from llm.llm_helpers import bag, kept_columns, odd_texts, similar_classes, similarity
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bagminhash, bytesops, queries
+from tidegauge.llm import bagminhash, bytesops, frames, queries
+
 
 def shingled(text, size=1):
     return bagminhash._shingled(*bytesops.text_bytes(pa.array([text])), size)
@@ -62,8 +63,9 @@ def near_copies(pick, count):
     return out
 
 
-@pytest.mark.parametrize("few", [10**6, 0])
-def test_a_group_of_near_copies(spark, few, monkeypatch):
+@pytest.mark.parametrize(("few", "hot"), [(10**6, 2000), (0, 3)])
+def test_a_group_of_near_copies(spark, few, hot, monkeypatch):
+    monkeypatch.setattr(frames, "HOT_ROWS", hot)
     monkeypatch.setattr(bagminhash, "BROADCAST_NODES", few)
     monkeypatch.setattr(bagminhash, "LEADERS", 2)
     docs = list(enumerate(near_copies(random.Random(8), 60)))
@@ -109,6 +111,19 @@ def test_rare_shingles_lose_no_pair(spark, threshold):
     assert len(found) < 150 * 149 / 2
 
 
+def test_a_hot_key_is_dealt(spark, monkeypatch):
+    monkeypatch.setattr(frames, "HOT_ROWS", 10)
+    pairs = [(0, n) for n in range(1, 200)] + [(n, 900) for n in range(1, 50)] + [(5, 6), (7, 8)]
+    many = spark.createDataFrame(pairs, "a bigint, b bigint")
+    one = spark.range(1000).selectExpr("id as a", "id * 2 as ta")
+    other = spark.range(899).selectExpr("id as b", "id * 3 as tb")
+    full = frames.with_ones(many, [("a", "b", one), ("b", "a", other)])
+    found = sorted((r.a, r.b, r.ta, r.tb) for r in full.collect())
+    assert sorted(full.columns) == ["a", "b", "ta", "tb"]
+    assert found == sorted((a, b, 2 * a, 3 * b) for a, b in pairs if b != 900)
+    assert "piece" in full._jdf.queryExecution().toString()
+
+
 def test_odd_rows(odd):
     result = bagminhash.near_duplicates(odd)
     kept_columns(result, odd)

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm import bytesops
 from tidegauge.llm.bytesops import U64
 from tidegauge.llm.components import connected
-from tidegauge.llm.frames import free_name, lean, parts_for, stored, text_bytes_total
+from tidegauge.llm.frames import free_name, lean, parts_for, stored, text_bytes_total, with_ones
 
 SIZE = 5
 THRESHOLD = 0.8
@@ -345,19 +345,23 @@ def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, t
         ratio = F.least(f"{left}weight", f"{right}weight") >= threshold * F.greatest(f"{left}weight", f"{right}weight")
         return ratio & (_differing(f"{left}marks", f"{right}marks") <= apart)
 
-    def sides(*columns: str) -> list[DataFrame]:
-        return [marks.select(F.col("node").alias(x), *(F.col(c).alias(x + c) for c in columns)) for x in "ab"]
+    def likely(pairs: DataFrame) -> DataFrame:
+        left, right = (
+            marks.select(F.col("node").alias(x), *(F.col(c).alias(x + c) for c in ("weight", "marks"))) for x in "ab"
+        )
+        full = with_ones(stored(pairs, "met"), [("a", "b", left), ("b", "a", right)])
+        return full.where(alike("a", "b")).select("a", "b")
 
     def checked(pairs: DataFrame) -> DataFrame:
         left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
-        full = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+        # A leader's pairs are many: they are dealt to several tasks.
+        full = with_ones(pairs, [("b", "a", right), ("a", "b", left)]).select("a", "b", "ta", "tb")
         return stored(full.mapInArrow(lean(_verified(size)), "a bigint, b bigint, similarity double"), "similarities")
 
     leaders = members.groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("leader"))
     pairs = members.join(leaders, "band").where("node != leader")
     pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    left, right = sides("weight", "marks")
-    done = stored(pairs.join(left, "a").join(right, "b").where(alike("a", "b")).select("a", "b"), "pairs")
+    done = stored(likely(pairs), "pairs")
     roots = connected(checked(done).where(F.col("similarity") >= threshold))
     for share in (LEADERS, None):
         placed = members.join(roots, "node", "left").select("band", "nth", "n", "met", "node", F.coalesce("root", "node").alias("root"))
@@ -383,9 +387,7 @@ def _linked(rows: DataFrame, node: str, text: str, reps: DataFrame, size: int, t
         if share is None:
             crowded = stored(still.where(F.col("n") > DIRECT).select("node", "root").distinct(), "crowded")
             if not crowded.isEmpty():
-                rare = _by_rare_shingles(texts, crowded, size, threshold)
-                left, right = sides("weight", "marks")
-                rare = rare.join(left, "a").join(right, "b").where(alike("a", "b")).select("a", "b")
+                rare = likely(_by_rare_shingles(texts, crowded, size, threshold))
                 pairs = pairs.unionByName(rare).distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = done.unionByName(pairs)
