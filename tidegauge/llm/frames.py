@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tidegauge.workspace import work_dir
 
 GIVE_BACK_EVERY = 8
-#: Rows of one key that meet in a task; no fewer than a 2**16th of all rows.
-HOT_ROWS = 2000
 # Shuffle files go when a write has ended; Python workers get batches of bounded size.
 _WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
@@ -50,29 +48,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_ones(many: DataFrame, sides: Iterable[tuple[str, str, DataFrame]]) -> DataFrame:
-    """``many`` joined with each ``one`` of (key, other, one), which has at most one row for each key.
-
-    The rows of a key that has more than HOT_ROWS are dealt by a hash of ``other``, and its row of
-    ``one`` is copied for each piece. ``many`` is read a few times, so it should be stored.
-    """
-    given = many
-    most = max(HOT_ROWS, given.count() >> 16)
-    for key, other, one in sides:
-        # Fewer than 2**16 keys have more than a 2**16th of all rows.
-        hot = given.groupBy(key).agg(F.ceil(F.count("*") / most).alias("pieces")).where("pieces > 1")
-        hot = stored(hot, "hot")
-        if hot.isEmpty():
-            many = many.join(one, key)
-            continue
-        pieces = F.coalesce("pieces", F.lit(1).cast("bigint"))
-        many = many.join(F.broadcast(hot), key, "left").withColumn("piece", F.pmod(F.xxhash64(other), pieces))
-        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1))
-        one = one.join(F.broadcast(hot), key, "left").withColumn("piece", copies)
-        many = many.drop("pieces").join(one.drop("pieces"), [key, "piece"]).drop("piece")
-    return many
-
-
 def goes_at_exit(spark: SparkSession, path: str) -> None:
     """Let Hadoop's file system remove a folder, whole or half written, when the driver's JVM ends."""
     jvm = spark.sparkContext._jvm
