@@ -6,8 +6,10 @@ import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from conftest import rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidegauge import (
@@ -26,7 +28,7 @@ from tidegauge import (
     stream_rolling_average,
     stream_rolling_updates,
 )
-from tidegauge.streaming import updates
+from tidegauge.streaming import counters, partial, updates
 
 FIRST = date(2021, 1, 1)
 
@@ -203,3 +205,79 @@ def test_versions_of_any_type(spark, files, settings, kind):
         found = spark.read.schema(increments.schema).parquet(files.out).drop("event_time")
         wanted = counter_to_increments(files.batch(), dedupe="last", version="version")
         assert rows(found) == rows(wanted.where("date < '1970-01-05'"))
+
+
+@pytest.mark.parametrize("options", [{}, {"dedupe": "last", "version": "version"}])
+def test_levels_of_a_day_are_reduced_before_the_shuffle(files, options):
+    records = [(d, "A", (7 * k + d) % 11, k % 5) for k in range(40) for d in range(3)]
+    files.add([*records, (9, "A", 1, 1)], "day int, country string, infected int, version int")
+    query = files.run(start_table, stream_counter_to_increments(files.stream(), **options))
+    plan = query._jsq.explainInternal(False)
+    assert plan.index("TransformWithState") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+@pytest.mark.parametrize("held", [0, 3, 1000])
+@pytest.mark.parametrize("batch", [1, 7, 100])
+def test_rows_of_a_task_are_reduced_over_all_its_batches(held, batch):
+    pick = random.Random(3)
+    values = [None, NAN, -1.0, 2.5, 2.5, 9.0]
+    made = [{"date": FIRST + timedelta(days=pick.randrange(4)), "country": pick.choice(["A", None]), "level": k,
+             "version": pick.choice(values)} for k in range(100)]
+    schema = pa.schema([("date", pa.date32()), ("country", pa.string()), ("level", pa.int32()), ("version", pa.float64())])
+    given = pa.Table.from_pylist(made, schema).to_batches(batch)
+    found = pa.Table.from_batches(partial.reduced(counters._newest_of_days, held)(iter(given)), schema).to_pylist()
+    wanted = {}
+    for row in made:
+        before = wanted.get((row["date"], row["country"]))
+        if before is None or counters._newer(Row(**row), (before["level"], before["version"])):
+            wanted[row["date"], row["country"]] = row
+    if held == 1000:
+        assert len(found) == len(wanted)
+    for row in wanted.values():
+        assert str(row) in map(str, found)
+    # What is passed on besides comes later or is no newer.
+    last = {}
+    for row in found:
+        at = row["date"], row["country"]
+        if at not in last or counters._newer(Row(**row), (last[at]["level"], last[at]["version"])):
+            last[at] = row
+    assert sorted(map(str, last.values())) == sorted(map(str, wanted.values()))
+
+
+def test_state_is_touched_once_for_each_day():
+    class Days(dict):
+        touched = 0
+
+        def containsKey(self, kept):
+            self.touched += 1
+            return kept in self
+
+        def getValue(self, kept):
+            self.touched += 1
+            return self[kept]
+
+        def updateValue(self, kept, value):
+            self.touched += 1
+            self[kept] = value
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getMapState(self, *_):
+            return Days()
+
+        def getValueState(self, *_):
+            return None
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    processor, handle = counters._increments("max", "int", "int"), Handle()
+    processor.init(handle)
+    for _ in range(2):
+        given = (Row(date=FIRST + timedelta(days=k % 2), level=k, version=k) for k in range(1000))
+        list(processor.handleInputRows(("A",), given, None))
+    assert [value[0] for value in processor._open.values()] == [998, 999]
+    assert len(handle.timers) == 2
+    assert processor._open.touched == 2 * 2 + 2 * 2

@@ -6,6 +6,9 @@ from collections.abc import Iterator
 from datetime import date, datetime, timezone
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,11 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from tidegauge.operators.counters import COUNTER_ANCHOR, check_dedupe
 from tidegauge.streaming.days import DAY_SECONDS, SHIFT_DAYS, day_of_millis, event_time
+from tidegauge.streaming.partial import reduced
+
+# Types whose order is the same in Arrow and in Python.
+_SORTABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampNTZType, T.BooleanType)
+
 
 def stream_counter_to_increments(
     df: DataFrame,
@@ -32,6 +40,10 @@ def stream_counter_to_increments(
     so come in any order within ``late_days``. A row of a day that is already closed is
     dropped; Spark counts it in ``numRowsDroppedByWatermark`` of the query's progress.
 
+    A day's rows are reduced to the one that counts within the tasks that read them, before they
+    are shuffled by key, so a key gets few rows a day however many came; late rows are counted
+    after that. A trigger reads and writes the state of a key once for each of its days.
+
     ``dedupe`` and ``version`` are those of the batch operator, and levels and versions are kept
     in their own types; without ``dedupe`` a second row of an open day ends the query. With
     ``dedupe="last"`` a row without a version counts as a day without a level unless another
@@ -65,10 +77,12 @@ def stream_counter_to_increments(
         F.col(key).cast("string").alias("country"),
         F.col(level).alias("level"),
         order.alias("version"),
-        event_time(on).alias("_at"),
-    )
+    ).where(F.col("date").isNotNull())
+    if dedupe is not None and isinstance(order_kind, _SORTABLE):
+        # Without dedupe every row is needed, to tell that a day has several.
+        levels = levels.mapInArrow(reduced(_newest_of_days), levels.schema)
     return (
-        levels.where(F.col("date").isNotNull())
+        levels.withColumn("_at", event_time(F.col("date")))
         .withWatermark("_at", f"{late_days} days")
         .groupBy("country")
         .transformWithState(
@@ -81,6 +95,20 @@ def stream_counter_to_increments(
     )
 
 
+def _newest_of_days(rows: pa.Table) -> pa.Table:
+    """The first of the rows with the highest version, as ``_newer`` has it, of each key and day."""
+    version = rows["version"]
+    place = pc.if_else(pc.is_valid(version), 1, 0)
+    if pa.types.is_floating(version.type):
+        place = pc.if_else(pc.fill_null(pc.is_nan(version), False), 2, place)
+    nth = np.arange(rows.num_rows)
+    order = [("place", "descending"), ("version", "descending"), ("nth", "ascending")]
+    sorted_ = pc.sort_indices(pa.table({"place": place, "version": version, "nth": nth}), sort_keys=order)
+    by = pa.table({"date": rows["date"], "country": rows["country"]}).take(sorted_).append_column("nth", sorted_)
+    firsts = by.group_by(["date", "country"], use_threads=False).aggregate([("nth", "first")])
+    return rows.take(firsts["nth_first"])
+
+
 def _increments(dedupe: str | None, kind: str, order_kind: str) -> StatefulProcessor:
     class Increments(StatefulProcessor):
         def init(self, handle: Any) -> None:
@@ -89,16 +117,23 @@ def _increments(dedupe: str | None, kind: str, order_kind: str) -> StatefulProce
             self._last = handle.getValueState("last", f"level {kind}")
 
         def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+            newest: dict[date, Row] = {}
             for row in rows:
-                kept = (row.date,)
+                held = newest.get(row.date)
+                if held is not None and dedupe is None:
+                    raise _several(key, row.date)
+                if held is None or _newer(row, (held.level, held.version)):
+                    newest[row.date] = row
+            for when, row in newest.items():
+                kept = (when,)
                 if self._open.containsKey(kept):
                     if dedupe is None:
-                        raise ValueError(f"{key[0]} has several levels on {row.date}; give dedupe")
+                        raise _several(key, when)
                     if not _newer(row, self._open.getValue(kept)):
                         continue
                 else:
                     # Just before the day's own time: the timer is due once that is reached.
-                    self._handle.registerTimer(_millis(row.date) - 1)
+                    self._handle.registerTimer(_millis(when) - 1)
                 known = dedupe != "last" or row.version is not None
                 self._open.updateValue(kept, (row.level if known else None, row.version))
             return iter(())
@@ -122,6 +157,10 @@ def _increments(dedupe: str | None, kind: str, order_kind: str) -> StatefulProce
     return Increments()
 
 
+def _several(key: Any, when: date) -> ValueError:
+    return ValueError(f"{key[0]} has several levels on {when}; give dedupe")
+
+
 def _newer(row: Row, held: Any) -> bool:
     """Whether the row replaces the level held for its day: a higher version (in "max", the
     level itself); NULL is the lowest and NaN the highest."""
