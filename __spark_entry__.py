@@ -392,14 +392,17 @@ def _stream_counter_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_average_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Thirds of the records, by line: nearly all windows change in every trigger.
+    # Thirds of the records, by line: nearly all windows change in every trigger. Each third is
+    # as many files as its tasks make, and a run of the query, which goes on from the last one.
     lines = _table(spark, sf_dir, "lineitem")
-    parts = [_lineitem_series(lines.where(F.col("l_linenumber") % 3 == k)) for k in range(3)]
-    averages = stream_rolling_updates(_files_stream(spark, parts), window_days=365)
-    path = work_dir(spark, "stream")
-    with rocksdb_state(spark):
-        query = start_updates(averages, path, work_dir(spark, "checkpoint"))
-    query.awaitTermination()
+    files, path, checkpoint = (work_dir(spark, name) for name in ("files", "stream", "checkpoint"))
+    for k in range(3):
+        part = _lineitem_series(lines.where(F.col("l_linenumber") % 3 == k))
+        part.write.mode("append").parquet(files)
+        averages = stream_rolling_updates(spark.readStream.schema(part.schema).parquet(files), window_days=365)
+        with rocksdb_state(spark):
+            query = start_updates(averages, path, checkpoint)
+        query.awaitTermination()
     return read_updates(spark, path, averages.schema)
 
 

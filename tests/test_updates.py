@@ -281,3 +281,28 @@ def test_state_is_touched_once_for_each_day():
     assert [value[0] for value in processor._open.values()] == [998, 999]
     assert len(handle.timers) == 2
     assert processor._open.touched == 2 * 2 + 2 * 2
+
+
+def test_sums_of_a_task_are_one_for_each_day(spark, files, settings):
+    names = ["_key0", "_day", "_whole", "_known"]
+    batches = [pa.RecordBatch.from_pydict(dict(zip(names, [["A", "B", "A"], [1, 1, k % 2], [k, 5, 1], [1, 1, 1]]))) for k in range(50)]
+    summed = partial.reduced(updates._partial_sums(names[:2], names[2:]))(iter(batches))
+    found = [tuple(row.values()) for row in pa.Table.from_batches(summed).to_pylist()]
+    # Of 50 batches: all values of A but 1 are on day 1, and so is every second 1.
+    assert sorted(found) == [("A", 0, 25, 25), ("A", 1, 1225 + 25, 75), ("B", 1, 250, 50)]
+
+    files.add([(FIRST + timedelta(days=k % 3), k, "A") for k in range(600)], "date date, cases int, country string")
+    averages = stream_rolling_updates(files.stream())
+    with settings(spark__sql__execution__arrow__maxRecordsPerBatch="10"):
+        files.run(start_updates, averages)
+    assert rows(read_updates(spark, files.out, averages.schema)) == rows(rolling_average(files.batch()))
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,0)", "decimal(28,2)"])
+def test_decimals_of_many_digits(spark, files, kind):
+    scale = int(kind[-2])
+    number = Decimal(4 * 10**37 if scale == 0 else 4 * 10**27).scaleb(-scale)
+    files.add([(FIRST, number, "A"), (FIRST, -number, "A")] * 3 + [(FIRST, number, "A")], f"date date, cases {kind}, country string")
+    averages = stream_rolling_updates(files.stream())
+    files.run(start_updates, averages)
+    assert rows(read_updates(spark, files.out, averages.schema)) == rows(rolling_average(files.batch()))

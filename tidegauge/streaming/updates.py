@@ -14,10 +14,13 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from tidegauge.functions import LIMBS, ExactSum, check_window, limb_columns
 from tidegauge.operators.keys import check_dates, key_names
+from tidegauge.streaming.partial import reduced
 
 #: Days whose sums are read and written together.
 CHUNK_DAYS = 64
 _EPOCH = date(1970, 1, 1)
+# Ten digits are left for the number of rows.
+_SUMMED_DIGITS = 28
 _STATE = "sums array<string>, known array<bigint>"
 
 
@@ -38,8 +41,8 @@ def stream_rolling_updates(
     each key and window (``read_updates``) is the batch result. No record is late, so the state
     keeps all days: one exact sum per key and day, in chunks of ``CHUNK_DAYS``.
 
-    A record is not copied into its windows. Records are summed per key and day within the Arrow
-    batches of a task before they are shuffled by key; a trigger then reads the chunks within
+    A record is not copied into its windows. Records are summed per key and day within the
+    tasks that read them before they are shuffled by key; a trigger then reads the chunks within
     one window's length of the days that changed, and moves a running sum along them. So a
     trigger's work follows its records and the windows they change, whatever was read before.
 
@@ -65,7 +68,9 @@ def stream_rolling_updates(
     named = [F.col(name).alias(other) for name, other in zip(keys, plain)]
     records = df.where(F.col(date).isNotNull()).select(*named, F.unix_date(date).alias("_day"), *columns, known)
     records = records.select(*by, *summed, "_known")
-    partial = records.mapInArrow(_partial_sums(by, [*summed, "_known"]), records.schema)
+    # Decimals of more digits could pass 38 in sums of so many rows: those of a batch are all they get.
+    held = 0 if isinstance(kind, T.DecimalType) and kind.precision > _SUMMED_DIGITS else None
+    partial = records.mapInArrow(reduced(_partial_sums(by, [*summed, "_known"]), held), records.schema)
     dates = [T.StructField(name, T.DateType()) for name in ("start_date", "end_date")]
     schema = T.StructType([*dates, *records.select(*plain).schema, T.StructField("avg", T.DoubleType())])
     processor = _updates(plain, scale, window_days, slide_days, divisor)
@@ -73,13 +78,11 @@ def stream_rolling_updates(
     return changed.withColumnsRenamed(dict(zip(plain, keys)))
 
 
-def _partial_sums(by: list[str], summed: list[str]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                sums = pa.Table.from_batches([batch]).group_by(by).aggregate([(name, "sum") for name in summed])
-                sums = sums.rename_columns([name.removesuffix("_sum") if name not in by else name for name in sums.column_names])
-                yield from sums.select(batch.schema.names).cast(batch.schema).to_batches()
+def _partial_sums(by: list[str], summed: list[str]) -> Callable[[pa.Table], pa.Table]:
+    def run(rows: pa.Table) -> pa.Table:
+        sums = rows.group_by(by).aggregate([(name, "sum") for name in summed])
+        sums = sums.rename_columns([name.removesuffix("_sum") if name not in by else name for name in sums.column_names])
+        return sums.select(rows.schema.names).cast(rows.schema)
 
     return run
 
