@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+from datetime import date
 
+import pyarrow as pa
 import pytest
-from conftest import day, rows
+from conftest import day, final_plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -103,3 +105,38 @@ def test_period_of_one_tie_is_kept_whole(spark):
     counts = dict(ranked.groupBy("rank").count().collect())
     assert counts == {1: 33_333, 2: 1} or counts == {1: 33_334, 2: 1}
     assert rows(ranked) == rows(by_window_function(df, 2))
+
+
+@pytest.mark.parametrize("new", [1, 50])
+@pytest.mark.parametrize("known", [5, 10_000])
+@pytest.mark.parametrize("kind", ["double", "bigint"])
+def test_a_task_drops_rows_that_are_surpassed(monkeypatch, new, known, kind):
+    monkeypatch.setattr(rank, "NEW_VALUES", new)
+    monkeypatch.setattr(rank, "KNOWN_VALUES", known)
+    pick = random.Random(5)
+    odd = [None, 0, 2**62, 2**62 + 1] if kind == "bigint" else [None, 0.0, -0.0, float("nan"), float("inf"), -float("inf")]
+    periods = [None, *(date(2020, 1, day) for day in range(1, 4))]
+    values = [pick.choice([*odd, *range(60)]) for _ in range(2000)]
+    given = pa.table({"p": pa.array(pick.choices(periods, k=2000), pa.date32()),
+                      "v": pa.array(values, pa.int64() if kind == "bigint" else pa.float64()), "n": range(2000)})
+    kept = list(rank._best_of_task(0, 1, 3)(iter(given.to_batches(100))))
+    assert sum(batch.num_rows for batch in kept) <= (2000 if known == 5 else 800)
+    found = {row["n"] for row in pa.Table.from_batches(kept).to_pylist()}
+
+    def place(value):
+        return (value is not None, value != value, value if value == value and value is not None else 0)
+
+    for period in periods:
+        own = [(place(row["v"]), row["n"]) for row in given.to_pylist() if row["p"] == period]
+        best = sorted({at for at, _ in own}, reverse=True)[:3]
+        assert {n for at, n in own if at in best} <= found
+
+
+def test_surpassed_rows_are_not_sorted(spark):
+    df = spark.range(100_000).selectExpr("date_add(date'2020-01-01', cast(id % 4 as int)) as end_date", "id as country",
+                                         "hash(id) * 1.0D as avg_increase")
+    ranked = rank_within(df, limit=3, key="country")
+    plan = final_plan(ranked)
+    assert plan.index("Partial") < plan.index("MapInArrow")
+    assert plan.count("MapInArrow") == 1 and "ReusedExchange" in plan
+    assert ranked.count() == 12

@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.operators.keys import key_names
 
 #: Values of a period that are ranked in one step.
 PERIOD_VALUES = 200_000
+#: Values after which a task looks again for the best of its periods, and those it remembers at most.
+NEW_VALUES, KNOWN_VALUES = 20_000, 1_000_000
+
+_PERIODS = (T.DateType, T.TimestampType, T.TimestampNTZType, T.IntegralType, T.StringType)
+_NUMBERS = (T.IntegralType, T.FloatType, T.DoubleType)
+# Types that go through Arrow as they are.
+_PLAIN = (T.BooleanType, T.NumericType, T.BinaryType, *_PERIODS)
 
 
 def rank_within(
@@ -35,7 +45,8 @@ def rank_within(
     tell the rows of a period apart:
 
     1. each cell keeps its rows of the best ``limit`` values. This shuffle, by cell, is
-       the only one that moves rows of the input;
+       the only one that moves rows of the input. Of numbers, a task first drops the rows that
+       it has seen ``limit`` better values for, so that it sorts few of its rows;
     2. the distinct values of all cells of a period, at most ``limit`` from each, are
        ranked together. Where these may be many, groups of cells drop all but their own
        best ``limit`` values first;
@@ -57,7 +68,8 @@ def rank_within(
     highest = F.desc_nulls_last(by)
     cell = ["_period", "_cell"]
     best = (
-        df.withColumns(_cell_columns(df, period, spread, cells))
+        _without_surpassed(df, period, by, limit)
+        .withColumns(_cell_columns(df, period, spread, cells))
         .withColumn("_place", F.dense_rank().over(Window.partitionBy(*cell).orderBy(highest)))
         .where(F.col("_place") <= limit)
     )
@@ -84,6 +96,89 @@ def rank_within(
     )
 
 
+def _without_surpassed(df: DataFrame, period: str, by: str, limit: int) -> DataFrame:
+    """Without rows for which a task has seen ``limit`` better values of their period.
+
+    Sorting is left to what remains: of rows in no order, a number for each period that grows
+    with the logarithm of a task's rows, besides ties. Periods, other columns or values of types
+    that aren't plain are left as they are.
+    """
+    kinds = {field.name: field.dataType for field in df.schema}
+    plain = all(isinstance(kind, _PLAIN) for kind in kinds.values()) and len(kinds) == len(df.columns)
+    if limit < 1 or not plain or not isinstance(kinds[period], _PERIODS) or not isinstance(kinds[by], _NUMBERS):
+        return df
+    return df.mapInArrow(_best_of_task(df.columns.index(period), df.columns.index(by), limit), df.schema)
+
+
+def _best_of_task(period: int, by: int, limit: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _Best(limit)
+        for batch in batches:
+            if batch.num_rows:
+                kept = best.among(batch.column(period), batch.column(by))
+                yield batch if kept.all() else batch.filter(pa.array(kept))
+
+    return run
+
+
+class _Best:
+    """The best values of each period among those seen. Forgetting some only keeps more rows."""
+
+    def __init__(self, limit: int) -> None:
+        self._limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers: dict = {}
+        self._floors = np.empty(0)
+        self._known = self._new = (np.empty(0, np.int64), np.empty(0))
+
+    def among(self, periods: pa.Array, values: pa.Array) -> np.ndarray:
+        """Which of the rows have one of the best values so far, or one as good."""
+        numbers, values = self._periods(periods), _ordered(values)
+        kept = values >= self._floors[numbers]
+        new = (numbers[kept], values[kept])
+        self._new = tuple(np.concatenate(pair) for pair in zip(self._new, new))
+        if len(self._new[0]) >= max(NEW_VALUES, len(self._known[0])):
+            self._learn()
+        return kept
+
+    def _periods(self, periods: pa.Array) -> np.ndarray:
+        """Numbers of the periods, counted as they appear; NULL is a period."""
+        if pa.types.is_date32(periods.type):
+            periods = periods.cast(pa.int32())
+        elif pa.types.is_timestamp(periods.type):
+            periods = periods.cast(pa.int64())
+        coded = periods.dictionary_encode(null_encoding="encode")
+        found = coded.dictionary.to_pylist()
+        numbers = np.array([self._numbers.setdefault(x, len(self._numbers)) for x in found], np.int64)
+        missing = len(self._numbers) - len(self._floors)
+        self._floors = np.concatenate([self._floors, np.full(missing, -np.inf)])
+        return numbers[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def _learn(self) -> None:
+        numbers, values = (np.concatenate(pair) for pair in zip(self._known, self._new))
+        order = np.lexsort((-values, numbers))
+        numbers, values = numbers[order], values[order]
+        other = np.ones(len(numbers), bool)
+        other[1:] = (numbers[1:] != numbers[:-1]) | (values[1:] != values[:-1])
+        numbers, values = numbers[other], values[other]
+        place = np.arange(len(numbers)) - np.searchsorted(numbers, numbers)
+        last = place == self._limit - 1
+        self._floors[numbers[last]] = values[last]
+        best = place < self._limit
+        self._known, self._new = (numbers[best], values[best]), (np.empty(0, np.int64), np.empty(0))
+        if len(self._known[0]) > KNOWN_VALUES:
+            self._forget()
+
+
+def _ordered(values: pa.Array) -> np.ndarray:
+    """Numbers in Spark's order, which may make equals of near ones: that only keeps more rows."""
+    found = values.fill_null(0).to_numpy(zero_copy_only=False).astype(float)
+    found = np.where(np.isnan(found), np.inf, found)
+    return np.where(values.is_valid().to_numpy(zero_copy_only=False), found, -np.inf)
+
+
 def _cell_columns(df: DataFrame, period: str, spread: list[str], cells: int) -> dict[str, Column]:
     """Columns that name a row's cell and are never NULL, so that cells can be joined.
 
