@@ -158,3 +158,13 @@ def test_a_failed_run_leaves_the_last_version_whole(spark, tmp_path, monkeypatch
     assert current_report(spark, out) == newer != paths
     assert [spark.read.option("header", True).csv(p).collect() for p in paths] == before
     assert "Spain" in {r.country for r in spark.read.option("header", True).csv(newer[0]).collect()}
+
+
+def test_a_compressed_report_reads_the_same(spark, case_file, tmp_path):
+    plain = run_report(spark, case_file, out_dir=str(tmp_path / "plain"))
+    packed = run_report(spark, case_file, out_dir=str(tmp_path / "packed"), compression="gzip")
+    changes = percent_change(rolling_average(read_series(spark, case_file)))
+    for one, other, schema in zip(plain, packed, (changes.schema, rank_within(changes).schema)):
+        assert not list(Path(other).glob("*.csv"))
+        assert list(Path(other).glob("*.csv.gz"))
+        assert rows(read_report(spark, other, schema)) == rows(read_report(spark, one, schema))

@@ -55,13 +55,15 @@ def run_report(
     version: str | None = None,
     fill_gaps: bool = False,
     versioned: bool = False,
+    compression: str | None = None,
 ) -> tuple[str, str]:
     """Read CSV reports, write ``<out_dir>/avg`` and ``<out_dir>/rank``; returns the two paths.
 
     Both outputs come from one computation of the averages. What is kept on the executors
     meanwhile are the runs of equal windows, which are expanded again for each output; a
     lost executor's share is recomputed from the source. ``dedupe`` and ``version`` are those
-    of ``read_series``, ``fill_gaps`` that of ``rolling_average``.
+    of ``read_series``, ``fill_gaps`` that of ``rolling_average``, ``compression`` that of
+    ``write_report``: of series of many keys the averages are many times as large as the input.
 
     The outputs replace what is there one after the other, and a failure in between leaves them
     apart. With ``versioned`` they go to a new folder below ``out_dir`` instead, which becomes the
@@ -81,9 +83,9 @@ def run_report(
     ).persist(StorageLevel.MEMORY_AND_DISK)
     changes = expand_changes(runs, window_days=window_days, slide_days=slide_days)
     try:
-        write_report(changes, avg_path, ["end_date", "country"] if sort_output else None)
+        write_report(changes, avg_path, ["end_date", "country"] if sort_output else None, compression)
         ranks = rank_within(changes, limit=rank_limit, key="country", cells=partitions)
-        write_report(ranks, rank_path, ["end_date", "rank", "country"] if sort_output else None)
+        write_report(ranks, rank_path, ["end_date", "rank", "country"] if sort_output else None, compression)
     finally:
         runs.unpersist()
     if versioned:

@@ -18,16 +18,20 @@ REPORT_DATE_FORMAT = "dd/MM/yyyy"
 _OPTIONS = {"header": True, "dateFormat": REPORT_DATE_FORMAT}
 
 
-def write_report(df: DataFrame, path: str, sort_by: Sequence[str] | None = None) -> None:
+def write_report(
+    df: DataFrame, path: str, sort_by: Sequence[str] | None = None, compression: str | None = None
+) -> None:
     """Write a CSV report, replacing what is there.
 
+    ``compression`` is a codec of Spark's CSV files, as ``gzip``; ``read_report`` needs no word of it.
+
     With ``sort_by`` the rows are range-partitioned and sorted, so that the part files
     read in name order are one sorted report. Name enough columns to tell rows of
     a crowded period apart, or that period cannot be split between files.
     """
     if sort_by:
         df = df.orderBy(*sort_by)
-    df.write.mode("overwrite").options(**_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**_OPTIONS).csv(path, compression=compression)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
